@@ -1,6 +1,6 @@
 """All layers over one set of raw tables, composed lazily (lineage raw -> staging -> marts)."""
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
@@ -9,12 +9,33 @@ from pyspark.sql import DataFrame
 from pitwall.plans import marts, staging
 
 
-@dataclass(frozen=True)
 class RawTables:
-    sessions: DataFrame
-    drivers: DataFrame
-    laps: DataFrame
-    positions: DataFrame
+    """The four raw tables; each is opened when first asked for."""
+
+    def __init__(
+        self,
+        sessions: Callable[[], DataFrame],
+        drivers: Callable[[], DataFrame],
+        laps: Callable[[], DataFrame],
+        positions: Callable[[], DataFrame],
+    ):
+        self._open = {"sessions": sessions, "drivers": drivers, "laps": laps, "positions": positions}
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return self._open["sessions"]()
+
+    @cached_property
+    def drivers(self) -> DataFrame:
+        return self._open["drivers"]()
+
+    @cached_property
+    def laps(self) -> DataFrame:
+        return self._open["laps"]()
+
+    @cached_property
+    def positions(self) -> DataFrame:
+        return self._open["positions"]()
 
 
 class Layers:

@@ -2,15 +2,17 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.functions import conditions as c
+from pitwall.operators.copies import fold_copies, split_chunks, unfold
 from pitwall.operators.latest import latest_per_key
 from pitwall.operators.numbering import HOT_GROUP_ROWS, number_rows
 from pitwall.schemas import RACE
 
 DRIVER_ATTRIBUTES = ["full_name", "name_acronym", "team_name", "team_colour", "country_code", "headshot_url"]
+SEGMENTS = ["segment_1_duration", "segment_2_duration", "segment_3_duration"]
 
 
 def dim_drivers(drivers: DataFrame, run_ts: datetime | str | None = None) -> DataFrame:
@@ -49,66 +51,80 @@ def fct_lap_times(
 ) -> DataFrame:
     """One row per racing lap and session record, with its rank and the fastest-lap flags.
 
-    The fastest laps (W4, W5) are aggregates joined back, not windows, so no task
-    ever holds a whole session. Everything known per session and driver (session
-    attributes J1, driver J2, fastest laps) is joined on that level first, so the
-    laps are shuffled once for all look-ups and once for the rank (W3). A session
-    recorded twice doubles its laps, and a lap of an unknown driver stays.
+    A session recorded n times multiplies its laps by n, and a lap of an unknown
+    driver stays. How it scales:
+
+    - The fastest laps (W4, W5) are aggregates joined back, not windows, so no task
+      ever holds a whole session.
+    - Everything known per session and driver (session attributes J1, driver J2,
+      fastest laps) is joined on that level first; the laps meet it in one join.
+    - Laps are ranked (W3) before that join, while their rows are narrow. Repeated
+      session records only come in as a factor: a lap ranked k takes the places
+      after those of the k - 1 laps before it.
     """
-    laps = racing_laps(stg_laps)
-    driver_best = laps.groupBy("session_key", "driver_number").agg(
-        F.min("lap_duration").alias("driver_fastest_lap")
-    )
-    session_best = driver_best.groupBy("session_key").agg(
-        F.min("driver_fastest_lap").alias("session_fastest_lap")
-    )
-    sessions = stg_sessions.select("session_key", "session_type", "circuit_short_name", "year")
-    names = stg_drivers.select("session_key", "driver_number", F.col("full_name").alias("driver_name"), "team_name")
-    entries = (
-        driver_best.join(sessions.join(session_best, "session_key"), "session_key")
-        .join(names, ["session_key", "driver_number"], "left")
-        .withColumnsRenamed({"session_key": "entry_session", "driver_number": "entry_driver"})
+    laps = racing_laps(stg_laps).select("session_key", "driver_number", "lap_number", "lap_duration", *SEGMENTS)
+    lap_sizes = laps.groupBy("session_key", "lap_number").agg(F.count(F.lit(1)).alias("rows"))
+    ranked = number_rows(
+        laps, ["session_key", "lap_number"], ["lap_duration", "driver_number", *SEGMENTS], "lap_rank",
+        lap_sizes, hot_rows,
     )
     same_entry = (F.col("session_key") == F.col("entry_session")) & c.same_or_both_null(
         F.col("driver_number"), F.col("entry_driver")
     )
-    facts = laps.join(entries, same_entry).select(
+    facts = unfold(ranked.join(_lap_entries(laps, stg_sessions, stg_drivers), same_entry), "place")
+    position = (F.col("lap_rank") - 1) * F.col("records") + F.col("records_before") + F.col("place") + 1
+    return facts.select(
         "session_key",
         "driver_number",
         "driver_name",
         "team_name",
         "lap_number",
         "lap_duration",
-        "segment_1_duration",
-        "segment_2_duration",
-        "segment_3_duration",
+        *SEGMENTS,
         "session_type",
         "circuit_short_name",
         "year",
+        position.alias("lap_position"),
         c.equals_or_false(F.col("lap_duration"), F.col("driver_fastest_lap")).alias("is_driver_fastest_lap"),
         c.equals_or_false(F.col("lap_duration"), F.col("session_fastest_lap")).alias("is_session_fastest_lap"),
+        c.run_stamp(run_ts).alias("updated_at"),
     )
-    ranked = number_rows(
-        facts,
-        ["session_key", "lap_number"],
-        ["lap_duration", "driver_number", "segment_1_duration", "segment_2_duration", "segment_3_duration"],
-        "lap_position",
-        lap_group_sizes(laps, sessions),
-        hot_rows,
+
+
+def _lap_entries(laps: DataFrame, stg_sessions: DataFrame, stg_drivers: DataFrame) -> DataFrame:
+    """What the lap fact looks up per session and driver, repeated session records as chunks of copies."""
+    driver_best = laps.groupBy("session_key", "driver_number").agg(
+        F.min("lap_duration").alias("driver_fastest_lap")
     )
-    return ranked.select(
-        *facts.columns[:12], "lap_position", "is_driver_fastest_lap", "is_session_fastest_lap",
-        c.run_stamp(run_ts).alias("updated_at"),
+    session_best = driver_best.groupBy("session_key").agg(
+        F.min("driver_fastest_lap").alias("session_fastest_lap")
     )
+    entries = (
+        driver_best.join(_session_records(stg_sessions).join(session_best, "session_key"), "session_key")
+        .join(_driver_names(stg_drivers), ["session_key", "driver_number"], "left")
+        .withColumnsRenamed({"session_key": "entry_session", "driver_number": "entry_driver"})
+    )
+    return split_chunks(entries)
 
 
-def lap_group_sizes(laps: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Rows that share a session and a lap number in the lap fact."""
-    per_lap = laps.groupBy("session_key", "lap_number").agg(F.count(F.lit(1)).alias("laps"))
-    records = sessions.groupBy("session_key").agg(F.count(F.lit(1)).alias("records"))
-    return per_lap.join(records, "session_key").select(
-        "session_key", "lap_number", (F.col("laps") * F.col("records")).alias("rows")
+def _session_records(stg_sessions: DataFrame) -> DataFrame:
+    """Differing records per session with their ``copies``, all ``records`` of the session, and those before."""
+    attributes = ["session_type", "circuit_short_name", "year"]
+    folded = fold_copies(stg_sessions, ["session_key", *attributes])
+    of_session = Window.partitionBy("session_key")
+    before = of_session.orderBy(*[c.smallest_first(F.col(a)) for a in attributes]).rowsBetween(
+        Window.unboundedPreceding, -1
     )
+    return folded.withColumns(
+        {
+            "records": F.sum("copies").over(of_session),
+            "records_before": F.coalesce(F.sum("copies").over(before), F.lit(0)),
+        }
+    )
+
+
+def _driver_names(stg_drivers: DataFrame) -> DataFrame:
+    return stg_drivers.select("session_key", "driver_number", F.col("full_name").alias("driver_name"), "team_name")
 
 
 def fct_race_results(
@@ -131,10 +147,9 @@ def fct_race_results(
         .agg(F.max(F.struct(*attributes)).alias("race"))
         .select("session_key", *[F.col(f"race.{a}").alias(a) for a in attributes])
     )
-    names = stg_drivers.select("session_key", "driver_number", F.col("full_name").alias("driver_name"), "team_name")
     return (
         last.join(races, "session_key")
-        .join(names, ["session_key", "driver_number"], "left")
+        .join(_driver_names(stg_drivers), ["session_key", "driver_number"], "left")
         .select(
             "session_key",
             "driver_number",

@@ -83,7 +83,8 @@ def driver_lap_stats(laps: DataFrame, driver_number: int) -> DataFrame:
 
 def fastest_laps(laps: DataFrame, dim: DataFrame, n: int = 10) -> DataFrame:
     """Q10: fastest laps of drivers in the dimension."""
-    named = _timed(laps).join(dim.select("driver_number", "full_name", "team_name"), "driver_number").select(
+    timed = _timed(laps).select("session_key", "driver_number", "lap_number", "lap_duration")
+    named = timed.join(dim.select("driver_number", "full_name", "team_name"), "driver_number").select(
         "session_key", "full_name", "team_name", "lap_number", "lap_duration"
     )
     return _ordered(named, "lap_duration", "session_key", "full_name", "team_name", "lap_number").limit(n)

@@ -55,6 +55,15 @@ RAW_COLUMNS = {
     ),
 }
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
 # Load order of a bundle.
 ENTITIES = ("sessions", "drivers", "laps", "positions")
 
@@ -104,9 +113,13 @@ def raw_names(entity: str) -> list[str]:
     return [name for name, _, _ in RAW_COLUMNS[entity]]
 
 
+def _struct(columns: list[tuple[str, str]]) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
+
+
 def raw_schema(entity: str) -> T.StructType:
     """Schema of a raw table; every column is nullable."""
-    return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t, _ in RAW_COLUMNS[entity]))
+    return _struct([(name, kind) for name, kind, _ in RAW_COLUMNS[entity]])
 
 
 def record_columns(entity: str) -> list[tuple[str, str]]:
@@ -118,7 +131,7 @@ def record_columns(entity: str) -> list[tuple[str, str]]:
 def record_schema(entity: str) -> T.StructType:
     """Schema to parse landed JSON with: times stay text so that their wall clock survives."""
     fields = [(n, "string" if t == "timestamp_ntz" else t) for n, t in record_columns(entity)]
-    return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields))
+    return _struct(fields)
 
 
 def table_ddl(entity: str) -> str:

@@ -6,44 +6,39 @@ session is its first order, found by an aggregate over all orders.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pitwall.plans.layers import RawTables
-from pitwall.schemas import RACE, raw_schema
+from pitwall.schemas import RACE
 
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_schemas: dict[str, StructType] = {}
 
 
-def _typed(df: DataFrame, entity: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in raw_schema(entity)])
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def raw_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.min(F.struct("o_orderkey", "o_orderpriority", "o_orderdate", "o_custkey"))
-    headers = _table(spark, sf_dir, "orders").groupBy(F.expr("o_orderkey div 30").alias("session_key")).agg(
-        first.alias("first")
-    )
-    return _typed(
-        headers.select("session_key", "first.*").select(
-            "session_key",
-            F.col("o_orderpriority").alias("session_name"),
-            F.expr(
-                "case o_orderpriority when '1-URGENT' then 'Race' when '2-HIGH' then 'Qualifying' else 'Practice' end"
-            ).alias("session_type"),
-            F.col("o_orderdate").alias("date_start"),
-            F.expr(
-                "case session_key % 25 when 7 then null when 11 then o_orderdate - interval 1 hour "
-                "else o_orderdate + interval 2 hours end"
-            ).alias("date_end"),
-            F.lit("+00:00").alias("gmt_offset"),
-            F.expr("concat('LOC_', o_custkey % 40)").alias("location"),
-            F.expr("concat('NATION_', o_custkey % 25)").alias("country_name"),
-            F.expr("concat('CIRCUIT_', o_custkey % 24)").alias("circuit_short_name"),
-            F.year("o_orderdate").alias("year"),
-            F.expr("timestampadd(microsecond, o_orderkey, o_orderdate)").alias("ingested_at"),
-        ),
-        "sessions",
+    first = F.min(F.struct("o_orderkey", "o_orderpriority", "o_orderdate", "o_custkey")).alias("o")
+    headers = _table(spark, sf_dir, "orders").groupBy(F.expr("o_orderkey div 30").alias("session_key")).agg(first)
+    return headers.selectExpr(
+        "session_key",
+        "o.o_orderpriority as session_name",
+        """case o.o_orderpriority when '1-URGENT' then 'Race' when '2-HIGH' then 'Qualifying'
+           else 'Practice' end as session_type""",
+        "o.o_orderdate as date_start",
+        """case session_key % 25 when 7 then null when 11 then o.o_orderdate - interval 1 hour
+           else o.o_orderdate + interval 2 hours end as date_end""",
+        "'+00:00' as gmt_offset",
+        "concat('LOC_', o.o_custkey % 40) as location",
+        "concat('NATION_', o.o_custkey % 25) as country_name",
+        "concat('CIRCUIT_', o.o_custkey % 24) as circuit_short_name",
+        "year(o.o_orderdate) as year",
+        "timestampadd(microsecond, o.o_orderkey, o.o_orderdate) as ingested_at",
     )
 
 
@@ -54,67 +49,52 @@ def reloaded_sessions(sessions: DataFrame) -> DataFrame:
 
 
 def raw_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed(
-        _table(spark, sf_dir, "orders").select(
-            F.expr("case when o_orderkey % 97 = 5 then null else o_custkey % 20 + 1 end").alias("driver_number"),
-            F.expr("o_orderkey div 30").alias("session_key"),
-            F.expr("concat('D. DRV_', o_custkey % 20 + 1)").alias("broadcast_name"),
-            F.expr("concat('DRV_', o_custkey % 20 + 1)").alias("full_name"),
-            F.expr("concat('D', o_custkey % 20 + 1)").alias("name_acronym"),
-            F.expr("concat('TEAM_', o_orderkey % 10)").alias("team_name"),
-            F.expr("concat('FF00', 10 + o_orderkey % 10)").alias("team_colour"),
-            F.expr("concat('http://img.example/', o_custkey % 20 + 1)").alias("headshot_url"),
-            F.expr("concat('C', o_custkey % 20)").alias("country_code"),
-            F.expr("timestampadd(microsecond, o_orderkey, o_orderdate)").alias("ingested_at"),
-        ),
-        "drivers",
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "cast(case when o_orderkey % 97 = 5 then null else o_custkey % 20 + 1 end as int) as driver_number",
+        "o_orderkey div 30 as session_key",
+        "concat('D. DRV_', o_custkey % 20 + 1) as broadcast_name",
+        "concat('DRV_', o_custkey % 20 + 1) as full_name",
+        "concat('D', o_custkey % 20 + 1) as name_acronym",
+        "concat('TEAM_', o_orderkey % 10) as team_name",
+        "concat('FF00', 10 + o_orderkey % 10) as team_colour",
+        "concat('http://img.example/', o_custkey % 20 + 1) as headshot_url",
+        "concat('C', o_custkey % 20) as country_code",
+        "timestampadd(microsecond, o_orderkey, o_orderdate) as ingested_at",
     )
 
 
 def raw_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed(
-        _table(spark, sf_dir, "lineitem").select(
-            F.expr("l_orderkey div 30").alias("session_key"),
-            F.expr("l_suppkey % 20 + 1").alias("driver_number"),
-            F.col("l_linenumber").alias("lap_number"),
-            F.expr("case when l_quantity = 13 then null else floor(l_extendedprice / 300.0d) - 5 end").alias(
-                "lap_duration"
-            ),
-            F.col("l_quantity").alias("segment_1_duration"),
-            F.expr("case when l_linenumber = 5 then null else round(l_discount * 100) end").alias(
-                "segment_2_duration"
-            ),
-            F.expr("round(l_tax * 100)").alias("segment_3_duration"),
-            F.expr(
-                "case when l_returnflag = 'R' then true "
-                "when l_returnflag = 'A' and l_linestatus = 'O' then null else false end"
-            ).alias("is_pit_out_lap"),
-            F.col("l_shipdate").alias("date_start"),
-            F.expr("l_shipdate + interval 1 day").alias("ingested_at"),
-        ),
-        "laps",
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey div 30 as session_key",
+        "cast(l_suppkey % 20 + 1 as int) as driver_number",
+        "l_linenumber as lap_number",
+        """cast(case when l_quantity = 13 then null
+           else floor(l_extendedprice / 300.0d) - 5 end as double) as lap_duration""",
+        "l_quantity as segment_1_duration",
+        "cast(case when l_linenumber = 5 then null else round(l_discount * 100) end as double) as segment_2_duration",
+        "cast(round(l_tax * 100) as double) as segment_3_duration",
+        """case when l_returnflag = 'R' then true
+           when l_returnflag = 'A' and l_linestatus = 'O' then null else false end as is_pit_out_lap""",
+        "l_shipdate as date_start",
+        "l_shipdate + interval 1 day as ingested_at",
     )
 
 
 def raw_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed(
-        _table(spark, sf_dir, "events").select(
-            F.expr("event_id div 20").alias("session_key"),
-            F.expr("user_id % 12 + 1").alias("driver_number"),
-            F.expr("case when event_type = 'error' and event_id % 7 = 0 then null else ts end").alias("date"),
-            F.expr(
-                "case when event_type = 'signup' and event_id % 5 = 0 then null else cast(floor(value) as int) % 23 end"
-            ).alias("position"),
-            F.expr("ts + interval 1 hour").alias("ingested_at"),
-        ),
-        "positions",
+    return _table(spark, sf_dir, "events").selectExpr(
+        "event_id div 20 as session_key",
+        "cast(user_id % 12 + 1 as int) as driver_number",
+        "case when event_type = 'error' and event_id % 7 = 0 then null else ts end as date",
+        """case when event_type = 'signup' and event_id % 5 = 0 then null
+           else cast(floor(value) as int) % 23 end as position""",
+        "ts + interval 1 hour as ingested_at",
     )
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(
-        sessions=raw_sessions(spark, sf_dir),
-        drivers=raw_drivers(spark, sf_dir),
-        laps=raw_laps(spark, sf_dir),
-        positions=raw_positions(spark, sf_dir),
+        sessions=lambda: raw_sessions(spark, sf_dir),
+        drivers=lambda: raw_drivers(spark, sf_dir),
+        laps=lambda: raw_laps(spark, sf_dir),
+        positions=lambda: raw_positions(spark, sf_dir),
     )

@@ -1,5 +1,7 @@
 """Raw tables as stored: a folder per entity, a sub-folder per load."""
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,4 +27,4 @@ def read_raw(spark: SparkSession, raw_root: str, entity: str) -> DataFrame:
 
 
 def read_raw_tables(spark: SparkSession, raw_root: str) -> RawTables:
-    return RawTables(**{entity: read_raw(spark, raw_root, entity) for entity in ENTITIES})
+    return RawTables(**{entity: partial(read_raw, spark, raw_root, entity) for entity in ENTITIES})
