@@ -55,8 +55,9 @@ def promote_by_key(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        before = current_version(batch.sparkSession, table_root, before=batch_id)
-        target = batch.limit(0) if before is None else read_version(batch.sparkSession, table_root, before)
+        session = batch.sparkSession
+        before = current_version(session, table_root, before=batch_id)
+        target = session.createDataFrame([], schema) if before is None else read_version(session, table_root, before)
         write_version(upsert(target, batch, keys, newest), table_root, batch_id)
 
     stream = _new_files(spark, source_dir, schema, files_per_batch)
