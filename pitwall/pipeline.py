@@ -5,9 +5,9 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwall.plans import marts
-from pitwall.plans.layers import Layers
-from pitwall.sinks.marts import publish
+from pitwall.jobs import side_by_side
+from pitwall.plans import marts, staging
+from pitwall.sinks.marts import MARTS, publish
 from pitwall.sinks.raw import load_sessions
 from pitwall.sources.catalogue import chosen_sessions, latest_completed_race
 from pitwall.sources.landing import catalogue
@@ -20,17 +20,17 @@ def build_marts(spark: SparkSession, raw_root: str, marts_root: str, run_ts: dat
     Staged drivers feed both facts and are kept between them; executors that get
     lost only cost a recomputation.
     """
-    layers = Layers(read_raw_tables(spark, raw_root), run_ts)
-    drivers = layers.stg_drivers.persist(StorageLevel.MEMORY_AND_DISK)
+    raw = read_raw_tables(spark, raw_root)
+    drivers = staging.stg_drivers(raw.drivers).persist(StorageLevel.MEMORY_AND_DISK)
+    sessions, laps = staging.stg_sessions(raw.sessions), staging.stg_laps(raw.laps)
+    positions = staging.stg_positions(raw.positions)
+    builds = {
+        "dim_drivers": lambda: marts.dim_drivers(drivers, run_ts),
+        "fct_lap_times": lambda: marts.fct_lap_times(laps, sessions, drivers, run_ts),
+        "fct_race_results": lambda: marts.fct_race_results(sessions, positions, drivers, run_ts=run_ts),
+    }
     try:
-        publish(marts.dim_drivers(drivers, run_ts), marts_root, "dim_drivers")
-        publish(
-            marts.fct_lap_times(layers.stg_laps, layers.stg_sessions, drivers, run_ts), marts_root, "fct_lap_times"
-        )
-        publish(
-            marts.fct_race_results(layers.stg_sessions, layers.stg_positions, drivers, run_ts=run_ts),
-            marts_root, "fct_race_results",
-        )
+        side_by_side(spark, lambda name: publish(builds[name](), marts_root, name), MARTS)
     finally:
         drivers.unpersist()
 

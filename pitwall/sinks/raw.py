@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.jobs import side_by_side
 from pitwall.schemas import ENTITIES, RAW_COLUMNS, RECORD_NAMES, STRICT_ENTITIES
 from pitwall.sources.landing import checked_records, stamped
 from pitwall.storage import checkpointed
@@ -83,23 +84,25 @@ def load_sessions(
     def wanted(entity: str) -> DataFrame:
         return checked_records(spark, landing_root, entity, session_key).join(keys, "session_key", "left_semi")
 
-    problems = 0
-    for entity in ENTITIES:
+    def write_good(entity: str) -> int:
         seen = Observation()
         counted = wanted(entity).observe(seen, F.count("problem").alias("problems"))
         rows = raw_shape(stamped(counted.filter(F.col("problem").isNull()), run_ts), entity)
         append_rows(rows, raw_root, entity, load_id)
-        problems += seen.get["problems"]
+        return seen.get["problems"]
 
     failed = None
-    if problems:
+    if sum(side_by_side(spark, write_good, ENTITIES)):
         failed = checkpointed(_failed_sessions(wanted))
-        for entity in ENTITIES:
+
+        def write_again(entity: str) -> None:
             good = wanted(entity).filter(F.col("problem").isNull()).join(
-                failed.select(F.col("session_key")), "session_key", "left_anti"
+                failed.select("session_key"), "session_key", "left_anti"
             )
             append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, load_id)
 
+        side_by_side(spark, write_again, ENTITIES)
+
     ledger = _ledger(spark, raw_root, chosen, failed, load_id)
     commit_load(ledger, raw_root, load_id)
     return spark.read.parquet(f"{raw_root}/ledger/load_id={load_id}")
