@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitwall.jobs import side_by_side
 from pitwall.plans import marts, staging
+from pitwall.session import sized_for, tuned
 from pitwall.sinks.marts import MARTS, publish
 from pitwall.sinks.raw import load_sessions
 from pitwall.sources.catalogue import chosen_sessions, latest_completed_race
 from pitwall.sources.landing import catalogue
 from pitwall.sources.tables import committed_loads, read_raw, read_raw_tables
+from pitwall.storage import folder_bytes
 
 
 def build_marts(spark: SparkSession, raw_root: str, marts_root: str, run_ts: datetime | str | None = None) -> None:
@@ -20,6 +22,7 @@ def build_marts(spark: SparkSession, raw_root: str, marts_root: str, run_ts: dat
     Staged drivers feed both facts and are kept between them; executors that get
     lost only cost a recomputation.
     """
+    sized_for(tuned(spark), folder_bytes(spark, raw_root))
     raw = read_raw_tables(spark, raw_root)
     drivers = staging.stg_drivers(raw.drivers).persist(StorageLevel.MEMORY_AND_DISK)
     sessions, laps = staging.stg_sessions(raw.sessions), staging.stg_laps(raw.laps)
@@ -50,6 +53,7 @@ def backfill(
     Sessions loaded before are left out unless ``reload`` is set, in which case
     they are appended again.
     """
+    sized_for(tuned(spark), folder_bytes(spark, landing_root))
     chosen = chosen_sessions(catalogue(spark, landing_root), year, session_type)
     if not reload:
         loaded = read_raw(spark, raw_root, "sessions").select("session_key")

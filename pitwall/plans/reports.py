@@ -4,7 +4,7 @@ NULL always sorts last, and every order is completed by the remaining output
 columns, so a cut at n rows is the same on every run.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions.conditions import smallest_first
@@ -19,6 +19,25 @@ def _timed(laps: DataFrame) -> DataFrame:
     return laps.filter(F.col("lap_duration") > 0)
 
 
+def lap_totals(laps: DataFrame) -> DataFrame:
+    """Laps, timed laps, their seconds and the best of them, per driver number.
+
+    All that Q3, Q4, Q9 and Q11 need. Totals made earlier (``marts.lap_totals``)
+    pass unchanged, so these reports take either the lap fact or its totals.
+    """
+    if "timed_laps" in laps.columns:
+        return laps
+    timed = F.when(F.col("lap_duration") > 0, F.col("lap_duration"))
+    return laps.groupBy("driver_number").agg(
+        F.count(F.lit(1)).alias("laps"), F.count(timed).alias("timed_laps"),
+        F.sum(timed).alias("seconds"), F.min(timed).alias("best"),
+    )
+
+
+def _mean_of_totals() -> Column:
+    return F.try_divide(F.sum("seconds"), F.sum("timed_laps"))
+
+
 def driver_list(dim: DataFrame) -> DataFrame:
     """Q1: drivers to choose from."""
     return _ordered(
@@ -33,12 +52,12 @@ def total_drivers(dim: DataFrame) -> DataFrame:
 
 def total_laps(laps: DataFrame) -> DataFrame:
     """Q3."""
-    return laps.agg(F.count(F.lit(1)).alias("cnt"))
+    return lap_totals(laps).agg(F.coalesce(F.sum("laps"), F.lit(0)).alias("cnt"))
 
 
 def average_lap(laps: DataFrame) -> DataFrame:
     """Q4: NULL without laps."""
-    return _timed(laps).agg(F.avg("lap_duration").alias("avg_lap"))
+    return lap_totals(laps).agg(_mean_of_totals().alias("avg_lap"))
 
 
 def total_sessions(results: DataFrame) -> DataFrame:
@@ -74,10 +93,10 @@ def driver_lap_series(laps: DataFrame, driver_number: int) -> DataFrame:
 
 def driver_lap_stats(laps: DataFrame, driver_number: int) -> DataFrame:
     """Q9: best, mean and number of the laps in Q8."""
-    return _timed(laps).filter(F.col("driver_number") == F.lit(driver_number)).agg(
-        F.min("lap_duration").alias("best_lap"),
-        F.avg("lap_duration").alias("avg_lap"),
-        F.count(F.lit(1)).alias("total_laps"),
+    return lap_totals(laps).filter(F.col("driver_number") == F.lit(driver_number)).agg(
+        F.min("best").alias("best_lap"),
+        _mean_of_totals().alias("avg_lap"),
+        F.coalesce(F.sum("timed_laps"), F.lit(0)).alias("total_laps"),
     )
 
 
@@ -91,13 +110,11 @@ def fastest_laps(laps: DataFrame, dim: DataFrame, n: int = 10) -> DataFrame:
 
 
 def team_comparison(laps: DataFrame, dim: DataFrame) -> DataFrame:
-    """Q11: laps per present team, summed up per driver number before the join."""
-    per_driver = _timed(laps).groupBy("driver_number").agg(
-        F.count(F.lit(1)).alias("laps"), F.sum("lap_duration").alias("seconds"), F.min("lap_duration").alias("best")
-    )
-    per_team = per_driver.join(dim.select("driver_number", "team_name"), "driver_number").groupBy("team_name").agg(
-        F.sum("laps").alias("total_laps"),
-        (F.sum("seconds") / F.sum("laps")).alias("avg_lap_time"),
+    """Q11: timed laps per present team, summed up per driver number before the join."""
+    totals = lap_totals(laps).filter(F.col("timed_laps") > 0).select("driver_number", "timed_laps", "seconds", "best")
+    per_team = totals.join(dim.select("driver_number", "team_name"), "driver_number").groupBy("team_name").agg(
+        F.sum("timed_laps").alias("total_laps"),
+        _mean_of_totals().alias("avg_lap_time"),
         F.min("best").alias("best_lap"),
     )
     return _ordered(per_team, "avg_lap_time", "team_name")

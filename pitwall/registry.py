@@ -255,15 +255,15 @@ QUERIES: dict[str, Query] = {
     # Reports (Q1-Q12)
     "driver_list": _of_layers(lambda y: reports.driver_list(y.dim_drivers)),
     "kpi_total_drivers": _of_layers(lambda y: reports.total_drivers(y.dim_drivers)),
-    "kpi_total_laps": _of_layers(lambda y: reports.total_laps(y.lap_rows)),
-    "kpi_avg_lap": _of_layers(lambda y: reports.average_lap(y.lap_rows)),
+    "kpi_total_laps": _of_layers(lambda y: reports.total_laps(y.lap_totals)),
+    "kpi_avg_lap": _of_layers(lambda y: reports.average_lap(y.lap_totals)),
     "kpi_sessions": _of_layers(lambda y: reports.total_sessions(y.fct_race_results)),
     "driver_standings": _of_layers(lambda y: reports.driver_standings(y.fct_race_results, y.dim_drivers)),
     "driver_info": _of_layers(lambda y: reports.driver_info(y.dim_drivers, DRIVER_NUMBER).drop("updated_at")),
     "driver_lap_series": _of_layers(lambda y: reports.driver_lap_series(y.lap_rows, DRIVER_NUMBER)),
-    "driver_lap_stats": _of_layers(lambda y: reports.driver_lap_stats(y.lap_rows, DRIVER_NUMBER)),
+    "driver_lap_stats": _of_layers(lambda y: reports.driver_lap_stats(y.lap_totals, DRIVER_NUMBER)),
     "fastest_laps": _of_layers(lambda y: reports.fastest_laps(y.lap_rows, y.dim_drivers)),
-    "team_comparison": _of_layers(lambda y: reports.team_comparison(y.lap_rows, y.dim_drivers)),
+    "team_comparison": _of_layers(lambda y: reports.team_comparison(y.lap_totals, y.dim_drivers)),
     "driver_lookup": _of_layers(lambda y: reports.driver_lookup(y.dim_drivers, FULL_NAME)),
     # Checks (D1-D5)
     "dq_not_null_raw": _of_layers(_not_null_raw),

@@ -20,6 +20,22 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Stored input per shuffle partition, and the most partitions to ask for.
+BYTES_PER_PARTITION = 128 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+
+
+def sized_for(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Raise the number of shuffle partitions to what the input needs, so that each fits in memory.
+
+    Never lowers it: Spark merges partitions that turn out small at run time.
+    """
+    wanted = min(input_bytes // BYTES_PER_PARTITION + 1, MOST_PARTITIONS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return spark
+
+
 def local_session(name: str, cores: str = "8", partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

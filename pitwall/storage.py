@@ -48,6 +48,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Stored size of everything below a folder; zero if there is none."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
+
+
 def finished_folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
     """Values v of the folders ``root/<prefix>v`` whose write was committed, sorted."""
     fs, hadoop_path = _file_system(spark, root)

@@ -6,6 +6,7 @@ from conftest import executed_plan
 from pitwall.plans import marts, reports, staging
 from pitwall.plans.layers import Layers, RawTables
 from pitwall.schemas import ENTITIES
+from pitwall.session import sized_for
 from pitwall.sinks.marts import publish, read_mart
 from pitwall.sources import given
 
@@ -34,9 +35,17 @@ def test_pit_rule_reaches_the_scan(stored):
 
 
 def test_reports_read_only_the_columns_they_need(stored):
-    plan = executed_plan(reports.total_laps(stored.lap_rows))
+    plan = executed_plan(reports.total_laps(stored.lap_totals))
     laps_scan = next(line for line in plan.splitlines() if "lap_duration" in line and "ReadSchema" in line)
-    assert "ReadSchema: struct<session_key:bigint,lap_duration:double,is_pit_out_lap:boolean>" in laps_scan
+    wanted = "session_key:bigint,driver_number:int,lap_duration:double,is_pit_out_lap:boolean"
+    assert f"ReadSchema: struct<{wanted}>" in laps_scan
+
+
+def test_totals_are_summed_up_before_any_shuffle(stored):
+    """Between the scan of the laps and its first shuffle lies a partial aggregate."""
+    plan = executed_plan(stored.lap_totals)
+    below = plan[plan.index("partial_count(1), partial_sum(lap_duration"):]
+    assert "Exchange" not in below[:below.index("FileScan")]
 
 
 def test_unused_driver_lookup_is_dropped(stored):
@@ -52,9 +61,21 @@ def test_top_rows_are_not_sorted_in_full(stored):
 
 
 def test_team_comparison_sums_up_before_the_join(stored):
-    plan = executed_plan(reports.team_comparison(stored.lap_rows, stored.dim_drivers))
-    join = plan.index("[driver_number")
-    assert "partial_sum(lap_duration" in plan[join:]
+    plan = executed_plan(reports.team_comparison(stored.fct_lap_times, stored.dim_drivers))
+    assert "partial_count(1)" not in plan[:plan.index("Join [driver_number")]
+    assert "Join [driver_number" in plan
+
+
+def test_more_input_asks_for_more_partitions(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        assert sized_for(spark, 10).conf.get(key) == before
+        assert sized_for(spark, 300 * 128 * 1024 * 1024).conf.get(key) == "301"
+        assert sized_for(spark, 10**14).conf.get(key) == "50000"
+        assert sized_for(spark, 0).conf.get(key) == "50000"
+    finally:
+        spark.conf.set(key, before)
 
 
 def test_laps_are_shuffled_twice_for_the_fact(spark, stored):
