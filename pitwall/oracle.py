@@ -306,5 +306,13 @@ ORACLE_SQL: dict[str, str] = {
     "dq_unique_raw_sessions": _plain(_unique("raw_sessions_dup", "sessions")),
     "dq_not_null_staging": _plain(_not_null("", NOT_NULL_STAGING)),
     "dq_unique_stg_sessions": _reloaded(_unique("stg_sessions", "stg_sessions")),
+    "dq_all_checks": _plain(
+        " UNION ALL ".join(
+            [
+                _not_null("raw_", NOT_NULL_RAW), _unique("raw_sessions", "sessions"),
+                _not_null("", NOT_NULL_STAGING), _unique("stg_sessions", "stg_sessions"),
+            ]
+        )
+    ),
     "dq_required_fields": f"WITH {_RAW}\n{_required()}",
 }

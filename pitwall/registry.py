@@ -7,16 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitwall import pipeline
 from pitwall.operators import checks
-from pitwall.plans import marts, reports, staging
-from pitwall.plans.layers import Layers
-from pitwall.schemas import (
-    ENTITIES, NOT_NULL_RAW, NOT_NULL_STAGING, REQUIRED_FIELDS, raw_names, raw_schema,
-)
+from pitwall.plans import quality, reports, staging
+from pitwall.plans.layers import Layers, RawTables
+from pitwall.schemas import ENTITIES, REQUIRED_FIELDS, raw_schema
 from pitwall.sinks import raw as raw_sink
 from pitwall.sinks.marts import publish, read_mart
 from pitwall.sources import catalogue as cat
 from pitwall.sources import given, landing
-from pitwall.sources.tables import read_raw
 from pitwall.storage import scratch_folder
 from pitwall.streaming.promotion import promote, promote_by_key, read_keyed
 
@@ -164,43 +161,19 @@ def _refresh_race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, f"{root}/marts", "fct_race_results").drop("updated_at")
 
 
-def _fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T6d: the lap fact when races were loaded twice."""
-    base = layers(spark, sf_dir)
-    sessions = staging.stg_sessions(given.reloaded_sessions(base.raw.sessions))
-    return marts.fct_lap_times(base.stg_laps, sessions, base.stg_drivers, RUN_TS).drop("updated_at")
-
-
 def _of_layers(build: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(layers(spark, sf_dir))
 
 
-def _not_null_raw(all_layers: Layers) -> DataFrame:
-    return checks.all_reports(
-        [
-            checks.not_null_report(getattr(all_layers.raw, entity), entity, list(columns))
-            for entity, columns in NOT_NULL_RAW.items()
-        ]
-    )
-
-
-def _not_null_staging(all_layers: Layers) -> DataFrame:
-    return checks.all_reports(
-        [
-            checks.not_null_report(getattr(all_layers, table), table, list(columns))
-            for table, columns in NOT_NULL_STAGING.items()
-        ]
-    )
-
-
-def _unique_raw_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reloaded = given.reloaded_sessions(given.raw_sessions(spark, sf_dir))
-    return checks.unique_report(reloaded, "sessions", "session_key")
+def _reloaded_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """All layers when races were loaded twice."""
+    raw = given.raw_tables(spark, sf_dir)
+    again = given.reloaded_sessions(raw.sessions)
+    return Layers(RawTables(lambda: again, lambda: raw.drivers, lambda: raw.laps, lambda: raw.positions), RUN_TS)
 
 
-def _unique_stg_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reloaded = given.reloaded_sessions(given.raw_sessions(spark, sf_dir))
-    return checks.unique_report(staging.stg_sessions(reloaded), "stg_sessions", "session_key")
+def _of_reloaded_layers(build: Callable[[Layers], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(_reloaded_layers(spark, sf_dir))
 
 
 def _required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +224,7 @@ QUERIES: dict[str, Query] = {
     "dim_drivers": _of_layers(lambda y: y.dim_drivers.drop("updated_at")),
     "fct_lap_times": _of_layers(lambda y: y.fct_lap_times.drop("updated_at")),
     "fct_race_results": _of_layers(lambda y: y.fct_race_results.drop("updated_at")),
-    "fct_lap_times_fanout": _fanout,
+    "fct_lap_times_fanout": _of_reloaded_layers(lambda y: y.fct_lap_times.drop("updated_at")),
     # Reports (Q1-Q12)
     "driver_list": _of_layers(lambda y: reports.driver_list(y.dim_drivers)),
     "kpi_total_drivers": _of_layers(lambda y: reports.total_drivers(y.dim_drivers)),
@@ -266,9 +239,10 @@ QUERIES: dict[str, Query] = {
     "team_comparison": _of_layers(lambda y: reports.team_comparison(y.lap_totals, y.dim_drivers)),
     "driver_lookup": _of_layers(lambda y: reports.driver_lookup(y.dim_drivers, FULL_NAME)),
     # Checks (D1-D5)
-    "dq_not_null_raw": _of_layers(_not_null_raw),
-    "dq_unique_raw_sessions": _unique_raw_sessions,
-    "dq_not_null_staging": _of_layers(_not_null_staging),
-    "dq_unique_stg_sessions": _unique_stg_sessions,
+    "dq_not_null_raw": _of_layers(quality.raw_not_null),
+    "dq_unique_raw_sessions": _of_reloaded_layers(quality.raw_unique),
+    "dq_not_null_staging": _of_layers(quality.staging_not_null),
+    "dq_unique_stg_sessions": _of_reloaded_layers(quality.staging_unique),
+    "dq_all_checks": _of_layers(quality.data_checks),
     "dq_required_fields": _required_fields,
 }

@@ -74,36 +74,47 @@ def load_sessions(
     """K6: load all records of the ``chosen`` sessions in one go; return the ledger.
 
     A session with a record that cannot be loaded fails as a whole and is left
-    out; the others are not affected. The first pass writes while it counts
+    out; the others are not affected. Broken records that show no session key are
+    reported in a ledger row without one. The first pass writes while it counts
     problems. Only if there are any, the failed sessions are found and the load is
     written again without them. ``session_key`` narrows the scan when just one
     session is chosen.
     """
-    keys = chosen.select("session_key").distinct()
+    keys = chosen.select("session_key").distinct().withColumn("is_chosen", F.lit(True))
+
+    def marked(entity: str) -> DataFrame:
+        return checked_records(spark, landing_root, entity, session_key).join(keys, "session_key", "left")
 
     def wanted(entity: str) -> DataFrame:
-        return checked_records(spark, landing_root, entity, session_key).join(keys, "session_key", "left_semi")
+        return marked(entity).filter("is_chosen")
 
-    def write_good(entity: str) -> int:
+    def write_good(entity: str) -> tuple[int, int]:
         seen = Observation()
-        counted = wanted(entity).observe(seen, F.count("problem").alias("problems"))
-        rows = raw_shape(stamped(counted.filter(F.col("problem").isNull()), run_ts), entity)
-        append_rows(rows, raw_root, entity, load_id)
-        return seen.get["problems"]
+        counted = marked(entity).observe(
+            seen,
+            F.count(F.when(F.col("is_chosen"), F.col("problem"))).alias("problems"),
+            F.count(F.when(F.col("session_key").isNull(), F.col("problem"))).alias("lost"),
+        )
+        good = counted.filter("is_chosen and problem is null")
+        append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, load_id)
+        return seen.get["problems"], seen.get["lost"]
+
+    def write_again(entity: str) -> None:
+        good = wanted(entity).filter(F.col("problem").isNull()).join(
+            failed.select("session_key"), "session_key", "left_anti"
+        )
+        append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, load_id)
 
+    problems, lost = map(sum, zip(*side_by_side(spark, write_good, ENTITIES)))
     failed = None
-    if sum(side_by_side(spark, write_good, ENTITIES)):
+    if problems:
         failed = checkpointed(_failed_sessions(wanted))
-
-        def write_again(entity: str) -> None:
-            good = wanted(entity).filter(F.col("problem").isNull()).join(
-                failed.select("session_key"), "session_key", "left_anti"
-            )
-            append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, load_id)
-
         side_by_side(spark, write_again, ENTITIES)
 
     ledger = _ledger(spark, raw_root, chosen, failed, load_id)
+    if lost:
+        unplaced = (None, None, None, "failed", *[0] * len(ENTITIES), "broken records without a session key")
+        ledger = ledger.unionByName(spark.createDataFrame([unplaced], ledger.schema))
     commit_load(ledger, raw_root, load_id)
     return spark.read.parquet(f"{raw_root}/ledger/load_id={load_id}")
 

@@ -57,7 +57,6 @@ def test_bundle_is_counted_and_visible_after_its_ledger(spark, golden, folder):
 
 def test_table_limits(spark):
     """The declared limits also hold for tables created from the layout."""
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW one AS SELECT 1")
     with pytest.raises(PySparkException, match="EXCEED_LIMIT_LENGTH"):
         schema = table_ddl("drivers").split(", ")[4]
         assert schema == "name_acronym varchar(3)"
@@ -102,6 +101,18 @@ def test_failed_session_is_left_out_and_reported(spark, land_golden, folder):
     assert rows(read_raw(spark, f"{folder}/raw", "sessions"), "session_key") == [(2,), (3,), (4,)]
 
 
+def test_broken_records_without_a_key_are_reported(spark, land_golden, folder):
+    land_golden(f"{folder}/land")
+    with open(f"{folder}/land/laps/landing_bucket=1/cut.json", "w") as f:
+        f.write('{"lap_number": 1, "sess')
+    ledger = pipeline.backfill(spark, f"{folder}/land", f"{folder}/raw", "all", STAMP)
+    assert rows(ledger.filter("session_key is null"), "status", "error") == [
+        ("failed", "broken records without a session key")
+    ]
+    assert ledger.filter("status = 'loaded'").count() == 5
+    assert read_raw(spark, f"{folder}/raw", "laps").count() == 12
+
+
 def test_backfill_chooses_and_does_not_repeat(spark, land_golden, folder):
     land_golden(f"{folder}/land")
     args = (spark, f"{folder}/land", f"{folder}/raw")
