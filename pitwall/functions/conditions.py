@@ -4,7 +4,7 @@ Conditions are plain conjunctions, never CASE, so that Spark can push them into
 the Parquet scan. A row on which one is NULL is dropped by ``filter``.
 """
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,9 +40,18 @@ def equals_or_false(left: Column, right: Column) -> Column:
     return F.coalesce(left == right, F.lit(False))
 
 
+def utc_text(moment: datetime | str) -> str:
+    """A moment as text; a datetime without zone is taken as UTC, text stays as it is."""
+    if isinstance(moment, str):
+        return moment
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=timezone.utc)
+    return moment.astimezone(timezone.utc).isoformat()
+
+
 def run_stamp(run_ts: datetime | str | None) -> Column:
     """the injected run time, or the current time."""
-    return F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    return F.current_timestamp() if run_ts is None else F.lit(utc_text(run_ts)).cast("timestamp")
 
 
 def wall_clock(text: Column) -> Column:

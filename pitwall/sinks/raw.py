@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pitwall.jobs import side_by_side
 from pitwall.schemas import ENTITIES, RAW_COLUMNS, RECORD_NAMES, STRICT_ENTITIES
-from pitwall.sources.landing import checked_records, stamped
+from pitwall.sources.landing import UNREADABLE, checked_records, stamped
 from pitwall.storage import checkpointed
 
 
@@ -74,12 +74,13 @@ def load_sessions(
     """K6: load all records of the ``chosen`` sessions in one go; return the ledger.
 
     A session with a record that cannot be loaded fails as a whole and is left
-    out; the others are not affected. Broken records that show no session key are
-    reported in a ledger row without one. The first pass writes while it counts
+    out; the others are not affected. Unreadable records that cannot be given to a
+    session are reported in a ledger row without one. The first pass writes while it counts
     problems. Only if there are any, the failed sessions are found and the load is
     written again without them. ``session_key`` narrows the scan when just one
     session is chosen.
     """
+    chosen = chosen.filter(F.col("session_key").isNotNull())
     keys = chosen.select("session_key").distinct().withColumn("is_chosen", F.lit(True))
 
     def marked(entity: str) -> DataFrame:
@@ -90,10 +91,14 @@ def load_sessions(
 
     def write_good(entity: str) -> tuple[int, int]:
         seen = Observation()
+        is_lost = F.col("session_key").isNull()
+        if entity == "sessions":
+            # An unreadable session is not in the catalogue, so it cannot have been chosen.
+            is_lost = is_lost | (F.col("is_chosen").isNull() & (F.col("problem") == UNREADABLE))
         counted = marked(entity).observe(
             seen,
             F.count(F.when(F.col("is_chosen"), F.col("problem"))).alias("problems"),
-            F.count(F.when(F.col("session_key").isNull(), F.col("problem"))).alias("lost"),
+            F.count(F.when(is_lost, F.col("problem"))).alias("lost"),
         )
         good = counted.filter("is_chosen and problem is null")
         append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, load_id)
@@ -113,7 +118,7 @@ def load_sessions(
 
     ledger = _ledger(spark, raw_root, chosen, failed, load_id)
     if lost:
-        unplaced = (None, None, None, "failed", *[0] * len(ENTITIES), "broken records without a session key")
+        unplaced = (None, None, None, "failed", *[0] * len(ENTITIES), "unreadable records of no known session")
         ledger = ledger.unionByName(spark.createDataFrame([unplaced], ledger.schema))
     commit_load(ledger, raw_root, load_id)
     return spark.read.parquet(f"{raw_root}/ledger/load_id={load_id}")

@@ -34,11 +34,11 @@ def summary(sessions: DataFrame) -> DataFrame:
 
 
 def latest_completed_race(catalogue: DataFrame, as_of: datetime | str) -> DataFrame:
-    """The race that ended last before ``as_of`` (text with an offset, or UTC), or no row.
+    """The race that ended last before ``as_of`` (text with an offset, or a UTC datetime), or no row.
 
     Ends are compared as points in time; the lowest key wins a tie.
     """
-    now = F.lit(str(as_of)).cast("timestamp")
+    now = c.instant(F.lit(c.utc_text(as_of)))
     ended = c.instant(F.col("date_end"))
     return (
         catalogue.filter(F.col("session_type") == F.lit(RACE)).filter(ended < now)

@@ -19,6 +19,9 @@ from pitwall.schemas import (
 LANDING_BUCKETS = 16
 BUCKETED = ("drivers", "laps", "positions")
 
+# Problem of a record that is not JSON of the declared types.
+UNREADABLE = "record cannot be parsed"
+
 
 def _bucket(session_key: Column) -> Column:
     return F.pmod(session_key, F.lit(LANDING_BUCKETS)).cast("int")
@@ -98,8 +101,8 @@ def fetch_positions(spark: SparkSession, root: str, session_key: int) -> DataFra
 
 
 def stamped(df: DataFrame, run_ts: datetime | str) -> DataFrame:
-    """The ingestion time, one per run."""
-    return df.withColumn("ingested_at", F.lit(run_ts).cast("timestamp_ntz"))
+    """The ingestion time, one per run, as UTC clock reading."""
+    return df.withColumn("ingested_at", c.wall_clock(F.lit(c.utc_text(run_ts))))
 
 
 def extract_session(spark: SparkSession, root: str, session_key: int, run_ts: datetime | str) -> dict[str, DataFrame]:
@@ -164,7 +167,7 @@ def checked_records(spark: SparkSession, root: str, entity: str, session_key: in
     parsed = records.withColumn(
         "problem",
         F.coalesce(
-            F.when(F.col("broken").isNotNull(), F.lit("record cannot be parsed")),
+            F.when(F.col("broken").isNotNull(), F.lit(UNREADABLE)),
             F.when(F.size("absent") > 0, F.concat(F.lit("missing field "), F.element_at("absent", 1))),
             *unread,
         ),

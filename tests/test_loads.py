@@ -101,13 +101,17 @@ def test_failed_session_is_left_out_and_reported(spark, land_golden, folder):
     assert rows(read_raw(spark, f"{folder}/raw", "sessions"), "session_key") == [(2,), (3,), (4,)]
 
 
-def test_broken_records_without_a_key_are_reported(spark, land_golden, folder):
+@pytest.mark.parametrize(
+    "file, text",
+    [("laps/landing_bucket=1", '{"lap_number": 1, "sess'), ("sessions", '{"session_key": 77, "session_na')],
+)
+def test_unreadable_records_of_no_session_are_reported(spark, land_golden, folder, file, text):
     land_golden(f"{folder}/land")
-    with open(f"{folder}/land/laps/landing_bucket=1/cut.json", "w") as f:
-        f.write('{"lap_number": 1, "sess')
+    with open(f"{folder}/land/{file}/cut.json", "w") as f:
+        f.write(text)
     ledger = pipeline.backfill(spark, f"{folder}/land", f"{folder}/raw", "all", STAMP)
     assert rows(ledger.filter("session_key is null"), "status", "error") == [
-        ("failed", "broken records without a session key")
+        ("failed", "unreadable records of no known session")
     ]
     assert ledger.filter("status = 'loaded'").count() == 5
     assert read_raw(spark, f"{folder}/raw", "laps").count() == 12

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from conftest import executed_plan, rows
 
+from pitwall.functions.conditions import run_stamp
 from pitwall.operators.checks import required_fields_report
 from pitwall.schemas import REQUIRED_FIELDS, record_schema
 from pitwall.sources import catalogue as cat
@@ -96,6 +97,22 @@ def test_bundle_is_stamped(spark, tmp_path, landed):
         assert [r["ingested_at"] for r in df.collect()] == [datetime(2025, 1, 1, 10)]
 
 
+def test_run_time_is_utc_in_any_session_zone(spark, landed):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        for run_ts in (datetime(2025, 1, 1, 10), datetime.fromisoformat("2025-01-01T12:00:00+02:00")):
+            stamped = landing.stamped(landing.fetch_laps(spark, landed, 12), run_ts)
+            assert stamped.first()["ingested_at"] == datetime(2025, 1, 1, 10)
+            now = spark.range(1).select(run_stamp(run_ts).cast("long").alias("t")).first()["t"]
+            assert now == 1735725600
+        sessions = landing.catalogue(spark, landed)
+        assert rows(cat.latest_completed_race(sessions, datetime(2024, 3, 2, 17, 0, 1)), "session_key") == [(12,)]
+        assert rows(cat.latest_completed_race(sessions, datetime(2024, 3, 2, 17)), "session_key") == [(11,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_backfill_choice_and_order(spark, landed):
     sessions = landing.catalogue(spark, landed)
 
