@@ -1,7 +1,29 @@
 """Session settings the plans rely on."""
 
+import atexit
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give executors this package, once per application, for functions that run in Python workers."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        # Executors fetch the archive from the driver when they first need it.
+        folder = tempfile.mkdtemp(prefix="pitwall-package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        name = os.path.join(folder, os.path.basename(package))
+        archive = shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package))
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
+    return spark
+
 # Runtime settings: let Spark re-plan from measured sizes, split skewed join
 # partitions even where that costs one more shuffle, and prune by join keys.
 RUNTIME_SETTINGS = {
