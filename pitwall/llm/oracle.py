@@ -14,3 +14,26 @@ SELECT page_id, strlen(h.html)::BIGINT AS payload_bytes,
   CASE WHEN page_id <> kept THEN kept END AS refers_to
 FROM hashed h JOIN last USING (html)
 """
+
+ORACLE_SQL["op2_repeats"] = r"""
+WITH doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), word AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM doc
+), win AS (
+  SELECT doc_id, pos, array_to_string(words[pos : pos + 19], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM doc WHERE len(words) >= 20)
+), later AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY w ORDER BY doc_id, pos) AS n FROM win) WHERE n > 1
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM later
+), kept AS (
+  SELECT word.doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n
+  FROM word ANTI JOIN covered USING (doc_id, pos) GROUP BY word.doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""

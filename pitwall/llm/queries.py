@@ -5,13 +5,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwall.llm import packing, token_files, warc
+from pitwall.llm import packing, repeats, token_files, warc
 from pitwall.llm.tables import given
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.without_repeats(given(spark, sf_dir, "documents"), k=20)
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archived(given(spark, sf_dir, "pages"), least_bytes=0)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -26,5 +31,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_warc, op9_token_files, op10_packing)
+    f.__name__: f for f in (op2_repeats, op5_warc, op9_token_files, op10_packing)
 }
