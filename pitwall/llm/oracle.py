@@ -37,3 +37,32 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIG
   sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)
 """
+
+ORACLE_SQL["op7_minhash"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(words[pos : pos + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS pos FROM doc WHERE len(words) > 0)
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)
+), near AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM doc
+  UNION
+  SELECT b, root FROM reach JOIN near ON a = node
+), component AS (
+  SELECT node, min(root) AS root FROM reach GROUP BY node
+)
+SELECT doc_id, coalesce(size.n, 0)::BIGINT AS n_shingles, root AS component_id, root = doc_id AS kept
+FROM doc LEFT JOIN size USING (doc_id) JOIN component ON node = doc_id
+"""

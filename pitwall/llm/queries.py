@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwall.llm import packing, repeats, token_files, warc
+from pitwall.llm import minhash, packing, repeats, token_files, warc
 from pitwall.llm.tables import given
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(given(spark, sf_dir, "documents"), k=5, percent=75)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(given(spark, sf_dir, "documents"), BYTE_TOKENIZER, end_id=2)
 
@@ -31,5 +36,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_repeats, op5_warc, op9_token_files, op10_packing)
+    f.__name__: f for f in (op2_repeats, op5_warc, op7_minhash, op9_token_files, op10_packing)
 }
