@@ -31,7 +31,7 @@ def opened_stream(path: str) -> pa.NativeFile:
     return system.open_input_stream(inner)
 
 
-def mapped(path: str, dtype: type) -> np.ndarray:
+def mapped(path: str, dtype: type | str) -> np.ndarray:
     """A file's numbers: memory-mapped where the file system is local, else read."""
     system, inner = located(path)
     size = system.get_file_info(inner).size
