@@ -13,14 +13,13 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Parts remembered in each of two generations; the older one is dropped when the newer is full.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 LONGEST_REMEMBERED = 64
 
 # Before a single space that stands between two characters other than white space.
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
-_NOT_PLAIN = re.compile(r"[^\S \n]|\s\s")
 # Python takes these for white space; the library's pattern may not.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _LATIN_WORD = re.compile(r"( ?)([A-Za-zß-öø-ÿ]+)([.,;:!?*#$%&|)\]\"]*)\Z")
 # Byte-level vocabularies write a byte as the character of its number if that is printable,
 # and else as the next one from 256 on.
@@ -43,7 +42,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         added = self.tokenizer.get_added_tokens_decoder()
-        self.special = re.compile("|".join(re.escape(t.content[:2]) for t in added.values()) or r"\A\Z")
+        self.special = [token.content for token in added.values()]
         self.kept = spaces == "kept"
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -58,30 +57,23 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self.special.search(text):
+        if any(token in text for token in self.special):
             return self._by_library(text)
-        parts = self._parts(text)
-        found = list(map(self.newer.get, parts))
-        if None in found:
-            older = self.older.get
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = older(parts[i]) or self._ids(parts[i])
-        return b"".join(found)
-
-    def _parts(self, text: str) -> list[str]:
+        known, learn = self.newer.get, self._ids
+        words = text.split()
         if not self.kept:
-            return [text] if _SEPARATORS.search(text) else text.split()
-        if _NOT_PLAIN.search(text):
-            return _BEFORE_SPACE.split(text)
-        parts = []
+            if any(c in text for c in _SEPARATORS):
+                return self._by_library(text)
+            return b"".join([known(word) or learn(word) for word in words])
+        gaps = text.count(" ") + text.count("\n")
+        if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(text):
+            # White space other than single spaces and line ends between words.
+            return b"".join([learn(part) for part in _BEFORE_SPACE.split(text)])
+        lines, newline = [], learn("\n")
         for line in text.split("\n"):
             first, *others = line.split(" ")
-            parts.append(first)
-            parts += [" " + word for word in others]
-            parts.append("\n")
-        parts.pop()
-        return parts
+            lines.append(b"".join([learn(first), *(known(" " + word) or learn(" " + word) for word in others)]))
+        return newline.join(lines)
 
     def _ids(self, part: str) -> bytes:
         ids = self.newer.get(part) or self.older.get(part)
@@ -95,7 +87,8 @@ class Encoder:
                 ids = self._by_model(part)
         if len(part) <= LONGEST_REMEMBERED:
             if len(self.newer) >= REMEMBERED:
-                self.older, self.newer = self.newer, {}
+                self.older = self.newer.copy()
+                self.newer.clear()
             self.newer[part] = ids
         return ids
 
