@@ -66,3 +66,34 @@ WITH RECURSIVE doc AS (
 SELECT doc_id, coalesce(size.n, 0)::BIGINT AS n_shingles, root AS component_id, root = doc_id AS kept
 FROM doc LEFT JOIN size USING (doc_id) JOIN component ON node = doc_id
 """
+
+ORACLE_SQL["op8_winnow"] = r"""
+WITH doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents
+), item AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark
+), item_window AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[pos : pos + n - 1], ' ') AS w FROM (
+    SELECT item_id, words, least(13, len(words)) AS n, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS pos
+    FROM item WHERE len(words) > 0)
+), lengths AS (
+  SELECT DISTINCT n FROM item_window
+), doc_window AS (
+  SELECT doc_id, n, pos, array_to_string(words[pos : pos + n - 1], ' ') AS w FROM (
+    SELECT doc_id, n, words, unnest(range(1, len(words) - n + 2)) AS pos FROM doc, lengths WHERE len(words) >= n)
+), hit AS (
+  SELECT doc_id, item_id, pos, n FROM doc_window JOIN item_window USING (n, w)
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (
+    SELECT doc_id, unnest(range(pos, pos + n)) AS place FROM hit) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwall.llm import minhash, packing, repeats, token_files, warc
+from pitwall.llm import minhash, packing, repeats, token_files, warc, winnow
 from pitwall.llm.tables import given
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,13 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.decontaminated(
+        given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"), window=13, k=5
+    )
+    return found.drop("ord")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(given(spark, sf_dir, "documents"), BYTE_TOKENIZER, end_id=2)
 
@@ -36,5 +43,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_repeats, op5_warc, op7_minhash, op9_token_files, op10_packing)
+    f.__name__: f for f in (op2_repeats, op5_warc, op7_minhash, op8_winnow, op9_token_files, op10_packing)
 }
