@@ -3,20 +3,41 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitwall.llm import minhash, packing, repeats, token_files, warc, winnow
-from pitwall.llm.tables import given
+from pitwall.llm import langid, minhash, packing, repeats, token_files, toxicity, warc, winnow
+from pitwall.llm.tables import checksum32, given
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def language_held_out() -> Column:
+    return F.coalesce(checksum32("doc_id") % 4 == 2, F.lit(False))
+
+
+def toxic_held_out() -> Column:
+    return F.coalesce(checksum32("doc_id") % 5 == 0, F.lit(False))
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = given(spark, sf_dir, "documents")
+    model = langid.trained(documents, learn_from=~language_held_out())
+    return langid.predicted(documents.withColumn("held_out", language_held_out()), model, ["doc_id", "held_out"])
+
+
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeats.without_repeats(given(spark, sf_dir, "documents"), k=20)
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = given(spark, sf_dir, "documents")
+    learnt = toxicity.trained(documents, given(spark, sf_dir, "labels"), learn_from=~toxic_held_out())
+    return toxicity.scored(documents.withColumn("held_out", toxic_held_out()), learnt, ["doc_id", "held_out"])
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archived(given(spark, sf_dir, "pages"), least_bytes=0)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -43,5 +64,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_repeats, op5_warc, op7_minhash, op8_winnow, op9_token_files, op10_packing)
+    f.__name__: f for f in (
+        op1_language, op2_repeats, op3_toxicity, op5_warc, op7_minhash, op8_winnow, op9_token_files, op10_packing,
+    )
 }

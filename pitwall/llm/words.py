@@ -124,3 +124,52 @@ def byte_set(separators: frozenset[int]) -> np.ndarray:
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
 NOT_SPACE = byte_set(SPACES)
+
+
+@dataclass
+class LetterWords:
+    """The lower-cased letter runs of consecutive documents: code points (0 between words), spans, hashes, bounds."""
+
+    first_row: int
+    values: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    bounds: np.ndarray
+
+    @property
+    def n_docs(self) -> int:
+        return len(self.bounds) - 1
+
+    def letter_grams(self, starts: np.ndarray, n: int) -> np.ndarray:
+        """Hashes of n code points from each start on."""
+        return mixed(span_sums(self.values, starts, starts + n, _LETTER_BASE) + np.uint64(n))
+
+
+_LETTER_BASE = 0xE7037ED1A0B428DB
+_letters: list[np.ndarray] = []
+
+
+def letter_words(column: pa.Array) -> Iterator[LetterWords]:
+    """Cuts each text, lower-cased, into its longest runs of letters."""
+    if not _letters:
+        _letters.append(np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
+    is_letter = _letters[0]
+    row, texts, held = 0, [], 0
+    for i, text in enumerate(column):
+        texts.append((text.as_py() or "").lower())
+        held += len(texts[-1])
+        if held >= CHUNK_BYTES or i + 1 == len(column):
+            lengths = np.array([len(t) for t in texts]) + 2
+            # Two code points that are no letters set documents apart.
+            points = np.frombuffer(("\0\0".join(texts) + "\0\0").encode("utf-32-le"), np.uint32)
+            offsets = np.append(0, np.cumsum(lengths))
+            inside = np.concatenate([[False], is_letter[points]])
+            points = np.concatenate([np.zeros(1, np.uint32), points])
+            starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+            ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+            values = np.where(inside, mixed(points.astype(np.uint64)), np.uint64(0))
+            sums = span_sums(values, starts, ends, _LETTER_BASE)
+            hashes = mixed(sums ^ (ends - starts).astype(np.uint64))
+            yield LetterWords(row, values, starts, ends, hashes, np.searchsorted(starts, offsets + 1))
+            row, texts, held = i + 1, [], 0
