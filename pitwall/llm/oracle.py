@@ -97,3 +97,26 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE_SQL["op6_lattice"] = """
+WITH RECURSIVE vec AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), usable AS (
+  SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm FROM vec
+  WHERE label IS NOT NULL AND len(e) > 0 AND list_bool_and(list_transform(e, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(e, lambda x: x <> 0))
+), near AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM vec
+  UNION
+  SELECT b, root FROM reach JOIN near ON a = node
+), component AS (
+  SELECT node, min(root) AS root FROM reach GROUP BY node
+)
+SELECT vec_id, (SELECT count(*) FROM near WHERE a = vec_id)::BIGINT AS n_links, root AS component_id,
+  root = vec_id AS kept
+FROM vec JOIN component ON node = vec_id
+"""

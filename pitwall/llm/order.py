@@ -1,4 +1,4 @@
-"""A total order of documents: a unique, non-null number that ascends with doc_id."""
+"""A total order of rows: a unique, non-null number that ascends with a table's id."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -6,16 +6,16 @@ from pyspark.sql import functions as F
 from pitwall.llm.tables import stored
 
 
-def ordered(documents: DataFrame) -> DataFrame:
-    """doc_id, text, and ``ord``: doc_id itself where ids are unique and never null.
+def ordered(rows: DataFrame, id_name: str = "doc_id", payload: str = "text", kind: str = "string") -> DataFrame:
+    """The id (long), the payload, and ``ord``: the id itself where ids are unique and never null.
 
-    Else rows are numbered in order of doc_id (nulls first) and then of text (nulls first), so
-    rows with one id are documents of their own, one after the other.
+    Else rows are numbered in order of id (nulls first) and then of payload (nulls first), so
+    rows with one id are rows of their own, one after the other.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    odd = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    rows = rows.select(F.col(id_name).cast("long").alias(id_name), F.col(payload).cast(kind).alias(payload))
+    odd = rows.groupBy(id_name).count().where(f"count > 1 OR {id_name} IS NULL")
     if odd.isEmpty():
-        return docs.withColumn("ord", F.col("doc_id"))
-    keys = [F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")]
-    in_order = docs.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        return rows.withColumn("ord", F.col(id_name))
+    keys = [F.asc_nulls_first(id_name), F.asc_nulls_first(payload)]
+    in_order = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     return stored(in_order.withColumn("ord", F.monotonically_increasing_id()), "ordered")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import langid, minhash, packing, repeats, token_files, toxicity, warc, winnow
+from pitwall.llm import langid, lattice, minhash, packing, repeats, token_files, toxicity, warc, winnow
 from pitwall.llm.tables import checksum32, given
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicate_vectors(given(spark, sf_dir, "embeddings"), threshold=0.93).drop("ord")
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(given(spark, sf_dir, "documents"), k=5, percent=75)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -65,6 +69,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_language, op2_repeats, op3_toxicity, op5_warc, op7_minhash, op8_winnow, op9_token_files, op10_packing,
+        op1_language, op2_repeats, op3_toxicity, op5_warc, op6_lattice, op7_minhash, op8_winnow, op9_token_files, op10_packing,
     )
 }
