@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import langid, lattice, minhash, packing, repeats, token_files, toxicity, warc, winnow
+from pitwall.llm import langid, lattice, minhash, packing, pages, repeats, token_files, toxicity, warc, winnow
 from pitwall.llm.tables import checksum32, given
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents.withColumn("held_out", toxic_held_out()), learnt, ["doc_id", "held_out"])
 
 
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(given(spark, sf_dir, "pages"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archived(given(spark, sf_dir, "pages"), least_bytes=0)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -69,6 +73,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_language, op2_repeats, op3_toxicity, op5_warc, op6_lattice, op7_minhash, op8_winnow, op9_token_files, op10_packing,
+        op1_language, op2_repeats, op3_toxicity, op4_pages, op5_warc, op6_lattice, op7_minhash, op8_winnow, op9_token_files, op10_packing,
     )
 }
