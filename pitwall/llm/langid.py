@@ -178,6 +178,12 @@ def predicted(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             [*keep, "lang_pred", "score"],
         )
 
-    rows = documents.select(*(F.col(c) for c in keep), F.col("text").cast("string").alias("__text"))
+    rows = documents.select(*(F.col(f"`{c}`") for c in keep), F.col("text").cast("string").alias("__text"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
     return rows.mapInArrow(by_batch(lambda: predict), f"{ddl}, lang_pred string, score double")
+
+
+def identified(documents: DataFrame, model: Model) -> DataFrame:
+    """The rows of documents that are in a language; those found to be in none are rejected."""
+    names = documents.columns
+    return predicted(documents, model, names).where(F.col("lang_pred") != UNKNOWN).select(*(F.col(f"`{c}`") for c in names))

@@ -188,7 +188,20 @@ def near_duplicates(
     documents: DataFrame, k: int = SHINGLE_WORDS, percent: int = 75, bands: int = BANDS, slots: int = BAND_SLOTS
 ) -> DataFrame:
     """Of each document: ord, doc_id, n_shingles, component_id and whether it is the one kept of its component."""
-    docs = ordered(documents)
+    return near_duplicates_in(ordered(documents), k, percent, bands, slots)
+
+
+def deduplicated(documents: DataFrame) -> DataFrame:
+    """The rows of documents, one for each component."""
+    docs = ordered(documents, whole=True)
+    gone = near_duplicates_in(docs.select("ord", "doc_id", "text")).where(~F.col("kept")).select("ord")
+    return docs.join(stored(gone, "gone"), "ord", "left_anti").select("row.*")
+
+
+def near_duplicates_in(
+    docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = 75, bands: int = BANDS, slots: int = BAND_SLOTS
+) -> DataFrame:
+    """As near_duplicates, of documents in order (ord, doc_id, text)."""
     signed = stored(signatures(docs, k, bands, slots), "signatures")
     classes = signed.where("n_shingles > 0").groupBy("set_key").agg(F.min("ord").alias("class"))
     first_of_set = signed.join(classes.select(F.col("class").alias("ord")), "ord", "left_semi")

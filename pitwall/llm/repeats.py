@@ -230,7 +230,26 @@ def without_repeats(documents: DataFrame, k: int = 20) -> DataFrame:
     """Of each document: ord, doc_id, n_words, n_removed, digest of the kept words, and for documents that
     keep only a part, the kept words; others keep all (``kept_text`` null, n_removed 0) or, as copies, none.
     """
-    docs = ordered(documents).withColumn("text", F.coalesce("text", F.lit("")))
+    return without_repeats_in(ordered(documents), k)
+
+
+def rewritten(documents: DataFrame, k: int = 20) -> DataFrame:
+    """The rows of documents with what is left of their texts: the kept words, joined by single spaces, where
+    words were removed, and else the text as it was. n_chars, if there, is counted anew.
+    """
+    docs = ordered(documents, whole=True)
+    kept = without_repeats_in(docs.select("ord", "doc_id", "text"), k)
+    changed = stored(kept.where("n_removed > 0").select("ord", "kept_text"), "kept")
+    new = {"text": F.coalesce("kept_text", "row.text")}
+    if "n_chars" in documents.columns:
+        new["n_chars"] = F.when(F.col("kept_text").isNull(), F.col("row.n_chars")).otherwise(F.char_length("kept_text"))
+    names = [new[c].cast(documents.schema[c].dataType).alias(c) if c in new else F.col(f"row.`{c}`") for c in documents.columns]
+    return docs.join(changed, "ord", "left").select(*names)
+
+
+def without_repeats_in(docs: DataFrame, k: int) -> DataFrame:
+    """As without_repeats, of documents in order (ord, doc_id, text)."""
+    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     texts = whole_texts(docs, k)
     candidates = candidate_runs(docs, texts, k)
     spans = removed_spans(candidates, k).groupBy("ord").agg(F.collect_list(F.struct("start", "end")).alias("spans"))

@@ -14,11 +14,23 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Drop the shuffle files of a query when it has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder; cuts the lineage, survives lost executors."""
-    path = scratch_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows as a Parquet table in the shared folder; cuts the lineage, survives lost executors.
+
+    Once the table is written nothing needs the shuffles behind it, so their files go.
+    """
+    spark = df.sparkSession
+    path, before = scratch_folder(spark, label), spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checksum32(key: str) -> F.Column:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.llm.order import ordered
+from pitwall.llm.tables import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -104,7 +105,20 @@ def _equal_words(hit: Column) -> Column:
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, k: int = GRAM_WORDS) -> DataFrame:
     """Of each document: ord, doc_id, n_words, n_hit, n_items, digest of the items' ids, contaminated."""
-    texts = ordered(documents)
+    return decontaminated_in(ordered(documents), benchmark, window, k)
+
+
+def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of documents that are not contaminated."""
+    docs = ordered(documents, whole=True)
+    found = decontaminated_in(docs.select("ord", "doc_id", "text"), benchmark)
+    return docs.join(stored(found.where("contaminated").select("ord"), "gone"), "ord", "left_anti").select("row.*")
+
+
+def decontaminated_in(
+    texts: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, k: int = GRAM_WORDS
+) -> DataFrame:
+    """As decontaminated, of documents in order (ord, doc_id, text)."""
     docs = texts.select("ord", words_of("text").alias("words"))
     items = benchmark.select(
         F.struct(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), words_of("text").alias("words")).alias("item")
