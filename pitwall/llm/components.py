@@ -1,5 +1,6 @@
 """Connected components of a graph given as an edge table."""
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,6 +10,10 @@ from pyspark.sql import functions as F
 from pitwall.llm.tables import stored
 
 
+#: Edges that one task reduces to a forest in memory.
+TASK_EDGES = 500_000
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over a task's edges: each node that is not the least of its tree, with the least."""
     parent: dict[int, int] = {}
@@ -45,14 +50,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge; a component is named by its least node.
 
-    edges: (a, b), longs, in any direction, repeated or not. Each task first reduces its edges
-    to a forest by union-find. Then large and small stars alternate until the edges no longer
-    change; every node is then joined to the least one of its component. Each step is a
-    distributed join on nodes; only a count and a checksum come to the driver.
+    edges: (a, b), longs, in any direction, repeated or not. Each task first reduces a bounded
+    number of edges to a forest by union-find; if that took one task, it is the result. Else
+    large and small stars alternate until the edges no longer change; every node is then joined
+    to the least one of its component. Each step is a distributed join on nodes; only counts
+    and a checksum come to the driver.
     """
-    loose = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
-    current = stored(loose.mapInArrow(_forest, "a long, b long").distinct(), "edges")
-    seen = _fingerprint(current)
+    loose = stored(
+        edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b"), "edges"
+    )
+    tasks = max(1, math.ceil(loose.count() / TASK_EDGES))
+    current = stored(loose.coalesce(tasks).mapInArrow(_forest, "a long, b long"), "edges")
+    seen = _fingerprint(current) if tasks > 1 else (0,)
     while seen[0]:
         current = stored(_star(_star(current, large=True), large=False), "edges")
         now = _fingerprint(current)
