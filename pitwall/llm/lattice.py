@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from pitwall.llm.components import components
 from pitwall.llm.order import ordered
-from pitwall.llm.tables import by_batch, stored
+from pitwall.llm.tables import by_batch, in_groups, stored
 from pitwall.llm.words import mixed
 
 TABLES, VISITS, CELLS_PER_UNIT = 5, 4, 1.77
@@ -124,22 +124,6 @@ def hashed_vectors(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _in_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by their first n_keys columns, group by group."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None or not len(held) else pa.concat_tables([held, table])
-        held = held.combine_chunks()
-        keys = np.stack([held.column(k).to_numpy() for k in range(n_keys)])
-        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-        for a, b in zip([0, *cuts[:-1]], cuts):
-            yield held.slice(a, b - a)
-        held = held.slice(cuts[-1] if len(cuts) else 0)
-    if held is not None and len(held):
-        yield held
-
-
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     values = column.combine_chunks()
     return values.flatten().to_numpy().reshape(len(values), -1)
@@ -204,7 +188,7 @@ def linked(classes: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -
     columns = [*keys, "ord", "t", "home", "side", "times", "unit", "live", "visit"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _in_groups(batches, len(keys)):
+        for group in in_groups(batches, len(keys)):
             if len(group) > 1:
                 ords, found, roots = links_in_piece(group, threshold)
                 some = found > 0

@@ -13,8 +13,9 @@ band are linked without looking at all pairs of a bucket:
    are its own can link with nothing and is left out; the same counts bound any pair's similarity.
 2. Twice, all classes of a bucket are compared with one of them, and linked classes become
    components.
-3. What is left are pairs that share a bucket and lie in different components: those between
-   the classes outside a bucket's largest component and all others in it are compared, each.
+3. What is left are pairs that share a bucket and lie in different components. Classes outside
+   a bucket's largest component are compared with each other, and with all of that component:
+   block by block, in pieces of work that give one link for each class that has any.
 
 With 40 bands of 4 slots a pair at similarity 0.75 shares no band once in four million.
 
@@ -35,10 +36,12 @@ from pyspark.sql import functions as F
 
 from pitwall.llm.components import components
 from pitwall.llm.order import ordered
-from pitwall.llm.tables import by_batch, stored
+from pitwall.llm.tables import by_batch, in_groups, stored
 from pitwall.llm.words import ASCII_LOWER, NOT_SPACE, Words, mixed, span_sums, split_words
 
 SHINGLE_WORDS, BANDS, BAND_SLOTS = 5, 40, 4
+#: Sets of each kind in a piece of work, and shingles counted at once in it.
+BLOCK_SETS, COLUMNS = 256, 20_000
 _WHOLE_BASE, _BAND_BASE = 0xC2B2AE3D27D4EB4F, 0x9E6C63D0876A9A35
 _STEP = 0xA0761D6478BD642F
 
@@ -167,14 +170,73 @@ def links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     largest = sizes.groupBy("key").agg(
         F.max(F.struct("count", "component")).alias("largest"), F.count("*").alias("n")
     ).where("n > 1").select("key", F.col("largest.component").alias("main"))
-    mixed_rows = stored(current.join(largest, "key"), "buckets")
-    outside = mixed_rows.where("component <> main")
+    outside = stored(current.join(largest, "key").where("component <> main"), "outside")
     pairs = (
-        outside.alias("x").join(mixed_rows.alias("y"), "key")
-        .where((F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent))
-        .select(F.least("x.ord", "y.ord").alias("a"), F.greatest("x.ord", "y.ord").alias("b")).distinct()
+        outside.alias("x").join(outside.alias("y"), "key")
+        .where((F.col("x.ord") < F.col("y.ord")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent))
+        .select(F.col("x.ord").alias("a"), F.col("y.ord").alias("b")).distinct()
     )
-    return found.unionByName(stored(confirmed(pairs, sets, percent), "links"))
+    among = stored(confirmed(pairs, sets, percent), "links")
+    visits = outside.select(F.col("main").alias("component"), "ord").distinct()
+    members = current.select("component", "ord").distinct().join(visits.select("component").distinct(), "component", "left_semi")
+    return found.unionByName(among).unionByName(links_to_components(visits, members, sets, percent))
+
+
+def links_to_components(visits: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a link to a component for each class that visits it and has one. Both: component, ord.
+
+    Visitors and members of a component are dealt into blocks; a block of either kind is one piece.
+    """
+    sizes = (
+        visits.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("v_blocks"))
+        .join(members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("m_blocks")), "component")
+    )
+
+    def dealt(rows: DataFrame, own: str, other: str, member: bool) -> DataFrame:
+        mine = F.pmod(F.xxhash64("ord", F.lit("block")), F.col(own)).cast("int").alias(own[0])
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[0])
+        placed = rows.join(sizes, "component").select("component", "ord", mine, every)
+        return placed.select("component", "v", "m", "ord", F.lit(member).alias("member"))
+
+    pieces = dealt(visits, "v_blocks", "m_blocks", False).unionByName(dealt(members, "m_blocks", "v_blocks", True))
+    keys = ["component", "v", "m"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in in_groups(batches, len(keys)):
+            a, b = _links_in_piece(group, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    whole = pieces.join(sets, "ord").select(*keys, "ord", "member", "shingles")
+    return stored(whole.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long"), "links")
+
+
+def _links_in_piece(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each visitor that is similar enough to some member: the two."""
+    ords, member = group["ord"].to_numpy(), group["member"].to_numpy(zero_copy_only=False)
+    shingles = group["shingles"].combine_chunks()
+    sizes = shingles.value_lengths().to_numpy().astype(np.int64)
+    doc, values = np.repeat(np.arange(len(ords)), sizes), shingles.flatten().to_numpy()
+    names, number = np.unique(values, return_inverse=True)
+    of_member = member[doc]
+    both = np.zeros(len(names), np.int8)
+    both[number[of_member]] |= 1
+    both[number[~of_member]] |= 2
+    shared = np.flatnonzero(both == 3)
+    place = np.full(len(names), -1)
+    place[shared] = np.arange(len(shared))
+    column = place[number]
+    common = np.zeros((len(ords), len(ords)), np.float32)
+    for at in range(0, len(shared), COLUMNS):
+        some = np.flatnonzero((column >= at) & (column < at + COLUMNS))
+        table = np.zeros((len(ords), min(COLUMNS, len(shared) - at)), np.float32)
+        table[doc[some], column[some] - at] = 1
+        common += table @ table.T
+    visitors, members = np.flatnonzero(~member), np.flatnonzero(member)
+    inside = common[np.ix_(visitors, members)].astype(np.int64)
+    similar = 100 * inside >= percent * (sizes[visitors][:, None] + sizes[members][None, :] - inside)
+    similar &= ords[visitors][:, None] != ords[members][None, :]
+    linked = np.flatnonzero(similar.any(1)) if similar.size else np.zeros(0, np.int64)
+    return ords[visitors[linked]], ords[members[similar[linked].argmax(1)]] if len(linked) else ords[:0]
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +52,19 @@ def by_batch(
                 yield from work(batch)
 
     return run
+
+
+def in_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """Rows sorted by their first n_keys columns, group by group."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None or not len(held) else pa.concat_tables([held, table])
+        held = held.combine_chunks()
+        keys = np.stack([held.column(k).to_numpy() for k in range(n_keys)])
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+        for a, b in zip([0, *cuts[:-1]], cuts):
+            yield held.slice(a, b - a)
+        held = held.slice(cuts[-1] if len(cuts) else 0)
+    if held is not None and len(held):
+        yield held
