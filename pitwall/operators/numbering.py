@@ -1,93 +1,37 @@
 """Row numbers within groups of any size."""
 
-from functools import reduce
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.functions.conditions import same_or_both_null, smallest_first
-from pitwall.operators.copies import fold_copies, split_chunks, unfold
-from pitwall.storage import checkpointed
-
-# A group up to this many rows is numbered by one task.
-HOT_GROUP_ROWS = 2_000_000
+from pitwall.functions.conditions import smallest_first
 
 
-def number_rows(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    name: str,
-    group_sizes: DataFrame,
-    hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
+def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str, cut: Column) -> DataFrame:
     """Add ``name`` = 1, 2, ... within each group of ``keys``, ascending by ``order``, NULL last.
 
     Rows equal on ``order`` are told apart by all their other columns, so the
-    numbers are the same on every run. ``group_sizes`` (keys, rows) says how
-    large each group is, or an upper bound of it. Groups above ``hot_rows`` are
-    numbered by many tasks (``_number_hot``), all others by one window.
+    numbers are the same on every run.
+
+    ``cut`` slices every group: a whole number that never falls while ``order[0]``
+    rises, NULL if that is NULL. Each slice is numbered for itself and shifted by the
+    rows of the slices before it, which an aggregate counts; so no task gets more than
+    one slice of a group, whatever the group's size. Rows that share keys and slice are
+    sorted by one task, which may spill. Nothing runs before the result is asked for,
+    and no value is changed.
     """
     total_order = order + [c for c in df.columns if c not in keys and c not in order]
-    hot = group_sizes.filter(F.col("rows") > hot_rows)
-    if hot.isEmpty():
-        return _number_by_window(df, keys, total_order, name)
-
-    hot = checkpointed(hot.select(*[F.col(k).alias(f"hot_{k}") for k in keys], "rows"))
-    is_hot = _same_keys(keys, "hot_")
-    usual = _number_by_window(df.join(hot, is_hot, "left_anti"), keys, total_order, name)
-    large = df.join(hot, is_hot, "left_semi")
-    slices = ceil(hot.agg(F.sum("rows")).first()[0] / hot_rows) + 1
-    return usual.unionByName(_number_hot(large, keys, total_order, name, slices))
-
-
-def _same_keys(keys: list[str], prefix: str) -> Column:
-    """Join condition on ``keys`` and their prefixed namesakes; NULL equals NULL."""
-    return reduce(
-        Column.__and__, [same_or_both_null(F.col(k), F.col(f"{prefix}{k}")) for k in keys]
-    )
-
-
-def _number_by_window(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*[smallest_first(F.col(c)) for c in order])
-    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-
-def _number_hot(df: DataFrame, keys: list[str], order: list[str], name: str, slices: int) -> DataFrame:
-    """Number groups that are too large for one task.
-
-    Copies are folded, so the remaining rows are all different and a range
-    partitioning over keys and order can always cut a group into slices. Each
-    slice is numbered for itself and shifted by the size of the slices before it.
-    The slices are checkpointed first: sizes and rows have to see the same cut.
-    """
-    rows = fold_copies(df, keys + order)
-    sort_columns = [smallest_first(F.col(c)) for c in keys + order]
-    sliced = checkpointed(
-        rows.repartitionByRange(slices, *sort_columns).withColumn("slice", F.spark_partition_id())
-    )
-
-    earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        sliced.groupBy(*keys, "slice").agg(F.sum("copies").alias("slice_rows"))
-        .withColumn("slice_start", F.coalesce(F.sum("slice_rows").over(earlier), F.lit(0)))
-        .drop("slice_rows")
-    )
-    starts = starts.select(*[F.col(k).alias(f"of_{k}") for k in [*keys, "slice"]], "slice_start")
-    placed = sliced.join(starts, _same_keys([*keys, "slice"], "of_")).select(*sliced.columns, "slice_start")
-
-    before = (
-        Window.partitionBy(*keys, "slice").orderBy(*[smallest_first(F.col(c)) for c in order])
+    # A struct takes part in joins and windows with its NULLs.
+    sliced = df.withColumn("__place", F.struct(*keys, F.coalesce(cut.cast("bigint"), F.lit(2**63 - 1)).alias("slice")))
+    within = Window.partitionBy("__place").orderBy(*[smallest_first(F.col(c)) for c in total_order])
+    numbered = sliced.withColumn("__number", F.row_number().over(within))
+
+    counts = sliced.groupBy("__place").agg(F.count(F.lit(1)).alias("__rows"))
+    earlier = (
+        Window.partitionBy(*[F.col(f"__place.{k}") for k in keys]).orderBy("__place.slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    numbered = placed.withColumn(
-        "row_start", F.col("slice_start") + F.coalesce(F.sum("copies").over(before), F.lit(0))
-    )
-    chunks = split_chunks(numbered.drop("slice", "slice_start"))
-    spread = chunks.repartition(slices, *keys, "row_start", "chunk_start")
+    starts = counts.select("__place", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__start"))
     return (
-        unfold(spread, "place")
-        .withColumn(name, (F.col("row_start") + F.col("place") + 1).cast("bigint"))
-        .drop("row_start", "place")
+        numbered.join(starts, "__place").withColumn(name, (F.col("__start") + F.col("__number")).cast("bigint"))
+        .drop("__place", "__start", "__number")
     )

@@ -12,8 +12,8 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str], newest: str)
     """Target rows whose key has a change take its values; changes with a new key are added.
 
     Only the newest change of a key counts. A key that occurs in several target
-    rows has all of them updated. The result is a new DataFrame; the caller
-    writes it beside the old one, never over it.
+    rows has all of them updated. Both sides are read once. The result is a new
+    DataFrame; the caller writes it beside the old one, never over it.
     """
     columns = target.columns
     rest = [c for c in columns if c not in keys]
@@ -21,8 +21,6 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str], newest: str)
         *[F.col(c).alias(f"new_{c}") for c in columns], F.lit(True).alias("is_change")
     )
     same_key = reduce(Column.__and__, [F.col(k) == F.col(f"new_{k}") for k in keys])
-    kept_or_updated = target.join(change, same_key, "left").select(
+    return target.join(change, same_key, "full").select(
         *[F.when(F.col("is_change"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in columns]
     )
-    added = change.join(target, same_key, "left_anti").select(*[F.col(f"new_{c}").alias(c) for c in columns])
-    return kept_or_updated.unionByName(added)

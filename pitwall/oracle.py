@@ -225,6 +225,7 @@ ORACLE_SQL: dict[str, str] = {
     "src_bundle_laps": _bundle("laps"),
     "src_bundle_positions": _bundle("positions"),
     "src_latest_sessions": _sessions_of(YEAR),
+    "src_empty_selection": f"SELECT * FROM ({_sessions_of(YEAR)}) WHERE false",
     "src_catalogue": f"WITH {_RAW}\nSELECT * EXCLUDE (ingested_at) "
     f"REPLACE ({_iso('date_start')}, {_iso('date_end')}) FROM raw_sessions",
     "hist_selection": f"WITH {_RAW}\nSELECT session_key, session_name, session_type, {_iso('date_start')}, year "
@@ -241,6 +242,11 @@ ORACLE_SQL: dict[str, str] = {
     "load_positions_shape": f"WITH {_RAW},\n{_RESTAMPED}\nSELECT * FROM run_positions",
     "load_counts": f"WITH {_RAW}\n"
     + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS loaded FROM raw_{t}" for t in ENTITIES),
+    "backfill_replayed": f"WITH {_RAW},\n{_RESTAMPED}\nSELECT * FROM run_laps",
+    "load_broken": f"WITH {_RAW}\nSELECT session_key, CASE WHEN bad THEN 'failed' ELSE 'loaded' END AS status, "
+    "CASE WHEN bad THEN 'laps: lap_number exceeds its limit of 3' END AS error, CASE WHEN bad THEN 0 ELSE 1 END::BIGINT "
+    "AS sessions FROM (SELECT session_key, session_key % 50 = 3 AND session_key IN (SELECT session_key FROM raw_laps) "
+    "AS bad FROM raw_sessions)",
     "load_ledger": f"WITH {_RAW}\nSELECT session_key, session_name, year, 'loaded' AS status, "
     + ", ".join(f"ifnull({t}, 0) AS {t}" for t in ENTITIES)
     + f", NULL::VARCHAR AS error FROM raw_sessions {_COUNTS_PER_SESSION}",

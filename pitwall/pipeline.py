@@ -12,7 +12,7 @@ from pitwall.sinks.marts import MARTS, publish
 from pitwall.sinks.raw import load_sessions
 from pitwall.sources.catalogue import chosen_sessions, latest_completed_race
 from pitwall.sources.landing import catalogue
-from pitwall.sources.tables import committed_loads, read_raw, read_raw_tables
+from pitwall.sources.tables import read_raw, read_raw_tables
 from pitwall.storage import folder_bytes
 
 
@@ -51,10 +51,10 @@ def backfill(
     """Load the chosen part of the catalogue and return the ledger; marts are not rebuilt.
 
     Sessions loaded before are left out unless ``reload`` is set, in which case
-    they are appended again.
+    they are appended again. A load id may be used again: what it loaded before stays.
     """
     sized_for(tuned(spark), folder_bytes(spark, landing_root))
-    chosen = chosen_sessions(catalogue(spark, landing_root), year, session_type)
+    chosen = chosen_sessions(catalogue(spark, landing_root, skip_broken=True), year, session_type)
     if not reload:
         loaded = read_raw(spark, raw_root, "sessions").select("session_key")
         chosen = chosen.join(loaded, "session_key", "left_anti")
@@ -74,18 +74,14 @@ def refresh(
 
     A race loaded before is not loaded again unless ``reload`` is set.
     """
-    race = latest_completed_race(catalogue(spark, landing_root), as_of)
+    race = latest_completed_race(catalogue(spark, landing_root, skip_broken=True), as_of)
     found = race.first()
     if found is None:
         return None
     key = found["session_key"]
-    load_id = f"session-{key}"
-    if reload:
-        times = sum(1 for done in committed_loads(spark, raw_root) if f"{done}-".startswith(f"{load_id}-"))
-        load_id = f"{load_id}-{times}"
-    chosen = chosen_sessions(catalogue(spark, landing_root)).filter(f"session_key = {key:d}")
+    chosen = chosen_sessions(catalogue(spark, landing_root, skip_broken=True)).filter(f"session_key = {key:d}")
     known = read_raw(spark, raw_root, "sessions").filter(f"session_key = {key:d}")
     if reload or known.isEmpty():
-        load_sessions(spark, landing_root, raw_root, chosen, load_id, run_ts, session_key=key)
+        load_sessions(spark, landing_root, raw_root, chosen, f"session-{key}", run_ts, session_key=key)
     build_marts(spark, raw_root, marts_root, run_ts)
     return key

@@ -65,14 +65,6 @@ class Layers:
     def dim_drivers(self) -> DataFrame:
         return marts.dim_drivers(staging.known_drivers(self.raw.drivers), self.run_ts)
 
-    @cached_property
-    def lap_rows(self) -> DataFrame:
-        return marts.lap_rows(self.stg_laps, self.stg_sessions)
-
-    @cached_property
-    def lap_totals(self) -> DataFrame:
-        return marts.lap_totals(self.stg_laps, self.stg_sessions)
-
     @cached_property
     def fct_lap_times(self) -> DataFrame:
         return marts.fct_lap_times(self.stg_laps, self.stg_sessions, self.stg_drivers, self.run_ts)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pitwall.functions import conditions as c
 from pitwall.operators.copies import fold_copies, split_chunks, unfold
 from pitwall.operators.latest import latest_per_key
-from pitwall.operators.numbering import HOT_GROUP_ROWS, number_rows
+from pitwall.operators.numbering import number_rows
 from pitwall.schemas import RACE
 
 DRIVER_ATTRIBUTES = ["full_name", "name_acronym", "team_name", "team_colour", "country_code", "headshot_url"]
@@ -31,33 +31,8 @@ def racing_laps(stg_laps: DataFrame) -> DataFrame:
     return stg_laps.filter(c.is_false(F.col("is_pit_out_lap")))
 
 
-def lap_rows(stg_laps: DataFrame, stg_sessions: DataFrame) -> DataFrame:
-    """The rows of the lap fact without looked-up and ranked columns.
-
-    Looking up a driver adds no row and removes none, so a report on single laps
-    that needs only these columns gets the same answer as from ``fct_lap_times``.
-    """
-    return racing_laps(stg_laps).join(stg_sessions.select("session_key"), "session_key").select(
-        "session_key", "driver_number", "lap_number", "lap_duration"
-    )
-
-
-def lap_totals(stg_laps: DataFrame, stg_sessions: DataFrame) -> DataFrame:
-    """Totals of the lap fact per driver number, without building the fact.
-
-    The laps are summed up per session and driver before they meet the sessions,
-    so only sums are shuffled, however large the sessions table is. A session
-    recorded n times counts n times, as in the fact.
-    """
-    per_entry = racing_laps(stg_laps).groupBy("session_key", "driver_number").agg(
-        F.count(F.lit(1)).alias("laps"), F.sum("lap_duration").alias("seconds"), F.min("lap_duration").alias("best")
-    )
-    records = stg_sessions.groupBy("session_key").agg(F.count(F.lit(1)).alias("records"))
-    counted = F.sum(F.col("laps") * F.col("records"))
-    return per_entry.join(records, "session_key").groupBy("driver_number").agg(
-        counted.alias("laps"), counted.alias("timed_laps"),
-        F.sum(F.col("seconds") * F.col("records")).alias("seconds"), F.min("best").alias("best"),
-    )
+# Laps of one number whose durations fall into the same so many seconds are ranked by one task.
+RANK_SLICE_SECONDS = 0.25
 
 
 def fct_lap_times(
@@ -65,7 +40,6 @@ def fct_lap_times(
     stg_sessions: DataFrame,
     stg_drivers: DataFrame,
     run_ts: datetime | str | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """One row per racing lap and session record, with its rank and the fastest-lap flags.
 
@@ -81,10 +55,9 @@ def fct_lap_times(
       after those of the k - 1 laps before it.
     """
     laps = racing_laps(stg_laps).select("session_key", "driver_number", "lap_number", "lap_duration", *SEGMENTS)
-    lap_sizes = laps.groupBy("session_key", "lap_number").agg(F.count(F.lit(1)).alias("rows"))
     ranked = number_rows(
         laps, ["session_key", "lap_number"], ["lap_duration", "driver_number", *SEGMENTS], "lap_rank",
-        lap_sizes, hot_rows,
+        cut=F.floor(F.col("lap_duration") / RANK_SLICE_SECONDS),
     )
     same_entry = (F.col("session_key") == F.col("entry_session")) & c.same_or_both_null(
         F.col("driver_number"), F.col("entry_driver")
@@ -154,17 +127,19 @@ def fct_race_results(
 ) -> DataFrame:
     """Last valid position per race and driver.
 
-    Positions are reduced to one per session and driver, and sessions to one
-    record per key, before anything is joined (J3, J4): each task does most of
-    that on its own rows, and no join sees a key more often than once per driver.
+    Sessions are reduced to one record per race, and positions to those of races before
+    anything else is done with them. Then each task reduces its positions to one per session
+    and driver, which takes a sort of its rows, and no join sees a key more often than once
+    per driver (J3, J4).
     """
-    last = latest_per_key(stg_positions, ["session_key", "driver_number"], "position_timestamp", ["position"])
     attributes = ["session_name", "circuit_short_name", "location", "year"]
     races = (
         stg_sessions.filter(F.col("session_type") == F.lit(session_type)).groupBy("session_key")
         .agg(F.max(F.struct(*attributes)).alias("race"))
         .select("session_key", *[F.col(f"race.{a}").alias(a) for a in attributes])
     )
+    of_races = stg_positions.join(races.select("session_key"), "session_key", "left_semi")
+    last = latest_per_key(of_races, ["session_key", "driver_number"], "position_timestamp", ["position"])
     return (
         last.join(races, "session_key")
         .join(_driver_names(stg_drivers), ["session_key", "driver_number"], "left")

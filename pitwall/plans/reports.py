@@ -22,11 +22,8 @@ def _timed(laps: DataFrame) -> DataFrame:
 def lap_totals(laps: DataFrame) -> DataFrame:
     """Laps, timed laps, their seconds and the best of them, per driver number.
 
-    All that Q3, Q4, Q9 and Q11 need. Totals made earlier (``marts.lap_totals``)
-    pass unchanged, so these reports take either the lap fact or its totals.
+    All that Q3, Q4, Q9 and Q11 need of the lap fact.
     """
-    if "timed_laps" in laps.columns:
-        return laps
     timed = F.when(F.col("lap_duration") > 0, F.col("lap_duration"))
     return laps.groupBy("driver_number").agg(
         F.count(F.lit(1)).alias("laps"), F.count(timed).alias("timed_laps"),

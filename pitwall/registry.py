@@ -4,18 +4,20 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitwall import pipeline
 from pitwall.operators import checks
 from pitwall.plans import quality, reports, staging
 from pitwall.plans.layers import Layers, RawTables
-from pitwall.schemas import ENTITIES, REQUIRED_FIELDS, raw_schema
+from pitwall.schemas import ENTITIES, RACE, REQUIRED_FIELDS, raw_schema
 from pitwall.sinks import raw as raw_sink
 from pitwall.sinks.marts import publish, read_mart
 from pitwall.sources import catalogue as cat
 from pitwall.sources import given, landing
+from pitwall.sources.tables import read_raw
 from pitwall.storage import scratch_folder
-from pitwall.streaming.promotion import promote, promote_by_key, read_keyed
+from pitwall.streaming.promotion import promote, promote_by_key, read_keyed, read_promoted
 
 # Parameters of the registered queries.
 RUN_TS = datetime(2025, 1, 1)
@@ -89,23 +91,46 @@ def _loaded(entity: str) -> Query:
     """K1-K4: append all landed records of an entity to its raw table and read that back."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = scratch_folder(spark, "raw")
-        records = landing.stamped(
-            landing.with_times(landing.landed(spark, landing_of(spark, sf_dir), entity), entity), RUN_TS
-        )
-        raw_sink.append_rows(raw_sink.raw_shape(records, entity), root, entity, "all")
-        return spark.read.parquet(f"{root}/{entity}/load_id=all")
+        root, attempt = scratch_folder(spark, "raw"), raw_sink.new_attempt("all")
+        records = landing.checked_bundle(spark, landing_of(spark, sf_dir), RUN_TS)[entity]
+        raw_sink.append_rows(raw_sink.raw_shape(records, entity), root, entity, attempt)
+        raw_sink.commit(spark, root, "all", attempt)
+        return read_raw(spark, root, entity)
 
     return query
 
 
 def _load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = landing_of(spark, sf_dir)
-    bundle = {
-        entity: landing.stamped(landing.with_times(landing.landed(spark, source, entity), entity), RUN_TS)
-        for entity in ENTITIES
-    }
-    return raw_sink.counts_frame(spark, raw_sink.load_bundle(bundle, scratch_folder(spark, "raw"), "all"))
+    """A bundle loaded twice under one id counts once."""
+    bundle, root = landing.checked_bundle(spark, landing_of(spark, sf_dir), RUN_TS), scratch_folder(spark, "raw")
+    raw_sink.load_bundle(bundle, root, "all")
+    return raw_sink.counts_frame(spark, raw_sink.load_bundle(bundle, root, "all"))
+
+
+def _load_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger when every 50th session has laps with a number beyond the limit."""
+    root = scratch_folder(spark, "broken")
+    raw = given.raw_tables(spark, sf_dir)
+    numbers = F.when(F.col("session_key") % 50 == 3, F.lit(1000)).otherwise(F.col("lap_number"))
+    tables = {entity: getattr(raw, entity) for entity in ENTITIES}
+    tables["laps"] = tables["laps"].withColumn("lap_number", numbers.cast(tables["laps"].schema["lap_number"].dataType))
+    landing.land_all(tables, f"{root}/land")
+    ledger = pipeline.backfill(spark, f"{root}/land", f"{root}/raw", "all", RUN_TS)
+    return ledger.select("session_key", "status", "error", "sessions")
+
+
+def _backfill_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Races first, then everything, then everything again, all under one load id: laps are there once."""
+    root, source = scratch_folder(spark, "replay"), landing_of(spark, sf_dir)
+    pipeline.backfill(spark, source, root, "season", RUN_TS, session_type=RACE)
+    for _ in range(2):
+        pipeline.backfill(spark, source, root, "season", RUN_TS)
+    return read_raw(spark, root, "laps")
+
+
+def _empty_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year without sessions gives no rows, and the columns and types of sessions."""
+    return landing.fetch_sessions(spark, landing_of(spark, sf_dir), year=1900)
 
 
 def _load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,27 +148,57 @@ def _table_fct_race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, root, "fct_race_results").drop("updated_at")
 
 
+def _attempt(df: DataFrame, root: str, entity: str, load_id: str, committed: bool = True) -> None:
+    attempt = raw_sink.new_attempt(load_id)
+    raw_sink.append_rows(df, root, entity, attempt)
+    if committed:
+        raw_sink.commit(df.sparkSession, root, load_id, attempt)
+
+
 def _promoted(entity: str) -> Query:
+    """A committed load and one that never was; promoted twice, the second time with a new checkpoint."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = scratch_folder(spark, "promotion")
-        getattr(given.raw_tables(spark, sf_dir), entity).write.parquet(f"{root}/from")
-        promote(spark, f"{root}/from", f"{root}/to", f"{root}/state", raw_schema(entity)).awaitTermination()
-        return spark.read.schema(raw_schema(entity)).parquet(f"{root}/to")
+        rows = getattr(given.raw_tables(spark, sf_dir), entity)
+        _attempt(rows, f"{root}/from", entity, "all")
+        _attempt(rows, f"{root}/from", entity, "failed", committed=False)
+        for state in ("first", "second"):
+            promote(spark, f"{root}/from", entity, f"{root}/to", f"{root}/{state}").awaitTermination()
+        return read_promoted(spark, f"{root}/to", entity)
 
     return query
 
 
 def _upsert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first stream run fills the table, a second one brings the reloaded races."""
+    """A first run fills the table, a second one, with a new checkpoint, brings the reloaded races."""
     root = scratch_folder(spark, "upsert")
     sessions = given.raw_sessions(spark, sf_dir)
-    schema = raw_schema("sessions")
-    for part in (sessions, given.reloaded_sessions(sessions)):
-        part.write.mode("append").parquet(f"{root}/from")
+    for state, part in (("first", sessions), ("second", given.reloaded_sessions(sessions))):
+        _attempt(part, f"{root}/from", "sessions", state)
         promote_by_key(
-            spark, f"{root}/from", f"{root}/to", f"{root}/state", schema, ["session_key"], "ingested_at"
+            spark, f"{root}/from", "sessions", f"{root}/to", f"{root}/{state}", ["session_key"], "ingested_at"
         ).awaitTermination()
-    return read_keyed(spark, f"{root}/to", schema)
+    return read_keyed(spark, f"{root}/to", raw_schema("sessions"))
+
+
+_published: dict[tuple[str, str], str] = {}
+
+
+def _of_published(report: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A report on the published lap fact and dimension; they are published once per application."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _published:
+            root, found = scratch_folder(spark, "marts"), layers(spark, sf_dir)
+            publish(found.fct_lap_times, root, "fct_lap_times")
+            publish(found.dim_drivers, root, "dim_drivers")
+            _published[key] = root
+        fact, dim = (read_mart(spark, _published[key], name) for name in ("fct_lap_times", "dim_drivers"))
+        return report(fact, dim)
+
+    return query
 
 
 def _backfill_lap_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +250,7 @@ QUERIES: dict[str, Query] = {
     "src_bundle_positions": _bundle_of("positions"),
     "src_latest_sessions": _latest_sessions,
     "src_catalogue": _catalogue,
+    "src_empty_selection": _empty_selection,
     "hist_selection": _hist_selection,
     "hist_summary": _hist_summary,
     "catalogue_summary": _catalogue_summary,
@@ -206,6 +262,8 @@ QUERIES: dict[str, Query] = {
     "load_positions_shape": _loaded("positions"),
     "load_counts": _load_counts,
     "load_ledger": _load_ledger,
+    "load_broken": _load_broken,
+    "backfill_replayed": _backfill_replayed,
     "backfill_lap_times": _backfill_lap_times,
     "refresh_race_results": _refresh_race_results,
     # Materialisation and promotion
@@ -228,15 +286,15 @@ QUERIES: dict[str, Query] = {
     # Reports (Q1-Q12)
     "driver_list": _of_layers(lambda y: reports.driver_list(y.dim_drivers)),
     "kpi_total_drivers": _of_layers(lambda y: reports.total_drivers(y.dim_drivers)),
-    "kpi_total_laps": _of_layers(lambda y: reports.total_laps(y.lap_totals)),
-    "kpi_avg_lap": _of_layers(lambda y: reports.average_lap(y.lap_totals)),
+    "kpi_total_laps": _of_published(lambda fact, dim: reports.total_laps(fact)),
+    "kpi_avg_lap": _of_published(lambda fact, dim: reports.average_lap(fact)),
     "kpi_sessions": _of_layers(lambda y: reports.total_sessions(y.fct_race_results)),
     "driver_standings": _of_layers(lambda y: reports.driver_standings(y.fct_race_results, y.dim_drivers)),
     "driver_info": _of_layers(lambda y: reports.driver_info(y.dim_drivers, DRIVER_NUMBER).drop("updated_at")),
-    "driver_lap_series": _of_layers(lambda y: reports.driver_lap_series(y.lap_rows, DRIVER_NUMBER)),
-    "driver_lap_stats": _of_layers(lambda y: reports.driver_lap_stats(y.lap_totals, DRIVER_NUMBER)),
-    "fastest_laps": _of_layers(lambda y: reports.fastest_laps(y.lap_rows, y.dim_drivers)),
-    "team_comparison": _of_layers(lambda y: reports.team_comparison(y.lap_totals, y.dim_drivers)),
+    "driver_lap_series": _of_published(lambda fact, dim: reports.driver_lap_series(fact, DRIVER_NUMBER)),
+    "driver_lap_stats": _of_published(lambda fact, dim: reports.driver_lap_stats(fact, DRIVER_NUMBER)),
+    "fastest_laps": _of_published(reports.fastest_laps),
+    "team_comparison": _of_published(reports.team_comparison),
     "driver_lookup": _of_layers(lambda y: reports.driver_lookup(y.dim_drivers, FULL_NAME)),
     # Checks (D1-D5)
     "dq_not_null_raw": _of_layers(quality.raw_not_null),

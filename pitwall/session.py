@@ -42,19 +42,24 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Stored input per shuffle partition, and the most partitions to ask for.
+# Stored input per shuffle partition.
 BYTES_PER_PARTITION = 128 * 1024 * 1024
-MOST_PARTITIONS = 50_000
+_SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+_sized: dict[str, tuple[str, str]] = {}
 
 
 def sized_for(spark: SparkSession, input_bytes: int) -> SparkSession:
-    """Raise the number of shuffle partitions to what the input needs, so that each fits in memory.
+    """Set the number of shuffle partitions to what the input needs, so that each fits in memory.
 
-    Never lowers it: Spark merges partitions that turn out small at run time.
+    Never below the session's own setting, which holds again for the next, smaller input.
+    Spark merges partitions that turn out small at run time.
     """
-    wanted = min(input_bytes // BYTES_PER_PARTITION + 1, MOST_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    app, now = spark.sparkContext.applicationId, spark.conf.get(_SHUFFLE_PARTITIONS)
+    own, last = _sized.get(app, (now, now))
+    own = own if now == last else now
+    wanted = str(max(int(own), input_bytes // BYTES_PER_PARTITION + 1))
+    spark.conf.set(_SHUFFLE_PARTITIONS, wanted)
+    _sized[app] = own, wanted
     return spark
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwall.storage import current_version, read_version, write_version
+from pitwall.storage import current_version, drop_old_versions, next_version, read_version, write_version
 
 MARTS = ("dim_drivers", "fct_lap_times", "fct_race_results")
 
@@ -27,11 +27,17 @@ def table_layout(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-def publish(df: DataFrame, marts_root: str, name: str) -> int:
-    """Rebuild a mart in full as a new version; readers move on once it is complete."""
-    root = f"{marts_root}/{name}"
-    version = (current_version(df.sparkSession, root) or 0) + 1
+def publish(df: DataFrame, marts_root: str, name: str, keep: int | None = None) -> int:
+    """Rebuild a mart in full as a new version; readers move on once it is complete.
+
+    Two builders at a time write versions of their own, or one of them fails before it has
+    written anything. With ``keep``, older versions but so many are removed.
+    """
+    root, spark = f"{marts_root}/{name}", df.sparkSession
+    version = next_version(spark, root)
     write_version(table_layout(name, df), root, version)
+    if keep:
+        drop_old_versions(spark, root, keep)
     return version
 
 
@@ -42,3 +48,10 @@ def read_mart(spark: SparkSession, marts_root: str, name: str) -> DataFrame:
     if version is None:
         raise ValueError(f"{name} has not been published yet")
     return read_version(spark, root, version)
+
+
+def register_marts(spark: SparkSession, marts_root: str, schema: str | None = None) -> None:
+    """Make the newest versions readable by table name in the session, in a schema's name if one is given."""
+    prefix = "" if schema is None else f"{schema_name(schema)}_"
+    for name in MARTS:
+        read_mart(spark, marts_root, name).createOrReplaceTempView(f"{prefix}{name}")

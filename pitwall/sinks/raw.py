@@ -1,5 +1,6 @@
 """Loading records into the raw tables (K1-K6)."""
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pitwall.jobs import side_by_side
 from pitwall.schemas import ENTITIES, RAW_COLUMNS, RECORD_NAMES, STRICT_ENTITIES
 from pitwall.sources.landing import UNREADABLE, checked_records, stamped
+from pitwall.sources.tables import commits
 from pitwall.storage import checkpointed
 
 
@@ -30,31 +32,44 @@ def raw_shape(records: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def append_rows(df: DataFrame, raw_root: str, entity: str, load_id: str) -> int:
-    """Write the rows of one load and return their number, counted while writing.
+def new_attempt(load_id: str) -> str:
+    """A name no other attempt at this or another load has."""
+    return f"{load_id}.{uuid.uuid4().hex}"
 
-    Repeating a load with its id replaces what it wrote before.
+
+def append_rows(df: DataFrame, raw_root: str, entity: str, attempt: str) -> int:
+    """Write the rows of one attempt and return their number, counted while writing.
+
+    An attempt writes an entity once; it is an error if its folder is there already.
     """
     written = Observation()
     (
         df.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite").parquet(f"{raw_root}/{entity}/load_id={load_id}")
+        .write.mode("error").parquet(f"{raw_root}/{entity}/attempt={attempt}")
     )
     return written.get["rows"]
 
 
-def commit_load(ledger: DataFrame, raw_root: str, load_id: str) -> None:
-    """Write the ledger of a load, which makes its rows visible to ``read_raw``."""
-    ledger.write.mode("overwrite").parquet(f"{raw_root}/ledger/load_id={load_id}")
+def commit(spark: SparkSession, raw_root: str, load_id: str, attempt: str) -> None:
+    """Add an attempt to the log, which makes its rows visible to ``read_raw``: one row, one file."""
+    row = spark.createDataFrame([(load_id, attempt)], "load_id string, attempt string")
+    row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{raw_root}/commits")
 
 
 def load_bundle(bundle: dict[str, DataFrame], raw_root: str, load_id: str) -> dict[str, int]:
-    """K5: append a bundle in order and return the rows per table."""
-    counts = {
-        entity: append_rows(raw_shape(bundle[entity], entity), raw_root, entity, load_id) for entity in ENTITIES
-    }
+    """K5: append a bundle in order and return the rows per table.
+
+    A load id that was committed is not loaded again; its recorded numbers are returned.
+    """
     spark = bundle["sessions"].sparkSession
-    commit_load(counts_frame(spark, counts), raw_root, load_id)
+    done = commits(spark, raw_root).filter(F.col("load_id") == load_id).first()
+    if done is not None:
+        recorded = spark.read.parquet(f"{raw_root}/counts/attempt={done['attempt']}")
+        return {row["table_name"]: row["loaded"] for row in recorded.collect()}
+    attempt = new_attempt(load_id)
+    counts = {entity: append_rows(raw_shape(bundle[entity], entity), raw_root, entity, attempt) for entity in ENTITIES}
+    counts_frame(spark, counts).coalesce(1).write.parquet(f"{raw_root}/counts/attempt={attempt}")
+    commit(spark, raw_root, load_id, attempt)
     return counts
 
 
@@ -75,13 +90,15 @@ def load_sessions(
 
     A session with a record that cannot be loaded fails as a whole and is left
     out; the others are not affected. Unreadable records that cannot be given to a
-    session are reported in a ledger row without one. The first pass writes while it counts
-    problems. Only if there are any, the failed sessions are found and the load is
-    written again without them. ``session_key`` narrows the scan when just one
+    session are reported in a ledger row without one. The first pass counts problems while
+    it writes. Only if there are any, the failed sessions are found and a second attempt
+    is written without them; the first one is never committed. Which sessions are chosen is
+    fixed before anything is written. ``session_key`` narrows the scan when just one
     session is chosen.
     """
-    chosen = chosen.filter(F.col("session_key").isNotNull())
+    chosen = checkpointed(chosen.filter(F.col("session_key").isNotNull()))
     keys = chosen.select("session_key").distinct().withColumn("is_chosen", F.lit(True))
+    attempt = new_attempt(load_id)
 
     def marked(entity: str) -> DataFrame:
         return checked_records(spark, landing_root, entity, session_key).join(keys, "session_key", "left")
@@ -101,27 +118,30 @@ def load_sessions(
             F.count(F.when(is_lost, F.col("problem"))).alias("lost"),
         )
         good = counted.filter("is_chosen and problem is null")
-        append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, load_id)
+        append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, attempt)
         return seen.get["problems"], seen.get["lost"]
 
     def write_again(entity: str) -> None:
         good = wanted(entity).filter(F.col("problem").isNull()).join(
             failed.select("session_key"), "session_key", "left_anti"
         )
-        append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, load_id)
+        append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, attempt)
 
     problems, lost = map(sum, zip(*side_by_side(spark, write_good, ENTITIES)))
     failed = None
     if problems:
         failed = checkpointed(_failed_sessions(wanted))
+        attempt = new_attempt(load_id)
         side_by_side(spark, write_again, ENTITIES)
 
-    ledger = _ledger(spark, raw_root, chosen, failed, load_id)
+    ledger = _ledger(spark, raw_root, chosen, failed, attempt)
     if lost:
         unplaced = (None, None, None, "failed", *[0] * len(ENTITIES), "unreadable records of no known session")
         ledger = ledger.unionByName(spark.createDataFrame([unplaced], ledger.schema))
-    commit_load(ledger, raw_root, load_id)
-    return spark.read.parquet(f"{raw_root}/ledger/load_id={load_id}")
+    path = f"{raw_root}/ledger/attempt={attempt}"
+    ledger.write.parquet(path)
+    commit(spark, raw_root, load_id, attempt)
+    return spark.read.parquet(path)
 
 
 def _failed_sessions(wanted) -> DataFrame:
@@ -136,7 +156,7 @@ def _failed_sessions(wanted) -> DataFrame:
 
 
 def _ledger(
-    spark: SparkSession, raw_root: str, chosen: DataFrame, failed: DataFrame | None, load_id: str
+    spark: SparkSession, raw_root: str, chosen: DataFrame, failed: DataFrame | None, attempt: str
 ) -> DataFrame:
     """Status, error and loaded rows per chosen session, counted from what was written."""
     sessions = chosen.groupBy("session_key").agg(
@@ -147,7 +167,7 @@ def _ledger(
     else:
         sessions = sessions.join(failed, "session_key", "left")
     for entity in ENTITIES:
-        loaded = spark.read.parquet(f"{raw_root}/{entity}/load_id={load_id}")
+        loaded = spark.read.parquet(f"{raw_root}/{entity}/attempt={attempt}")
         counts = loaded.groupBy("session_key").agg(F.count(F.lit(1)).alias(entity))
         sessions = sessions.join(counts, "session_key", "left").withColumn(
             entity, F.coalesce(entity, F.lit(0).cast("bigint"))

@@ -1,7 +1,8 @@
 """Landed JSON records (S1-S7): one folder of JSON lines per entity.
 
-Drivers, laps and positions lie in sub-folders by session key modulo a fixed
-number, so that fetching one session opens one folder instead of all of them.
+Drivers, laps and positions lie in sub-folders by session key modulo a number that a
+landing folder keeps from its first record on, so that fetching one session opens one folder
+instead of all of them. A record that cannot be read makes a fetch fail.
 """
 
 from datetime import datetime
@@ -14,8 +15,9 @@ from pitwall.functions import conditions as c
 from pitwall.schemas import (
     ENTITIES, RECORD_NAMES, STRICT_ENTITIES, raw_names, record_columns, record_schema,
 )
+from pitwall.storage import exists
 
-# Sub-folders per entity; fixed for the life of a landing folder.
+# Sub-folders per entity of a landing folder that is told no other number: some terabytes.
 LANDING_BUCKETS = 16
 BUCKETED = ("drivers", "laps", "positions")
 
@@ -23,14 +25,38 @@ BUCKETED = ("drivers", "laps", "positions")
 UNREADABLE = "record cannot be parsed"
 
 
-def _bucket(session_key: Column) -> Column:
-    return F.pmod(session_key, F.lit(LANDING_BUCKETS)).cast("int")
+def buckets_of(spark: SparkSession, root: str) -> int:
+    """The number of sub-folders per entity of a landing folder."""
+    if not exists(spark, f"{root}/layout"):
+        return LANDING_BUCKETS
+    return spark.read.schema("buckets int").json(f"{root}/layout").first()["buckets"]
 
 
-def land(records: DataFrame, root: str, entity: str, omit_nulls: bool = False) -> None:
-    """Append records to a landing folder; every task writes its own rows, nothing is shuffled."""
+def _kept_buckets(spark: SparkSession, root: str, wanted: int | None) -> int:
+    """What the landing folder says; a new one is told the wanted number, which then stays."""
+    if not exists(spark, f"{root}/layout"):
+        layout = spark.createDataFrame([(wanted or LANDING_BUCKETS,)], "buckets int")
+        layout.coalesce(1).write.json(f"{root}/layout")
+    found = buckets_of(spark, root)
+    if wanted not in (None, found):
+        raise ValueError(f"{root} has {found} sub-folders per entity, not {wanted}")
+    return found
+
+
+def _bucket(session_key: Column, buckets: int) -> Column:
+    return F.pmod(session_key, F.lit(buckets)).cast("int")
+
+
+def land(records: DataFrame, root: str, entity: str, omit_nulls: bool = False, buckets: int | None = None) -> None:
+    """Append records to a landing folder.
+
+    Records of one sub-folder are brought together, in partitions that Spark sizes by their
+    bytes, so that a few large files are written and not one per task and sub-folder.
+    """
     if entity in BUCKETED:
-        records = records.withColumn("landing_bucket", _bucket(F.col("session_key")))
+        number = _kept_buckets(records.sparkSession, root, buckets)
+        records = records.withColumn("landing_bucket", _bucket(F.col("session_key"), number))
+        records = records.hint("rebalance", "landing_bucket")
     writer = records.write.mode("append").option("ignoreNullFields", omit_nulls)
     if entity in BUCKETED:
         writer = writer.partitionBy("landing_bucket")
@@ -56,48 +82,43 @@ def json_lines(spark: SparkSession, root: str, entity: str) -> DataFrame:
     return spark.read.text(f"{root}/{entity}").select("value")
 
 
-def landed(spark: SparkSession, root: str, entity: str, session_key: int | None = None) -> DataFrame:
-    """Landed records with times still as text, optionally of one session."""
-    schema = record_schema(entity)
-    if entity in BUCKETED:
-        schema = schema.add("landing_bucket", T.IntegerType())
-    df = spark.read.schema(schema).json(f"{root}/{entity}")
-    if session_key:
-        df = df.filter(F.col("session_key") == F.lit(session_key))
-        if entity in BUCKETED:
-            df = df.filter(F.col("landing_bucket") == _bucket(F.lit(session_key)))
-    return df.select(*record_schema(entity).names)
-
-
 def with_times(df: DataFrame, entity: str) -> DataFrame:
     """Time texts as wall-clock timestamps."""
     times = {n: c.wall_clock(F.col(n)) for n, kind in record_columns(entity) if kind == "timestamp_ntz"}
     return df.withColumns(times)
 
 
+def sound(records: DataFrame, entity: str) -> DataFrame:
+    """The records without ``problem``; one that has a problem makes the query fail with it."""
+    failure = F.when(F.col("problem").isNotNull(), F.raise_error(F.concat(F.lit(f"{entity}: "), F.col("problem"))))
+    return records.filter(failure.isNull()).drop("problem")
+
+
+def _fetched(spark: SparkSession, root: str, entity: str, session_key: int | None = None) -> DataFrame:
+    return with_times(sound(_records(spark, root, entity, session_key), entity), entity)
+
+
 def fetch_sessions(
     spark: SparkSession, root: str, year: int | None = None, session_key: int | None = None
 ) -> DataFrame:
     """Sessions; a filter that is zero or None does not apply."""
-    df = landed(spark, root, "sessions", session_key)
-    if year:
-        df = df.filter(F.col("year") == F.lit(year))
-    return with_times(df, "sessions")
+    df = _fetched(spark, root, "sessions", session_key)
+    return df.filter(F.col("year") == F.lit(year)) if year else df
 
 
 def fetch_drivers(spark: SparkSession, root: str, session_key: int) -> DataFrame:
     """S2."""
-    return with_times(landed(spark, root, "drivers", session_key), "drivers")
+    return _fetched(spark, root, "drivers", session_key)
 
 
 def fetch_laps(spark: SparkSession, root: str, session_key: int) -> DataFrame:
     """S3."""
-    return with_times(landed(spark, root, "laps", session_key), "laps")
+    return _fetched(spark, root, "laps", session_key)
 
 
 def fetch_positions(spark: SparkSession, root: str, session_key: int) -> DataFrame:
     """S4."""
-    return with_times(landed(spark, root, "positions", session_key), "positions")
+    return _fetched(spark, root, "positions", session_key)
 
 
 def stamped(df: DataFrame, run_ts: datetime | str) -> DataFrame:
@@ -116,26 +137,31 @@ def extract_session(spark: SparkSession, root: str, session_key: int, run_ts: da
 
 
 def latest_sessions(spark: SparkSession, root: str, run_ts: datetime, year: int | None = None) -> DataFrame:
-    """Sessions of a year, by default the year of the run."""
-    return fetch_sessions(spark, root, year=run_ts.year if year is None else year)
+    """Sessions of a year, by default the year of the run in UTC."""
+    return fetch_sessions(spark, root, year=int(c.utc_text(run_ts)[:4]) if year is None else year)
 
 
-def catalogue(spark: SparkSession, root: str) -> DataFrame:
-    """All sessions, times still as text."""
-    return landed(spark, root, "sessions")
+def catalogue(spark: SparkSession, root: str, skip_broken: bool = False) -> DataFrame:
+    """All sessions, times still as text; a broken one fails, or is left out for loads, which report it."""
+    records = _records(spark, root, "sessions")
+    if skip_broken:
+        return records.filter(F.col("problem").isNull()).drop("problem")
+    return sound(records, "sessions")
 
 
-def checked_records(spark: SparkSession, root: str, entity: str, session_key: int | None = None) -> DataFrame:
-    """Stamp-less raw columns of all landed records, with ``problem`` telling why one cannot be loaded.
+def _records(
+    spark: SparkSession, root: str, entity: str, session_key: int | None = None, complete: bool = False
+) -> DataFrame:
+    """Landed records with times still as text, and ``problem`` telling why one cannot be read.
 
-    Problems: text that is not JSON of the declared types, an absent field of an
-    entity that needs all of them, a time that cannot be read, a value beyond its
-    limit. A broken record keeps its session key if the text still shows one.
+    Problems: text that is not JSON of the declared types, a time that cannot be read and, if
+    records must be ``complete``, an absent field of an entity that needs all of them. A broken
+    record keeps its session key if the text still shows one.
     """
     fields = record_schema(entity)
     schema = fields.add("broken", T.StringType())
     path = f"{root}/{entity}"
-    if entity in STRICT_ENTITIES:
+    if complete and entity in STRICT_ENTITIES:
         lines = spark.read.text(path)
         options = {"columnNameOfCorruptRecord": "broken", "mode": "PERMISSIVE"}
         known = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
@@ -153,7 +179,8 @@ def checked_records(spark: SparkSession, root: str, entity: str, session_key: in
         ).option("columnNameOfCorruptRecord", "broken").json(path)
         records = records.withColumn("absent", F.array().cast("array<string>"))
     if session_key and entity in BUCKETED:
-        records = records.filter(F.col("landing_bucket") == _bucket(F.lit(session_key)))
+        bucket = _bucket(F.lit(session_key), buckets_of(spark, root))
+        records = records.filter(F.col("landing_bucket") == bucket)
 
     shown_key = F.regexp_extract("broken", r'"session_key"\s*:\s*(-?\d+)', 1).try_cast("bigint")
     records = records.withColumn("session_key", F.coalesce("session_key", shown_key))
@@ -164,20 +191,31 @@ def checked_records(spark: SparkSession, root: str, entity: str, session_key: in
     unread = [
         F.when(F.col(n).isNotNull() & c.wall_clock(F.col(n)).isNull(), F.lit(f"{n} is not a time")) for n in times
     ]
-    parsed = records.withColumn(
-        "problem",
-        F.coalesce(
-            F.when(F.col("broken").isNotNull(), F.lit(UNREADABLE)),
-            F.when(F.size("absent") > 0, F.concat(F.lit("missing field "), F.element_at("absent", 1))),
-            *unread,
-        ),
+    problem = F.coalesce(
+        F.when(F.col("broken").isNotNull(), F.lit(UNREADABLE)),
+        F.when(F.size("absent") > 0, F.concat(F.lit("missing field "), F.element_at("absent", 1))),
+        *unread,
     )
-    renamed = with_times(parsed, entity).withColumnsRenamed(RECORD_NAMES.get(entity, {}))
+    return records.select(*fields.names[: len(record_columns(entity))], problem.alias("problem"))
+
+
+def checked_records(spark: SparkSession, root: str, entity: str, session_key: int | None = None) -> DataFrame:
+    """Stamp-less raw columns of all landed records, with ``problem`` telling why one cannot be loaded.
+
+    A record that cannot be read has a problem, and one with a value beyond its limit.
+    """
+    records = _records(spark, root, entity, session_key, complete=True)
+    renamed = with_times(records, entity).withColumnsRenamed(RECORD_NAMES.get(entity, {}))
     names = [n for n in raw_names(entity) if n != "ingested_at"]
     return renamed.select(*names, F.coalesce("problem", c.limit_problem(entity)).alias("problem"))
 
 
-def land_all(raw: dict[str, DataFrame], root: str) -> None:
+def checked_bundle(spark: SparkSession, root: str, run_ts: datetime | str) -> dict[str, DataFrame]:
+    """All landed records, stamped, in raw columns; a record that cannot be loaded makes the load fail."""
+    return {e: stamped(sound(checked_records(spark, root, e), e), run_ts) for e in ENTITIES}
+
+
+def land_all(raw: dict[str, DataFrame], root: str, buckets: int | None = None) -> None:
     """Land raw rows as records; laps and positions leave out fields without a value."""
     for entity in ENTITIES:
-        land(to_records(raw[entity], entity), root, entity, omit_nulls=entity not in STRICT_ENTITIES)
+        land(to_records(raw[entity], entity), root, entity, entity not in STRICT_ENTITIES, buckets)

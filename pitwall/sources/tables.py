@@ -1,29 +1,43 @@
-"""Raw tables as stored: a folder per entity, a sub-folder per load."""
+"""Raw tables as stored: a folder per entity, a sub-folder per attempt to load, and a log of commits.
+
+An attempt writes to folders of its own and is visible once its row is in the log. What the
+log names is never written again. Readers join the rows with the log; Spark prunes the
+folders of other attempts from what the log yields at run time.
+"""
 
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitwall.plans.layers import RawTables
 from pitwall.schemas import ENTITIES, raw_names, raw_schema
-from pitwall.storage import exists, finished_folders
+from pitwall.storage import exists
 
+COMMITS = "load_id string, attempt string, committed_at timestamp"
 
-def committed_loads(spark: SparkSession, raw_root: str) -> list[str]:
-    """Loads whose ledger was written; the ledger comes last, so all their tables are complete."""
-    return finished_folders(spark, f"{raw_root}/ledger", "load_id=")
 
+def commits(spark: SparkSession, raw_root: str) -> DataFrame:
+    """The log: a row per committed attempt."""
+    path = f"{raw_root}/commits"
+    if not exists(spark, path):
+        return spark.createDataFrame([], COMMITS)
+    return spark.read.schema(COMMITS).parquet(path)
 
-def read_raw(spark: SparkSession, raw_root: str, entity: str) -> DataFrame:
-    """Rows of all committed loads of a raw table."""
+
+def with_attempt(spark: SparkSession, raw_root: str, entity: str) -> DataFrame:
+    """Rows of all attempts, committed or not, and the attempt of each."""
+    schema = raw_schema(entity).add("attempt", T.StringType())
     path = f"{raw_root}/{entity}"
-    loads = committed_loads(spark, raw_root)
-    if not loads or not exists(spark, path):
-        return spark.createDataFrame([], raw_schema(entity))
-    schema = raw_schema(entity).add("load_id", T.StringType())
-    return spark.read.schema(schema).parquet(path).filter(F.col("load_id").isin(loads)).select(*raw_names(entity))
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_raw(spark: SparkSession, raw_root: str, entity: str) -> DataFrame:
+    """Rows of all committed attempts of a raw table."""
+    done = commits(spark, raw_root).select("attempt").distinct()
+    return with_attempt(spark, raw_root, entity).join(done, "attempt", "left_semi").select(*raw_names(entity))
 
 
 def read_raw_tables(spark: SparkSession, raw_root: str) -> RawTables:

@@ -17,7 +17,8 @@ def shared_base(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_base:
@@ -67,19 +68,33 @@ def finished_folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
 
 
 def write_version(df: DataFrame, table_root: str, version: int) -> str:
-    """Write one full version of a table beside the older ones; a rerun replaces only itself."""
+    """Write one full version of a table beside the older ones; it is an error if it is there already."""
     path = f"{table_root}/v={version:012d}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("error").parquet(path)
     return path
 
 
-def current_version(spark: SparkSession, table_root: str, before: int | None = None) -> int | None:
-    """The newest committed version, or the newest one older than ``before``."""
+def current_version(spark: SparkSession, table_root: str) -> int | None:
+    """The newest committed version."""
     versions = [int(v) for v in finished_folders(spark, table_root, "v=")]
-    if before is not None:
-        versions = [v for v in versions if v < before]
     return versions[-1] if versions else None
 
 
+def next_version(spark: SparkSession, table_root: str) -> int:
+    """A number above all versions, finished or not, so that no writer meets the folder of another."""
+    fs, hadoop_path = _file_system(spark, table_root)
+    if not fs.exists(hadoop_path):
+        return 1
+    names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    return max([0, *(int(name.removeprefix("v=")) for name in names if name.startswith("v="))]) + 1
+
+
 def read_version(spark: SparkSession, table_root: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{table_root}/v={version:012d}")
+
+
+def drop_old_versions(spark: SparkSession, table_root: str, keep: int) -> None:
+    """Remove finished versions but the newest so many; readers of those that go must have ended."""
+    fs, _ = _file_system(spark, table_root)
+    for version in finished_folders(spark, table_root, "v=")[:-keep]:
+        fs.delete(_file_system(spark, f"{table_root}/v={version}")[1], True)

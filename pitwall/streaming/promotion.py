@@ -1,66 +1,112 @@
-"""Copying raw tables to the next environment."""
+"""Copying raw tables to the next environment.
+
+The stream follows the commit log of a raw table, not its folders: a batch is what was
+committed since the last one, and copies exactly the attempts that these commits name. Rows
+of attempts that failed or are still being written are never copied.
+"""
+
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from pitwall.operators.upsert import upsert
-from pitwall.storage import current_version, read_version, write_version
+from pitwall.schemas import raw_names, raw_schema
+from pitwall.sources.tables import COMMITS, with_attempt
+from pitwall.storage import current_version, exists, next_version, read_version, write_version
 
 # Longest time a copy may lag behind when it runs continuously.
 TARGET_LAG = "1 hour"
 
 
-def _new_files(spark: SparkSession, source_dir: str, schema: StructType, files_per_batch: int | None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(source_dir)
+def _new_commits(spark: SparkSession, raw_root: str, commits_per_batch: int | None) -> DataFrame:
+    reader = spark.readStream.schema(COMMITS)
+    if commits_per_batch:
+        reader = reader.option("maxFilesPerTrigger", commits_per_batch)
+    return reader.parquet(f"{raw_root}/commits")
 
 
 def promote(
     spark: SparkSession,
-    source_dir: str,
+    raw_root: str,
+    entity: str,
     target_dir: str,
     checkpoint_dir: str,
-    schema: StructType,
     continuous: bool = False,
-    files_per_batch: int | None = None,
+    commits_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Copy what is new in a raw table, each row exactly once.
+    """Copy what is newly committed in a raw table, each attempt exactly once.
 
-    Runs once over all new files, or on as a stream within the target lag. The
-    checkpoint folder must be kept between runs and lie on shared storage.
+    Runs once over all new commits, or on as a stream within the target lag. An attempt keeps
+    its folder name in the target, so a repeated batch and a new checkpoint folder find what is
+    there already; ``read_promoted`` reads the target. Both folders must lie on shared storage.
     """
-    stream = _new_files(spark, source_dir, schema, files_per_batch)
-    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).outputMode("append")
+
+    def copy(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        new = batch.select("attempt").distinct()
+        rows = with_attempt(session, raw_root, entity).join(new, "attempt", "left_semi")
+        if exists(session, f"{target_dir}/log"):
+            there = session.read.schema("attempt string, copied string").parquet(f"{target_dir}/log").select("attempt")
+            rows, new = rows.join(there, "attempt", "left_anti"), new.join(there, "attempt", "left_anti")
+        # Rows lie in the folder of this copy; the log, written last in one file, makes them visible.
+        copied = uuid.uuid4().hex
+        rows.drop("attempt").write.parquet(f"{target_dir}/rows/copied={copied}")
+        new.select("attempt", F.lit(copied).alias("copied")).coalesce(1).write.mode("append").parquet(f"{target_dir}/log")
+
+    writer = _new_commits(spark, raw_root, commits_per_batch).writeStream.foreachBatch(copy)
+    writer = writer.option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(processingTime=TARGET_LAG) if continuous else writer.trigger(availableNow=True)
-    return writer.start(target_dir)
+    return writer.start()
+
+
+def read_promoted(spark: SparkSession, target_dir: str, entity: str) -> DataFrame:
+    """The rows of a promoted table."""
+    if not exists(spark, f"{target_dir}/log"):
+        return spark.createDataFrame([], raw_schema(entity))
+    copies = spark.read.schema("attempt string, copied string").parquet(f"{target_dir}/log").select("copied").distinct()
+    rows = spark.read.schema(raw_schema(entity).add("copied", "string")).parquet(f"{target_dir}/rows")
+    return rows.join(copies, "copied", "left_semi").select(*raw_names(entity))
 
 
 def promote_by_key(
     spark: SparkSession,
-    source_dir: str,
+    raw_root: str,
+    entity: str,
     table_root: str,
     checkpoint_dir: str,
-    schema: StructType,
     keys: list[str],
     newest: str,
-    files_per_batch: int | None = None,
+    commits_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """P5: merge what is new into a keyed table, one new version per batch.
+    """P5: merge what is newly committed into a keyed table, one new version per batch.
 
-    A batch reads the version before it and writes its own, so a repeated batch
-    gives the same version again.
+    A version is numbered after all that are there, and lists the attempts merged so far. A
+    batch merges only attempts that the version before does not list, so a repeated batch and a
+    new checkpoint folder change nothing.
     """
+    schema = raw_schema(entity)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        before = current_version(session, table_root, before=batch_id)
-        target = session.createDataFrame([], schema) if before is None else read_version(session, table_root, before)
-        write_version(upsert(target, batch, keys, newest), table_root, batch_id)
+        new = batch.select("attempt").distinct()
+        before = current_version(session, f"{table_root}/merged")
+        if before is not None:
+            merged = read_version(session, f"{table_root}/merged", before)
+            new = new.join(merged, "attempt", "left_anti")
+        if new.isEmpty():
+            return
+        changes = with_attempt(session, raw_root, entity).join(new, "attempt", "left_semi").select(*schema.names)
+        version = max(next_version(session, f"{table_root}/{part}") for part in ("rows", "merged"))
+        target = read_keyed(session, table_root, schema)
+        write_version(upsert(target, changes, keys, newest), f"{table_root}/rows", version)
+        every = new if before is None else merged.unionByName(new)
+        # Written last: a version counts once its list of attempts is there.
+        write_version(every.coalesce(1), f"{table_root}/merged", version)
 
-    stream = _new_files(spark, source_dir, schema, files_per_batch)
+    stream = _new_commits(spark, raw_root, commits_per_batch)
     return (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True).start()
@@ -69,5 +115,7 @@ def promote_by_key(
 
 def read_keyed(spark: SparkSession, table_root: str, schema: StructType) -> DataFrame:
     """The newest version of a keyed table."""
-    version = current_version(spark, table_root)
-    return spark.createDataFrame([], schema) if version is None else read_version(spark, table_root, version)
+    version = current_version(spark, f"{table_root}/merged")
+    if version is None:
+        return spark.createDataFrame([], schema)
+    return read_version(spark, f"{table_root}/rows", version)

@@ -99,9 +99,6 @@ def test_standings_use_the_dimension_and_drop_unknown_drivers(golden):
 
 def test_team_comparison(golden):
     expected = [("T9", 2, 89.5, 89.0), ("T3", 3, 160.0, 89.0)]
-    totals = golden.lap_totals
-    assert [tuple(r) for r in reports.team_comparison(totals, golden.dim_drivers).collect()] == expected
-    assert [tuple(r) for r in reports.team_comparison(golden.lap_rows, golden.dim_drivers).collect()] == expected
     assert [tuple(r) for r in reports.team_comparison(golden.fct_lap_times, golden.dim_drivers).collect()] == expected
 
 
@@ -121,19 +118,6 @@ def test_other_reports(golden):
     assert reports.driver_lookup(dim, "B Two").first()["driver_number"] == 2
 
 
-def test_reports_from_totals_equal_those_from_the_fact(golden):
-    """Also when a session is recorded twice."""
-    sessions = golden.stg_sessions.unionByName(golden.stg_sessions.filter("session_key = 1"))
-    fact = marts.fct_lap_times(golden.stg_laps, sessions, golden.stg_drivers)
-    totals = marts.lap_totals(golden.stg_laps, sessions)
-    for report in (
-        reports.total_laps, reports.average_lap, lambda laps: reports.driver_lap_stats(laps, 2),
-        lambda laps: reports.driver_lap_stats(laps, 99), lambda laps: reports.team_comparison(laps, golden.dim_drivers),
-    ):
-        assert rows(report(totals)) == rows(report(fact))
-    assert reports.total_laps(totals).first()[0] == 12
-
-
 def test_reports_without_data(golden):
     none = golden.fct_lap_times.filter("false")
     assert reports.average_lap(none).first()["avg_lap"] is None

@@ -80,7 +80,6 @@ def test_fetching_one_session_opens_one_folder(spark, landed):
     assert rows(laps, "session_key", "lap_duration", "duration_sector_1", "is_pit_out_lap") == [(12, 90.5, 30.1, None)]
     plan = executed_plan(laps)
     assert "PartitionFilters: [isnotnull(landing_bucket" in plan
-    assert "EqualTo(session_key,12)" in plan
 
 
 def test_year_of_the_run_is_the_default(spark, landed):
