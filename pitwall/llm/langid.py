@@ -149,41 +149,43 @@ def _model(table: pa.Table) -> Model:
     return model
 
 
-def predicted(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The kept columns of documents with lang_pred and score. The model goes to the executors once."""
+def _predictions(texts: pa.Array, model: Model) -> pa.StructArray:
+    names, shares = [], []
+    for words in letter_words(texts):
+        n_words = np.diff(words.bounds)
+        if not model.languages:
+            names += [UNKNOWN] * words.n_docs
+            shares += [0.0] * words.n_docs
+            continue
+        _, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
+        scores = model.word_scores(words, first)[number]
+        np.cumsum(scores, 0, out=scores)
+        ends = np.vstack([np.zeros((1, scores.shape[1])), scores])
+        sums = ends[words.bounds[1:]] - ends[words.bounds[:-1]]
+        likely = np.exp(np.clip(sums - sums.max(1, keepdims=True), -700, 0))
+        likely /= likely.sum(1, keepdims=True)
+        best = np.where(np.ptp(sums, 1) == 0, model.common, likely.argmax(1))
+        share = likely[np.arange(words.n_docs), best]
+        names += [model.languages[b] if n else UNKNOWN for b, n in zip(best, n_words)]
+        shares += np.where(n_words > 0, share, 0.0).tolist()
+    return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(shares, pa.float64())], ["lang_pred", "score"])
+
+
+def predicted(documents: DataFrame, model: Model) -> DataFrame:
+    """The documents with ``predicted`` (lang_pred, score). The model goes to the executors once; only texts go
+    to Python, and only predictions come back."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    def predict(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        model, names, shares = shared.value, [], []
-        for words in letter_words(batch.column(batch.num_columns - 1)):
-            n_words = np.diff(words.bounds)
-            if not model.languages:
-                names += [UNKNOWN] * words.n_docs
-                shares += [0.0] * words.n_docs
-                continue
-            _, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
-            scores = model.word_scores(words, first)[number]
-            sums = np.zeros((words.n_docs + 1, len(model.languages)))
-            np.cumsum(scores, 0, out=scores)
-            ends = np.vstack([np.zeros((1, scores.shape[1])), scores])
-            sums = ends[words.bounds[1:]] - ends[words.bounds[:-1]]
-            likely = np.exp(np.clip(sums - sums.max(1, keepdims=True), -700, 0))
-            likely /= likely.sum(1, keepdims=True)
-            best = np.where(np.ptp(sums, 1) == 0, model.common, likely.argmax(1))
-            share = likely[np.arange(words.n_docs), best]
-            names += [model.languages[b] if n else UNKNOWN for b, n in zip(best, n_words)]
-            shares += np.where(n_words > 0, share, 0.0).tolist()
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(shares, pa.float64())],
-            [*keep, "lang_pred", "score"],
-        )
-
-    rows = documents.select(*(F.col(f"`{c}`") for c in keep), F.col("text").cast("string").alias("__text"))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(by_batch(lambda: predict), f"{ddl}, lang_pred string, score double")
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield _predictions(texts, shared.value)
+
+    # Spark may otherwise evaluate it once for a filter and once more for the result.
+    return documents.withColumn("predicted", predict.asNondeterministic()(F.col("text").cast("string")))
 
 
 def identified(documents: DataFrame, model: Model) -> DataFrame:
     """The rows of documents that are in a language; those found to be in none are rejected."""
-    names = documents.columns
-    return predicted(documents, model, names).where(F.col("lang_pred") != UNKNOWN).select(*(F.col(f"`{c}`") for c in names))
+    rows = documents.select(F.struct("*").alias("row"), F.col("text"))
+    return predicted(rows, model).where(F.col("predicted.lang_pred") != UNKNOWN).select("row.*")

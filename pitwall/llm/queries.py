@@ -24,7 +24,8 @@ def toxic_held_out() -> Column:
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = given(spark, sf_dir, "documents")
     model = langid.trained(documents, learn_from=~language_held_out())
-    return langid.predicted(documents.withColumn("held_out", language_held_out()), model, ["doc_id", "held_out"])
+    found = langid.predicted(documents.select("doc_id", language_held_out().alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "predicted.lang_pred", "predicted.score")
 
 
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +36,8 @@ def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = given(spark, sf_dir, "documents")
     learnt = toxicity.trained(documents, given(spark, sf_dir, "labels"), learn_from=~toxic_held_out())
-    return toxicity.scored(documents.withColumn("held_out", toxic_held_out()), learnt, ["doc_id", "held_out"])
+    found = toxicity.scored(documents.select("doc_id", toxic_held_out().alias("held_out"), "text"), learnt)
+    return found.select("doc_id", "held_out", "score", "predicted")
 
 
 def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

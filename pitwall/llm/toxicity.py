@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.tables import by_batch, stored
+from pitwall.llm.tables import stored
 from pitwall.llm.words import LetterWords, letter_words, mixed
 
 SAMPLE_LABELS = 16_384
@@ -111,31 +111,29 @@ def trained(documents: DataFrame, labels: DataFrame, learn_from: Column, sample_
     return weights(*state)
 
 
-def scored(documents: DataFrame, learnt: np.ndarray, keep: list[str]) -> DataFrame:
-    """The kept columns of documents with score and predicted. Only weights other than zero are sent out."""
+def _scores(texts: pa.Array, dense: np.ndarray) -> pa.Array:
+    scores = [np.zeros(0)]
+    for words in letter_words(texts):
+        doc, found = features(words)
+        weighted = np.flatnonzero(dense[found])
+        once = np.unique(doc[weighted] * DIMENSIONS + found[weighted])
+        sums = np.bincount(once // DIMENSIONS, dense[once % DIMENSIONS], words.n_docs)
+        scores.append(1 / (1 + np.exp(-np.clip(sums + dense[BIAS], -35, 35))))
+    return pa.array(np.concatenate(scores))
+
+
+def scored(documents: DataFrame, learnt: np.ndarray) -> DataFrame:
+    """The documents with score and predicted. Only weights other than zero are sent out, only texts go to
+    Python, and only scores come back."""
     used = np.flatnonzero(learnt)
     shared = documents.sparkSession.sparkContext.broadcast((used, learnt[used].astype(np.float32)))
 
-    def make():
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         dense = np.zeros(DIMENSIONS)
         dense[shared.value[0]] = shared.value[1]
+        for texts in batches:
+            yield _scores(texts, dense)
 
-        def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            scores = []
-            for words in letter_words(batch.column(batch.num_columns - 1)):
-                doc, found = features(words)
-                weighted = np.flatnonzero(dense[found])
-                once = np.unique(doc[weighted] * DIMENSIONS + found[weighted])
-                sums = np.bincount(once // DIMENSIONS, dense[once % DIMENSIONS], words.n_docs)
-                scores.append(1 / (1 + np.exp(-np.clip(sums + dense[BIAS], -35, 35))))
-            values = np.concatenate(scores)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(values), pa.array((values >= 0.5).astype(np.int32))],
-                [*keep, "score", "predicted"],
-            )
-
-        return score
-
-    rows = documents.select(*(F.col(c) for c in keep), F.col("text").cast("string").alias("__text"))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(by_batch(make), f"{ddl}, score double, predicted int")
+    found = documents.withColumn("score", score.asNondeterministic()(F.col("text").cast("string")))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 2_000_000
+LETTER_CHUNK = 500_000
 SPACES = frozenset([0x20, *range(0x09, 0x0E)])
 
 _BYTE_VALUES = np.random.default_rng(20_240_501).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -159,7 +160,7 @@ def letter_words(column: pa.Array) -> Iterator[LetterWords]:
     for i, text in enumerate(column):
         texts.append((text.as_py() or "").lower())
         held += len(texts[-1])
-        if held >= CHUNK_BYTES or i + 1 == len(column):
+        if held >= LETTER_CHUNK or i + 1 == len(column):
             lengths = np.array([len(t) for t in texts]) + 2
             # Two code points that are no letters set documents apart.
             points = np.frombuffer(("\0\0".join(texts) + "\0\0").encode("utf-32-le"), np.uint32)
