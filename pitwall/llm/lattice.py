@@ -65,7 +65,7 @@ def _directions(size: int, table: int) -> np.ndarray:
     random = np.random.default_rng([_SEED, size, table]).standard_normal((size, min(8, size)))
     basis = np.zeros((size, 8))
     basis[:, : min(8, size)] = np.linalg.qr(random)[0]
-    return basis * CELLS_PER_UNIT * np.sqrt(size)
+    return basis * CELLS_PER_UNIT * np.sqrt(size / 8)
 
 
 def cells(units: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -60,15 +60,14 @@ def fingerprints(texts: DataFrame, key: str, window: int, k: int) -> DataFrame:
 
 def whole_hashes(texts: DataFrame, key: str, lengths: list[int]) -> DataFrame:
     """(key, place, value): a hash for each run of so many words."""
-    every = F.flatten(
-        F.array(*(
-            F.transform(
-                _places(0, F.size("words") - n),
-                lambda i, n=n: F.struct(i.alias("place"), F.xxhash64(F.lit(n), *(F.get("words", i + j) for j in range(n))).alias("value")),
-            )
-            for n in lengths
-        ))
-    )
+    def hashed(n: int) -> Column:
+        def at(i: Column) -> Column:
+            value = F.xxhash64(F.lit(n), *(F.get("words", i + j) for j in range(n)))
+            return F.struct(i.alias("place"), value.alias("value"))
+
+        return F.transform(_places(0, F.size("words") - n), at)
+
+    every = F.flatten(F.array(*map(hashed, lengths)))
     return texts.select(key, F.explode(every).alias("f")).select(key, "f.place", "f.value")
 
 
