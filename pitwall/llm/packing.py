@@ -5,7 +5,8 @@ partitions of bounded size; each is packed by best-fit decreasing. Dual feasible
 give every partition a lower bound for its number of bins. A partition that meets its bound
 is certified and keeps all bins but its emptiest one; a partition with a gap keeps its full
 bins. The pieces of the bins not kept go to new partitions with those of the others, and
-are packed again, until the pool is one partition or stops shrinking.
+are packed again, until the pool is one partition or does not shrink to half: so there are
+few rounds, and where an exchange can gain little, each partition's packing stands.
 
 A null or empty text has the end id only and is packed like any other. Rows with equal
 doc_id (also null) are packed each on its own. Other columns of the input are ignored. An
@@ -140,8 +141,7 @@ def pack_pieces(pieces: DataFrame, capacity: int, partition_pieces: int = PARTIT
             "packed",
         )
         left = placed.where("not kept").count()
-        fewer = math.ceil(left / partition_pieces) < groups
-        if not fewer:
+        if groups == 1 or 2 * left > n:
             return _together([*done, placed])
         done.append(placed.where("kept"))
         pool, n = placed.where("not kept").select(*_PIECE.names), left

@@ -367,7 +367,7 @@ def test_packing(spark, documents):
         for items in bins.values():
             ends = np.cumsum([length for _, length in sorted(items)])
             assert [o for o, _ in sorted(items)] == [0, *ends[:-1].tolist()] and ends[-1] <= 128
-        assert len(bins) <= packing.least_bins(np.array([r.length for r in pieces]), 128) + 2
+        assert len(bins) <= 1.1 * packing.least_bins(np.array([r.length for r in pieces]), 128) + 2
     assert packing.packed_sequences(documents([]), WORD_TOKENIZER).isEmpty()
 
 
