@@ -314,6 +314,25 @@ def test_pages(spark):
     assert pages.main_texts(df.limit(0)).isEmpty()
 
 
+def test_elements_of_pages_are_left_out_by_whole_names_and_up_to_their_end():
+    named = (
+        '<article><section id="related-work">a</section><h2 id="share-of-votes">b</h2><div class="market-share">c</div>'
+        '<h2 id="ads">d</h2><p aria-hidden="false">e<p data-class="ad">f<p title="the hidden cost">g<p title=\'x class="ad"\'>h'
+        '<p hidden>no<p class="x AD">no<div class=cookie-notice>no</div><div id=comments>no</div></article>'
+    )
+    assert pages.blocks_of(named) == (list("abcdefgh"), True)
+    for unclosed in (
+        '<body><div class="ad">no<article>real</article></body>', '<div><div class="ad">no<article>real</article></div>',
+        "<nav><ul><li>no<article>real</article>", "<article><div><aside>no</div><p>real</article>", "<title>no<body><article>real",
+        "<article><p><button>no</p></article><article>real</article>", "<article><p><span class=ad>no<p>real</article>",
+        "<aside><article>no</article></aside><article>real</article><div class=related><article>no</article></div>",
+    ):
+        assert pages.blocks_of(unclosed) == (["real"], True), unclosed
+    assert pages.blocks_of("<head><title>no</title><p>a<ul><li class=ad>no<li>b</ul><table><tr><td class=ad>no<td>c</table>") == (
+        ["a", "b", "c"], False
+    )
+
+
 def test_archives(spark):
     big = text_of(random.Random(12), 200_000)
     rows = [(1, "u", "x"), (2, "u", "x"), (3, None, None), (4, "u", ""), (5, "u\r\nv", "é\r\n\r\n"), (None, "u", "x"), (7, "u", big)]
