@@ -333,6 +333,34 @@ def test_elements_of_pages_are_left_out_by_whole_names_and_up_to_their_end():
     )
 
 
+def test_pages_without_marks_lose_only_what_most_bodies_of_a_host_repeat(spark):
+    rng = random.Random(21)
+    menu, phrase, story = text_of(rng, 12), text_of(rng, 9), [text_of(rng, 15), text_of(rng, 25)]
+    own = [text_of(rng, 60) for _ in range(10)]
+    page = "<body><div>{}</div>{}<div>{}</div></body>"
+    rows, expected = [], {}
+    for i in range(10):  # a phrase in three articles of ten, also as a heading; the menu is everywhere
+        blocks = [own[i]] if i > 2 else [phrase, f"{own[i]} {phrase} end"]
+        rows.append((i, "//a.example", page.format(menu, "".join(f"<p>{b}</p>" for b in blocks), f"advert {i}")))
+        expected[i] = [*blocks, f"advert {i}"]
+    for i in (20, 21):  # one article with other menus and adverts, on a host of its own and among others
+        for host, number in (("b", i), ("a", i + 10)):
+            adverts = text_of(rng, 14), text_of(rng, 5)
+            html = page.format(adverts[0], "".join(f"<p>{b}</p>" for b in story), adverts[1])
+            rows.append((number, f"//{host}.example", html))
+            expected[number] = [adverts[0], *story, adverts[1]]
+    quoted = [f"{own[i]} {phrase} {own[i + 2]}" for i in (0, 1)]  # a quote in both articles of a host
+    for i in (0, 1):
+        rows.append((40 + i, "//c.example", page.format(f"c {i}", quoted[i], f"d {i}")))
+        expected[40 + i] = [f"c {i}", quoted[i], f"d {i}"]
+    for i, mark in enumerate(("div role=main", 'div class="social" itemprop="articleBody"')):
+        rows += [(50 + 2 * i + j, "//d.example", f"<p>x</p><{mark}><div>{story[0]}</div></div><p>{j}</p>") for j in (0, 1)]
+        expected |= {50 + 2 * i + j: [story[0]] for j in (0, 1)}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    found = {r.page_id: r.text for r in pages.main_texts(df).collect()}
+    assert found == {i: "\n\n".join(blocks) for i, blocks in expected.items()}
+
+
 def test_archives(spark):
     big = text_of(random.Random(12), 200_000)
     rows = [(1, "u", "x"), (2, "u", "x"), (3, None, None), (4, "u", ""), (5, "u\r\nv", "é\r\n\r\n"), (None, "u", "x"), (7, "u", big)]
