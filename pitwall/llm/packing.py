@@ -4,9 +4,9 @@ Documents become pieces: only those longer than C are cut. Pieces are dealt at r
 partitions of bounded size; each is packed by best-fit decreasing. Dual feasible functions
 give every partition a lower bound for its number of bins. A partition that meets its bound
 is certified and keeps all bins but its emptiest one; a partition with a gap keeps its full
-bins. The pieces of the bins not kept go to new partitions with those of the others, and
-are packed again, until the pool is one partition or does not shrink to half: so there are
-few rounds, and where an exchange can gain little, each partition's packing stands.
+bins. Either keeps, if these hold less than half of its pieces, its fullest ones up to half. The
+pieces of the bins not kept go to new partitions with those of the others, and are packed again,
+until the pool is one partition. It shrinks to half in every round.
 
 A null or empty text has the end id only and is packed like any other. Rows with equal
 doc_id (also null) are packed each on its own. Other columns of the input are ignored. An
@@ -119,6 +119,8 @@ def _packed(capacity: int, first_id: int, group_step: int):
         if len(free) == bound:
             kept = np.ones(len(free), bool)
             kept[free.argmax()] = free.max() == 0
+        held, fullest = np.bincount(bins, minlength=len(free)), np.argsort(free, kind="stable")
+        kept[fullest[2 * (np.cumsum(held[fullest]) - held[fullest]) < len(bins)]] = True
         placed = [*(table[name] for name in _PIECE.names), pa.array(first_id + key[0].as_py() * group_step + bins)]
         placed += [pa.array(offsets), pa.array(kept[bins]), pa.array(np.full(len(bins), bound))]
         return pa.Table.from_arrays(placed, schema=_PLACED)
@@ -140,11 +142,11 @@ def pack_pieces(pieces: DataFrame, capacity: int, partition_pieces: int = PARTIT
             ),
             "packed",
         )
-        left = placed.where("not kept").count()
-        if groups == 1 or 2 * left > n:
+        if groups == 1:
             return _together([*done, placed])
         done.append(placed.where("kept"))
-        pool, n = placed.where("not kept").select(*_PIECE.names), left
+        pool = placed.where("not kept").select(*_PIECE.names)
+        n = pool.count()
         first_id += groups * (2 * partition_pieces + 1)
         round_no += 1
 

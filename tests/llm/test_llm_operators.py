@@ -418,6 +418,14 @@ def test_packing(spark, documents):
     assert packing.packed_sequences(documents([]), WORD_TOKENIZER).isEmpty()
 
 
+def test_packing_exchanges_what_partitions_over_their_bound_leave(spark):
+    rng = np.random.default_rng(15)
+    lengths = rng.integers(30, 70, 2000).tolist()
+    pieces = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)], packing._PIECE_DDL)
+    one, parts = (packing.pack_pieces(pieces, 128, share).select("sequence_id").distinct().count() for share in (2000, 100))
+    assert parts <= one + 2
+
+
 def test_lower_bounds_hold():
     rng = np.random.default_rng(14)
     assert packing.least_bins(np.array([60, 60, 60]), 100) == 3
