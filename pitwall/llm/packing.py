@@ -34,10 +34,11 @@ _PIECE = pa.schema(
         ("ids_crc32", pa.int64()),
     ]
 )
+_NUMBERED = pa.schema([*_PIECE, ("number", pa.int64())])
 _PLACED = pa.schema(
-    [*_PIECE, ("sequence_id", pa.int64()), ("offset", pa.int64()), ("kept", pa.bool_()), ("bound", pa.int64())]
+    [*_NUMBERED, ("sequence_id", pa.int64()), ("offset", pa.int64()), ("kept", pa.bool_()), ("bound", pa.int64())]
 )
-_PLACED_DDL = f"{_PIECE_DDL}, sequence_id long, offset long, kept boolean, bound long"
+_PLACED_DDL = f"{_PIECE_DDL}, number long, sequence_id long, offset long, kept boolean, bound long"
 
 
 def cut_into_pieces(documents: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
@@ -111,7 +112,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 def _packed(capacity: int, first_id: int, group_step: int):
     def pack(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("piece", "ascending")])
+        table = table.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("number", "ascending")])
         lengths = table["length"].to_numpy()
         bins, offsets, free = best_fit_decreasing(lengths, capacity)
         bound = least_bins(lengths, capacity)
@@ -121,7 +122,7 @@ def _packed(capacity: int, first_id: int, group_step: int):
             kept[free.argmax()] = free.max() == 0
         held, fullest = np.bincount(bins, minlength=len(free)), np.argsort(free, kind="stable")
         kept[fullest[2 * (np.cumsum(held[fullest]) - held[fullest]) < len(bins)]] = True
-        placed = [*(table[name] for name in _PIECE.names), pa.array(first_id + key[0].as_py() * group_step + bins)]
+        placed = [*(table[name] for name in _NUMBERED.names), pa.array(first_id + key[0].as_py() * group_step + bins)]
         placed += [pa.array(offsets), pa.array(kept[bins]), pa.array(np.full(len(bins), bound))]
         return pa.Table.from_arrays(placed, schema=_PLACED)
 
@@ -131,23 +132,24 @@ def _packed(capacity: int, first_id: int, group_step: int):
 def pack_pieces(pieces: DataFrame, capacity: int, partition_pieces: int = PARTITION_PIECES) -> DataFrame:
     """Adds sequence_id and offset to each piece."""
     done: list[DataFrame] = []
-    pool, n = pieces, pieces.count()
+    # Equal rows are dealt apart by their numbers.
+    pool = stored(pieces.withColumn("number", F.monotonically_increasing_id()), "pieces")
+    n = pool.count()
     first_id, round_no = 0, 0
     while True:
         groups = max(1, math.ceil(n / partition_pieces))
-        deal = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(round_no)), F.lit(groups))
+        deal = F.pmod(F.xxhash64("number", F.lit(round_no)), F.lit(groups))
+        dealt = pool.withColumn("part", deal)
+        largest = dealt.groupBy("part").count().agg(F.max("count")).first()[0] or 0
         placed = stored(
-            pool.withColumn("part", deal).groupBy("part").applyInArrow(
-                _packed(capacity, first_id, 2 * partition_pieces + 1), _PLACED_DDL
-            ),
-            "packed",
+            dealt.groupBy("part").applyInArrow(_packed(capacity, first_id, largest), _PLACED_DDL), "packed",
         )
         if groups == 1:
             return _together([*done, placed])
         done.append(placed.where("kept"))
-        pool = placed.where("not kept").select(*_PIECE.names)
+        pool = placed.where("not kept").select(*_NUMBERED.names)
         n = pool.count()
-        first_id += groups * (2 * partition_pieces + 1)
+        first_id += groups * largest
         round_no += 1
 
 
@@ -160,5 +162,4 @@ def _together(parts: list[DataFrame]) -> DataFrame:
 
 def packed_sequences(documents: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    pieces = stored(cut_into_pieces(documents, tokenizer, end_id, capacity), "pieces")
-    return pack_pieces(pieces, capacity)
+    return pack_pieces(cut_into_pieces(documents, tokenizer, end_id, capacity), capacity)

@@ -426,6 +426,12 @@ def test_packing_exchanges_what_partitions_over_their_bound_leave(spark):
     assert parts <= one + 2
 
 
+def test_packing_deals_equal_pieces_apart(spark):
+    rows = [(None, 0, 0, 70, 5)] * 300 + [(i, 0, 0, 70, i) for i in range(100)]
+    placed = packing.pack_pieces(spark.createDataFrame(rows, packing._PIECE_DDL), 128, 25).collect()
+    assert len(placed) == len({r.sequence_id for r in placed}) == 400 and {r.offset for r in placed} == {0}
+
+
 def test_lower_bounds_hold():
     rng = np.random.default_rng(14)
     assert packing.least_bins(np.array([60, 60, 60]), 100) == 3
