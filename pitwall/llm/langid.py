@@ -6,7 +6,9 @@ unknown word is scored by its longest character n-grams that are known, from fiv
 of the likelihood give the prediction and its score.
 
 Counts are taken by Spark over a bounded sample of the training rows, chosen by a hash of
-doc_id. The model keeps the most frequent words and n-grams, so its size is bounded too.
+doc_id: every language gives as many rows, or all it has if these are fewer. The model keeps
+the words and n-grams that are the most frequent in any language, in times a document, so its
+size is bounded too, and neither depends on how common a language is.
 
 Words are runs of letters, lower-cased. A text that is null or has no letter is ``und`` with
 score 0; so is every text if there is nothing to learn from. A text none of whose letters is
@@ -107,27 +109,44 @@ def _counts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _quota(sizes: list[int], most: int) -> int:
+    """The most rows that each of groups of these sizes can give, with no more than most in all."""
+    quota = most
+    for i, size in enumerate(sorted(sizes)):
+        quota = most // (len(sizes) - i)
+        if size > quota:
+            break
+        most -= size
+    return max(1, quota)
+
+
 def trained(documents: DataFrame, learn_from: Column, sample_documents: int = SAMPLE_DOCUMENTS) -> Model:
-    """Learns from text and lang of about so many of the rows that learn_from admits."""
-    rows = documents.where(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n_rows = max(1, rows.count())
-    share = min(PARTS, PARTS * sample_documents // n_rows + 1)
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(PARTS)) < share)
-    counts = sample.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(
+    """Learns from text and lang of about so many of the rows that learn_from admits, or fewer."""
+    rows = documents.where(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
+    )
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    quota = _quota(list(sizes.values()), sample_documents)
+    shares = F.broadcast(documents.sparkSession.createDataFrame(
+        [(lang, min(PARTS, PARTS * quota // n + 1), float(min(n, quota))) for lang, n in sizes.items()],
+        "lang string, share long, taken double",
+    ))
+    chosen = rows.join(shares, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(PARTS)) < F.col("share"))
+    counts = chosen.select("text", "lang").mapInArrow(
         by_batch(lambda: _counts), "n int, hash long, lang string, times long"
     )
     entries = (
-        counts.groupBy("n", "hash", "lang").agg(F.sum("times").alias("times"))
-        .groupBy("n", "hash").agg(F.sum("times").alias("total"), F.collect_list(F.struct("lang", "times")).alias("by_lang"))
+        counts.groupBy("n", "hash", "lang").agg(F.sum("times").alias("times")).join(shares, "lang")
+        .groupBy("n", "hash").agg(F.max(F.col("times") / F.col("taken")).alias("most"), F.collect_list(F.struct("lang", "times")).alias("by_lang"))
     )
-    most = [F.desc("total"), F.asc("hash")]
+    most = [F.desc("most"), F.asc("hash")]
     words = entries.where("n = 0").orderBy(*most).limit(MODEL_WORDS)
     grams = entries.where("n > 0").orderBy(*most).limit(MODEL_GRAMS)
     table = words.unionByName(grams).select("n", "hash", "by_lang").toArrow()
-    return _model(table)
+    return _model(table, sizes)
 
 
-def _model(table: pa.Table) -> Model:
+def _model(table: pa.Table, sizes: dict[str, int]) -> Model:
     by_lang = table["by_lang"].combine_chunks()
     entry = np.repeat(np.arange(len(table)), by_lang.value_lengths().to_numpy())
     found = by_lang.flatten()
@@ -145,7 +164,7 @@ def _model(table: pa.Table) -> Model:
         model.hashes[n] = hashes[rows]
         model.scores[n] = np.log(some / some.sum(0)) if len(rows) else some
     if languages:
-        model.common = int(counts[lengths == 0].sum(0).argmax())
+        model.common = int(np.argmax([sizes[language] for language in languages]))
     return model
 
 

@@ -273,6 +273,19 @@ def test_language(spark, documents):
     assert langid.predicted(df.limit(0), model).isEmpty()
 
 
+def test_small_languages_are_learnt_beside_large_ones(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MODEL_WORDS", 12)
+    monkeypatch.setattr(langid, "MODEL_GRAMS", 40)
+    rows = [(i, f"the and of to in is that {'for with'.split()[i % 2]}", "en") for i in range(2000)]
+    rows += [(3000 + i, "der und nicht", "de") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.trained(df, F.lit(True), sample_documents=40)
+    texts = spark.createDataFrame([(1, "und nicht der"), (2, "that is the"), (3, "你好")], "doc_id long, text string")
+    found = {r.doc_id: r.predicted.lang_pred for r in langid.predicted(texts, model).collect()}
+    assert found == {1: "de", 2: "en", 3: "en"}
+    assert [langid._quota(*x) for x in (([5, 100, 100], 45), ([3, 4], 45), ([100] * 9, 3), ([], 5))] == [20, 42, 1, 5]
+
+
 def test_toxicity(spark, documents):
     rng = random.Random(11)
     rows = [(i, text_of(rng, 40) + (" vilest words" if i % 4 == 0 else "")) for i in range(400)] + [(900, None), (901, ""), (None, "a")]
