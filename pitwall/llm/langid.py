@@ -169,9 +169,10 @@ def _model(table: pa.Table, sizes: dict[str, int]) -> Model:
 
 
 def _predictions(texts: pa.Array, model: Model) -> pa.StructArray:
-    names, shares = [], []
+    names, shares, letters = [], [], []
     for words in letter_words(texts):
         n_words = np.diff(words.bounds)
+        letters += (n_words > 0).tolist()
         if not model.languages:
             names += [UNKNOWN] * words.n_docs
             shares += [0.0] * words.n_docs
@@ -187,15 +188,16 @@ def _predictions(texts: pa.Array, model: Model) -> pa.StructArray:
         share = likely[np.arange(words.n_docs), best]
         names += [model.languages[b] if n else UNKNOWN for b, n in zip(best, n_words)]
         shares += np.where(n_words > 0, share, 0.0).tolist()
-    return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(shares, pa.float64())], ["lang_pred", "score"])
+    columns = [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(letters, pa.bool_())]
+    return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "has_letter"])
 
 
 def predicted(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents with ``predicted`` (lang_pred, score). The model goes to the executors once; only texts go
+    """The documents with ``predicted`` (lang_pred, score, has_letter). The model goes to the executors once; only texts go
     to Python, and only predictions come back."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    @F.arrow_udf("struct<lang_pred: string, score: double, has_letter: boolean>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield _predictions(texts, shared.value)
@@ -205,6 +207,6 @@ def predicted(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def identified(documents: DataFrame, model: Model) -> DataFrame:
-    """The rows of documents that are in a language; those found to be in none are rejected."""
+    """The rows of documents that have a letter, whether or not the model knows a language; the others are rejected."""
     rows = documents.select(F.struct("*").alias("row"), F.col("text"))
-    return predicted(rows, model).where(F.col("predicted.lang_pred") != UNKNOWN).select("row.*")
+    return predicted(rows, model).where("predicted.has_letter").select("row.*")

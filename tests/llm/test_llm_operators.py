@@ -286,6 +286,11 @@ def test_small_languages_are_learnt_beside_large_ones(spark, monkeypatch):
     assert [langid._quota(*x) for x in (([5, 100, 100], 45), ([3, 4], 45), ([100] * 9, 3), ([], 5))] == [20, 42, 1, 5]
 
 
+def test_texts_with_letters_stay_if_no_language_is_known(spark):
+    df = spark.createDataFrame([(1, "a b", None), (2, "12 !", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in langid.identified(df, langid.trained(df, F.lit(True))).collect()] == [1]
+
+
 def test_toxicity(spark, documents):
     rng = random.Random(11)
     rows = [(i, text_of(rng, 40) + (" vilest words" if i % 4 == 0 else "")) for i in range(400)] + [(900, None), (901, ""), (None, "a")]
