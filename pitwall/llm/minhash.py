@@ -15,7 +15,8 @@ band are linked without looking at all pairs of a bucket:
    components.
 3. What is left are pairs that share a bucket and lie in different components. Classes outside
    a bucket's largest component are compared with each other, and with all of that component:
-   block by block, in pieces of work that give one link for each class that has any.
+   block by block, in pieces of work that give one link for each class that has any, or links
+   that connect what is similar. Only in a bucket with few classes outside they are joined in pairs.
 
 With 40 bands of 4 slots a pair at similarity 0.75 shares no band once in four million.
 
@@ -42,6 +43,8 @@ from pitwall.llm.words import ASCII_LOWER, NOT_SPACE, Words, mixed, span_sums, s
 SHINGLE_WORDS, BANDS, BAND_SLOTS = 5, 40, 4
 #: Sets of each kind in a piece of work, and shingles counted at once in it.
 BLOCK_SETS, COLUMNS = 256, 20_000
+#: Classes outside the largest component of a bucket that are joined in pairs.
+FEW_OUTSIDE = 64
 _WHOLE_BASE, _BAND_BASE = 0xC2B2AE3D27D4EB4F, 0x9E6C63D0876A9A35
 _STEP = 0xA0761D6478BD642F
 
@@ -171,17 +174,83 @@ def links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         F.max(F.struct("count", "component")).alias("largest"), F.count("*").alias("n")
     ).where("n > 1").select("key", F.col("largest.component").alias("main"))
     outside = stored(current.join(largest, "key").where("component <> main"), "outside")
+    n_outside = outside.groupBy("key").agg(F.count("*").alias("n"), F.countDistinct("component").alias("n_components"))
+    n_outside = stored(n_outside.where("n_components > 1"), "n_outside")
+    few = outside.join(n_outside.where(F.col("n") <= FEW_OUTSIDE).select("key"), "key")
+    many = outside.join(n_outside.where(F.col("n") > FEW_OUTSIDE).select("key", "n"), "key").select("key", "ord", "n")
     pairs = (
-        outside.alias("x").join(outside.alias("y"), "key")
+        few.alias("x").join(few.alias("y"), "key")
         .where((F.col("x.ord") < F.col("y.ord")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent))
         .select(F.col("x.ord").alias("a"), F.col("y.ord").alias("b")).distinct()
     )
     among = stored(confirmed(pairs, sets, percent), "links")
     visits = outside.select(F.col("main").alias("component"), "ord").distinct()
     members = current.select("component", "ord").distinct().join(visits.select("component").distinct(), "component", "left_semi")
+    if not many.isEmpty():
+        among = among.unionByName(links_among(many, sets, percent))
     return found.unionByName(among).unionByName(links_to_components(visits, members, sets, percent))
 
 
+def links_among(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect what is similar within each key. rows: key, ord, n of the key.
+
+    The classes of a key are dealt into blocks; two blocks, or one with itself, are one piece.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK_SETS).cast("int")
+    own, other = F.pmod(F.xxhash64("ord", F.lit("block")), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+    placed = rows.select("key", "ord", own.alias("own"), other.alias("other"))
+    pieces = placed.select("key", F.least("own", "other").alias("v"), F.greatest("own", "other").alias("m"), "ord")
+    keys = ["key", "v", "m"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in in_groups(batches, len(keys)):
+            a, b = _forest_of_piece(group, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    whole = pieces.join(sets, "ord").select(*keys, "ord", "shingles")
+    return stored(whole.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long"), "links")
+
+
+def _forest_of_piece(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The links of a forest that spans the similarity graph of the piece."""
+    ords, shingles = group["ord"].to_numpy(), group["shingles"].combine_chunks()
+    sizes = shingles.value_lengths().to_numpy().astype(np.int64)
+    doc = np.repeat(np.arange(len(ords)), sizes)
+    names, number, times = np.unique(shingles.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    common = _common(doc, _columns(number, np.flatnonzero(times > 1), len(names)), int((times > 1).sum()), len(ords))
+    similar = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    a, b, left = [], [], np.ones(len(ords), bool)
+    for root in range(len(ords)):
+        queue = [root] if left[root] else []
+        left[root] = False
+        while queue:
+            at = queue.pop()
+            near = np.flatnonzero(similar[at] & left)
+            left[near] = False
+            queue += near.tolist()
+            a += [ords[at]] * len(near)
+            b += ords[near].tolist()
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _columns(number: np.ndarray, shared: np.ndarray, n_names: int) -> np.ndarray:
+    """The column of each shingle among the shared ones, or -1."""
+    place = np.full(n_names, -1)
+    place[shared] = np.arange(len(shared))
+    return place[number]
+
+
+def _common(doc: np.ndarray, column: np.ndarray, n_columns: int, n_docs: int) -> np.ndarray:
+    """How many of the columns every two documents share."""
+    common = np.zeros((n_docs, n_docs), np.float32)
+    for at in range(0, n_columns, COLUMNS):
+        some = np.flatnonzero((column >= at) & (column < at + COLUMNS))
+        table = np.zeros((n_docs, min(COLUMNS, n_columns - at)), np.float32)
+        table[doc[some], column[some] - at] = 1
+        common += table @ table.T
+    return common.astype(np.int64)
+
+
 def links_to_components(visits: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): a link to a component for each class that visits it and has one. Both: component, ord.
 
@@ -222,17 +291,9 @@ def _links_in_piece(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarr
     both[number[of_member]] |= 1
     both[number[~of_member]] |= 2
     shared = np.flatnonzero(both == 3)
-    place = np.full(len(names), -1)
-    place[shared] = np.arange(len(shared))
-    column = place[number]
-    common = np.zeros((len(ords), len(ords)), np.float32)
-    for at in range(0, len(shared), COLUMNS):
-        some = np.flatnonzero((column >= at) & (column < at + COLUMNS))
-        table = np.zeros((len(ords), min(COLUMNS, len(shared) - at)), np.float32)
-        table[doc[some], column[some] - at] = 1
-        common += table @ table.T
+    common = _common(doc, _columns(number, shared, len(names)), len(shared), len(ords))
     visitors, members = np.flatnonzero(~member), np.flatnonzero(member)
-    inside = common[np.ix_(visitors, members)].astype(np.int64)
+    inside = common[np.ix_(visitors, members)]
     similar = 100 * inside >= percent * (sizes[visitors][:, None] + sizes[members][None, :] - inside)
     similar &= ords[visitors][:, None] != ords[members][None, :]
     linked = np.flatnonzero(similar.any(1)) if similar.size else np.zeros(0, np.int64)

@@ -141,6 +141,30 @@ def test_near_copies_with_a_chain_and_outsiders(spark, documents):
     assert [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found] == brute_near(rows)
 
 
+def test_many_classes_outside_are_compared_in_blocks(spark, documents, monkeypatch):
+    rng = random.Random(31)
+    monkeypatch.setattr(minhash, "FEW_OUTSIDE", 1)
+    monkeypatch.setattr(minhash, "BLOCK_SETS", 4)
+    sets, chain = [], text_of(rng, 60).split()
+    for i in range(60):  # unlike others, pairs, and a chain of likes
+        chain[i % 60] = f"new{i}"
+        sets.append(" ".join(chain) if i % 3 else text_of(rng, 40))
+    docs = [(i, sets[i]) for i in rng.sample(range(60), 60)]
+    df = documents(docs).selectExpr("doc_id AS ord", "text")
+    full = minhash.full_sets(df, df.select("ord"), 5)
+    rows = df.selectExpr("7L AS key", "ord", "60L AS n")
+    joined = components.components(minhash.links_among(rows, full, 75))
+    found = {r.node: r.component for r in joined.collect()}
+    own = {i: shingles(text) for i, text in docs}
+    label = {i: i for i in own}
+    for _ in own:
+        for i in own:
+            label[i] = min(label[j] for j in own if 4 * len(own[i] & own[j]) >= 3 * len(own[i] | own[j]))
+    assert {i: found.get(i, i) for i in own} == label and len(set(label.values())) < 60
+    found = minhash.near_duplicates(documents(docs)).orderBy("ord").collect()
+    assert [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found] == brute_near(docs)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     for n, expected in ((3, 0.5), (40, 0.75), (500, 0.75)):
