@@ -4,7 +4,10 @@ from datetime import datetime
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_TESTS = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(_TESTS), _TESTS]
+
+from pitwall_helpers import at  # noqa: E402
 
 from pitwall.plans.layers import Layers, RawTables  # noqa: E402
 from pitwall.schemas import raw_names, raw_schema  # noqa: E402
@@ -26,11 +29,6 @@ def sf_dir():
     return SF_DIR
 
 
-def at(text: str | None):
-    """'03-02 15:00' as a time in 2024."""
-    return None if text is None else datetime.strptime(f"2024-{text}", "%Y-%m-%d %H:%M")
-
-
 @pytest.fixture(scope="session")
 def raw_frame(spark):
     """Build a raw table from rows of some of its columns; the others are NULL."""
@@ -112,16 +110,6 @@ def golden(raw_frame):
     )
 
 
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)
-
-
-def executed_plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)

@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from conftest import rows
+from pitwall_helpers import rows
 
 from pitwall.operators.checks import not_null_report, unique_report
 from pitwall.plans import marts, reports

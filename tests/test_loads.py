@@ -1,7 +1,7 @@
 """Loading, back-fill and refresh."""
 
 import pytest
-from conftest import rows
+from pitwall_helpers import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

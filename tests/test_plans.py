@@ -1,7 +1,7 @@
 """What Spark makes of the plans over stored raw tables."""
 
 import pytest
-from conftest import executed_plan
+from pitwall_helpers import executed_plan
 
 from pitwall.plans import marts, reports, staging
 from pitwall.plans.layers import Layers, RawTables

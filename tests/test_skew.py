@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import executed_plan, rows
+from pitwall_helpers import executed_plan, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

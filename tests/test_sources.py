@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import executed_plan, rows
+from pitwall_helpers import executed_plan, rows
 
 from pitwall.functions.conditions import run_stamp
 from pitwall.operators.checks import required_fields_report

@@ -1,6 +1,6 @@
 """Promotion: incremental copy and keyed upsert."""
 
-from conftest import rows
+from pitwall_helpers import rows
 from pyspark.sql import functions as F
 
 from pitwall.operators.upsert import upsert
