@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import langid, lattice, minhash, packing, pages, repeats, token_files, toxicity, warc, winnow
+from pitwall.llm import compression, langid, lattice, minhash, packing, pages, repeats, token_files, toxicity, warc, winnow
 from pitwall.llm.tables import checksum32, given
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,7 +17,7 @@ def language_held_out() -> Column:
     return F.coalesce(checksum32("doc_id") % 4 == 2, F.lit(False))
 
 
-def toxic_held_out() -> Column:
+def label_held_out() -> Column:
     return F.coalesce(checksum32("doc_id") % 5 == 0, F.lit(False))
 
 
@@ -35,8 +35,8 @@ def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = given(spark, sf_dir, "documents")
-    learnt = toxicity.trained(documents, given(spark, sf_dir, "labels"), learn_from=~toxic_held_out())
-    found = toxicity.scored(documents.select("doc_id", toxic_held_out().alias("held_out"), "text"), learnt)
+    learnt = toxicity.trained(documents, given(spark, sf_dir, "labels"), learn_from=~label_held_out())
+    found = toxicity.scored(documents.select("doc_id", label_held_out().alias("held_out"), "text"), learnt)
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
@@ -73,8 +73,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_sequences(given(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=0, capacity=2048)
 
 
+def op13_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = given(spark, sf_dir, "documents")
+    model = compression.trained(documents, given(spark, sf_dir, "labels"), learn_from=~label_held_out())
+    found = compression.scored(documents.select("doc_id", label_held_out().alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language, op2_repeats, op3_toxicity, op4_pages, op5_warc, op6_lattice, op7_minhash, op8_winnow, op9_token_files, op10_packing,
+        op13_compression,
     )
 }
