@@ -120,3 +120,76 @@ SELECT vec_id, (SELECT count(*) FROM near WHERE a = vec_id)::BIGINT AS n_links,
   root = vec_id AS kept
 FROM vec JOIN component ON node = vec_id
 """
+
+ORACLE_SQL["op11_collocation"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), word AS (
+  SELECT lang, words, len(words) AS n FROM (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM piece)
+), total AS (
+  SELECT lang, sum(n)::BIGINT AS n FROM word GROUP BY lang
+), gram AS (
+  SELECT lang, k, array_to_string(words[pos : pos + k - 1], ' ') AS phrase FROM (
+    SELECT lang, words, k, unnest(range(1, n - k + 2)) AS pos FROM word, range(1, 6) AS t(k) WHERE n >= k)
+), freq AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS words, count(*) AS f FROM gram GROUP BY ALL HAVING count(*) >= 100
+), inside AS (
+  SELECT lang, array_to_string(words[i : j], ' ') AS phrase, max(f) AS f FROM (
+    SELECT lang, words, k, f, i, unnest(range(i + 1, k + 1)) AS j FROM (
+      SELECT lang, words, k, f, unnest(range(1, k)) AS i FROM freq WHERE k > 2)) WHERE j - i + 1 < k GROUP BY ALL
+), cut AS (
+  SELECT lang, phrase, k, words, f AS a, unnest(range(1, k)) AS c FROM freq WHERE k > 1
+), scored AS (
+  SELECT cut.lang, cut.phrase, a, c, x.f AS l, y.f AS r, n,
+    ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cut JOIN total USING (lang)
+    JOIN freq x ON x.lang = cut.lang AND x.phrase = array_to_string(cut.words[1 : c], ' ')
+    JOIN freq y ON y.lang = cut.lang AND y.phrase = array_to_string(cut.words[c + 1 :], ' ')
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN inside USING (lang, phrase) WHERE inside.f IS NULL OR 100 * inside.f < 100 * a
+QUALIFY rank <= 2000
+"""
+
+ORACLE_SQL["op12_trie"] = r"""
+WITH turn AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+    struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(t ORDER BY k) AS turns FROM turn GROUP BY conv_id
+), head AS (
+  SELECT conv_id, turns, xor(list_reduce(
+      flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ord(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+      lambda a, b: xor(xor(a, b) >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN 3988292384 ELSE 0 END),
+      4294967295::BIGINT), 4294967295) % 9 AS h
+  FROM own
+), whole AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1 : h], []), c.turns[h + 1 :]) AS turns
+  FROM head c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+), prefix AS (
+  SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM whole
+), node AS (
+  SELECT depth, turns[1 : depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+  FROM prefix GROUP BY ALL
+), child AS (
+  SELECT a.depth, a.path, count(b.depth) AS n_children, any_value(a.conv_id) AS conv_id
+  FROM node a LEFT JOIN node b ON b.depth = a.depth + 1 AND b.path[1 : a.depth] = a.path GROUP BY ALL
+), own_part AS (
+  SELECT depth, path, n_children, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf,
+    CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(path[depth].text) ELSE 0 END AS saved
+  FROM node JOIN child USING (depth, path)
+), below AS (
+  SELECT path[1 : d] AS path, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT path, leaf, saved, unnest(range(0, depth + 1)) AS d FROM own_part) GROUP BY ALL
+)
+SELECT node.conv_id, node.depth, parent.conv_id AS parent_conv_id, node.n_convs, o.n_children, n_leaves, saved_tokens, node.ends_sha256
+FROM node JOIN own_part o ON o.path = node.path JOIN below ON below.path = node.path
+  LEFT JOIN node parent ON parent.depth = node.depth - 1 AND parent.path = node.path[1 : node.depth - 1]
+"""

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import compression, langid, lattice, minhash, packing, pages, repeats, token_files, toxicity, warc, winnow
+from pitwall.llm import (
+    collocation, compression, langid, lattice, minhash, packing, pages, repeats, token_files, toxicity, trie, warc, winnow,
+)
 from pitwall.llm.tables import checksum32, given
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,6 +75,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_sequences(given(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=0, capacity=2048)
 
 
+def op11_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(given(spark, sf_dir, "documents"), least=100, most=2_000)
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_nodes(given(spark, sf_dir, "conversations"), head_turns=checksum32("conv_id") % 9)
+
+
 def op13_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = given(spark, sf_dir, "documents")
     model = compression.trained(documents, given(spark, sf_dir, "labels"), learn_from=~label_held_out())
@@ -83,6 +93,6 @@ def op13_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language, op2_repeats, op3_toxicity, op4_pages, op5_warc, op6_lattice, op7_minhash, op8_winnow, op9_token_files, op10_packing,
-        op13_compression,
+        op11_collocation, op12_trie, op13_compression,
     )
 }

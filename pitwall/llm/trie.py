@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.tables import checksum32, stored
+from pitwall.llm.tables import stored
 
 #: A turn is 16 bytes of its digest and 8 of its text's length.
 DIGEST_BYTES, TURN_BYTES = 16, 24
@@ -286,10 +286,8 @@ def _merged(shared: DataFrame) -> DataFrame:
     return nodes.drop("n_leaves", "saved_tokens", "ancestors", "text_bytes").join(below, "key").join(parents, "parent_key", "left")
 
 
-def prefix_nodes(conversations: DataFrame, head_turns: Column | None = None) -> DataFrame:
-    """A row per node of the prefix tree of the rebuilt conversations."""
-    if head_turns is None:
-        head_turns = checksum32("conv_id") % 9
+def prefix_nodes(conversations: DataFrame, head_turns: Column) -> DataFrame:
+    """A row per node of the prefix tree of the rebuilt conversations; see rebuilt for head_turns."""
     found = rebuilt(conversations, head_turns)
     # A conversation of many copies comes in rows of up to 1,024 ids.
     folded = found.groupBy("path", F.shiftright("conv_id", ID_BITS).alias("ids_from")).agg(
