@@ -218,6 +218,15 @@ _COUNTS_PER_SESSION = " ".join(
     for t in ENTITIES
 )
 
+def _mirrored(entity: str) -> str:
+    return (
+        f"WITH {_RAW}\nSELECT * FROM raw_{entity} WHERE session_key % 2 = 0 UNION ALL "
+        f"SELECT * FROM raw_{entity} WHERE session_key % 2 = 0 AND session_key % 10 = 0 UNION ALL "
+        f"SELECT * REPLACE (ingested_at + INTERVAL 1 DAY AS ingested_at) FROM raw_{entity} "
+        "WHERE session_key % 2 = 1 AND session_key % 3 <> 0"
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "src_sessions_filtered": _sessions_of(YEAR),
     "src_bundle_sessions": _bundle("sessions"),
@@ -250,6 +259,9 @@ ORACLE_SQL: dict[str, str] = {
     "load_ledger": f"WITH {_RAW}\nSELECT session_key, session_name, year, 'loaded' AS status, "
     + ", ".join(f"ifnull({t}, 0) AS {t}" for t in ENTITIES)
     + f", NULL::VARCHAR AS error FROM raw_sessions {_COUNTS_PER_SESSION}",
+    "backfill_year": f"WITH {_RAW}\nSELECT session_key, year, 'loaded' AS status, "
+    + ", ".join(f"ifnull({t}, 0) AS {t}" for t in ENTITIES)
+    + f" FROM raw_sessions {_COUNTS_PER_SESSION} WHERE year = {YEAR}",
     "backfill_lap_times": f"WITH {_RAW},\n{_RESTAMPED},"
     + _layer_sql("run_sessions", "run_drivers", "run_laps", "run_positions")
     + "\nSELECT * FROM fct_lap_times",
@@ -264,6 +276,9 @@ ORACLE_SQL: dict[str, str] = {
     "promote_positions": f"WITH {_RAW}\nSELECT * FROM raw_positions",
     "upsert_sessions": f"WITH {_RAW}\nSELECT * FROM raw_sessions_dup "
     "QUALIFY row_number() OVER (PARTITION BY session_key ORDER BY ingested_at DESC NULLS FIRST) = 1",
+    **{f"mirror_{t}": _mirrored(t) for t in ENTITIES},
+    "promotion_lag": f"WITH {_RAW}\nSELECT session_type AS load_id, CASE session_type WHEN 'Race' THEN 'waiting' "
+    "ELSE 'copied' END AS status, TRUE AS in_time, count(*) AS loaded FROM raw_sessions GROUP BY ALL",
     "stg_sessions": _plain("SELECT * FROM stg_sessions"),
     "stg_drivers": _plain("SELECT * FROM stg_drivers"),
     "stg_laps": _plain("SELECT * FROM stg_laps"),

@@ -54,7 +54,7 @@ def backfill(
     they are appended again. A load id may be used again: what it loaded before stays.
     """
     sized_for(tuned(spark), folder_bytes(spark, landing_root))
-    chosen = chosen_sessions(catalogue(spark, landing_root, skip_broken=True), year, session_type)
+    chosen = chosen_sessions(catalogue(spark, landing_root, skip_broken=True, year=year), year, session_type)
     if not reload:
         loaded = read_raw(spark, raw_root, "sessions").select("session_key")
         chosen = chosen.join(loaded, "session_key", "left_anti")

@@ -15,8 +15,10 @@ from pitwall.sinks import raw as raw_sink
 from pitwall.sinks.marts import publish, read_mart
 from pitwall.sources import catalogue as cat
 from pitwall.sources import given, landing
-from pitwall.sources.tables import read_raw
+from pitwall.sources.tables import read_raw, with_attempt
 from pitwall.storage import scratch_folder
+from pitwall.streaming.lag import lag_report
+from pitwall.streaming.mirror import keep_mirrored, mirror, read_mirror
 from pitwall.streaming.promotion import promote, promote_by_key, read_keyed, read_promoted
 
 # Parameters of the registered queries.
@@ -182,6 +184,50 @@ def _upsert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_keyed(spark, f"{root}/to", raw_schema("sessions"))
 
 
+def _mirrored(entity: str) -> Query:
+    """Two loads are mirrored; one is withdrawn and loaded anew with other times, another one comes twice; mirrored again.
+
+    Even sessions lie in the load that stays; those of every third odd session do not come back.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_folder(spark, "mirror")
+        rows = getattr(given.raw_tables(spark, sf_dir), entity)
+        even, odd = (rows.filter(F.col("session_key") % 2 == part) for part in (0, 1))
+        _attempt(even, f"{root}/from", entity, "stays")
+        _attempt(odd, f"{root}/from", entity, "goes")
+        mirror(spark, f"{root}/from", entity, f"{root}/to")
+        raw_sink.withdraw(spark, f"{root}/from", "goes")
+        again = odd.filter(F.col("session_key") % 3 != 0).withColumn("ingested_at", F.expr("ingested_at + INTERVAL 1 DAY"))
+        _attempt(again, f"{root}/from", entity, "again")
+        _attempt(even.filter(F.col("session_key") % 10 == 0), f"{root}/from", entity, "twice")
+        keep_mirrored(spark, f"{root}/from", entity, f"{root}/to", f"{root}/state").awaitTermination()
+        return read_mirror(spark, f"{root}/to", entity)
+
+    return query
+
+
+def _promotion_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load per session type; all but the last are promoted before the report."""
+    root, types = scratch_folder(spark, "lag"), ("Practice", "Qualifying", RACE)
+    sessions = given.raw_sessions(spark, sf_dir)
+    for kind in types:
+        if kind == types[-1]:
+            promote(spark, f"{root}/from", "sessions", f"{root}/to", f"{root}/state").awaitTermination()
+        _attempt(sessions.filter(F.col("session_type") == kind), f"{root}/from", "sessions", kind)
+    report = lag_report(spark, f"{root}/from", f"{root}/to")
+    loaded = with_attempt(spark, f"{root}/from", "sessions").groupBy("attempt").agg(F.count(F.lit(1)).alias("loaded"))
+    return report.join(loaded, "attempt", "left").select(
+        "load_id", "status", "in_time", F.coalesce("loaded", F.lit(0)).cast("long").alias("loaded")
+    )
+
+
+def _backfill_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of one year's back-fill, which opens only folders with sessions of that year."""
+    ledger = pipeline.backfill(spark, landing_of(spark, sf_dir), scratch_folder(spark, "raw"), "year", RUN_TS, year=YEAR)
+    return ledger.select("session_key", "year", "status", *ENTITIES)
+
+
 _published: dict[tuple[str, str], str] = {}
 
 
@@ -264,6 +310,7 @@ QUERIES: dict[str, Query] = {
     "load_ledger": _load_ledger,
     "load_broken": _load_broken,
     "backfill_replayed": _backfill_replayed,
+    "backfill_year": _backfill_year,
     "backfill_lap_times": _backfill_lap_times,
     "refresh_race_results": _refresh_race_results,
     # Materialisation and promotion
@@ -274,6 +321,11 @@ QUERIES: dict[str, Query] = {
     "promote_laps": _promoted("laps"),
     "promote_positions": _promoted("positions"),
     "upsert_sessions": _upsert_sessions,
+    "mirror_sessions": _mirrored("sessions"),
+    "mirror_drivers": _mirrored("drivers"),
+    "mirror_laps": _mirrored("laps"),
+    "mirror_positions": _mirrored("positions"),
+    "promotion_lag": _promotion_lag,
     # Staging (T1-T4) and marts
     "stg_sessions": _of_layers(lambda y: y.stg_sessions),
     "stg_drivers": _of_layers(lambda y: y.stg_drivers),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pitwall.jobs import side_by_side
 from pitwall.schemas import ENTITIES, RAW_COLUMNS, RECORD_NAMES, STRICT_ENTITIES
 from pitwall.sources.landing import UNREADABLE, checked_records, stamped
-from pitwall.sources.tables import commits
+from pitwall.sources.tables import commits, withdrawals_path
 from pitwall.storage import checkpointed
 
 
@@ -56,6 +56,15 @@ def commit(spark: SparkSession, raw_root: str, load_id: str, attempt: str) -> No
     row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{raw_root}/commits")
 
 
+def withdraw(spark: SparkSession, raw_root: str, load_id: str) -> int:
+    """Take back all attempts of a load; return their number. Its rows are no longer read, and it may be loaded again."""
+    gone = [(r["attempt"],) for r in commits(spark, raw_root).filter(F.col("load_id") == load_id).collect()]
+    if gone:
+        log = spark.createDataFrame(gone, "attempt string").withColumn("withdrawn_at", F.current_timestamp())
+        log.coalesce(1).write.mode("append").parquet(withdrawals_path(raw_root))
+    return len(gone)
+
+
 def load_bundle(bundle: dict[str, DataFrame], raw_root: str, load_id: str) -> dict[str, int]:
     """K5: append a bundle in order and return the rows per table.
 
@@ -93,15 +102,16 @@ def load_sessions(
     session are reported in a ledger row without one. The first pass counts problems while
     it writes. Only if there are any, the failed sessions are found and a second attempt
     is written without them; the first one is never committed. Which sessions are chosen is
-    fixed before anything is written. ``session_key`` narrows the scan when just one
-    session is chosen.
+    fixed before anything is written. Only landing folders that hold chosen sessions are read;
+    ``session_key`` narrows the scan further when just one session is chosen.
     """
     chosen = checkpointed(chosen.filter(F.col("session_key").isNotNull()))
     keys = chosen.select("session_key").distinct().withColumn("is_chosen", F.lit(True))
     attempt = new_attempt(load_id)
 
     def marked(entity: str) -> DataFrame:
-        return checked_records(spark, landing_root, entity, session_key).join(keys, "session_key", "left")
+        records = checked_records(spark, landing_root, entity, session_key, sessions=keys)
+        return records.join(keys, "session_key", "left")
 
     def wanted(entity: str) -> DataFrame:
         return marked(entity).filter("is_chosen")

@@ -1,11 +1,19 @@
-"""Landed JSON records (S1-S7): one folder of JSON lines per entity.
+"""Landed JSON records (S1-S7): folders of JSON lines per entity, and an index of where sessions lie.
 
-Drivers, laps and positions lie in sub-folders by session key modulo a number that a
-landing folder keeps from its first record on, so that fetching one session opens one folder
-instead of all of them. A record that cannot be read makes a fetch fail.
+What ``land`` writes lies under ``keyed``, by season and, except for sessions, by session key
+modulo a number of buckets that a landing folder keeps from its first record on. The index names
+the folders of every session; it is written before the records, so it may name a folder too many
+but never one too few. Fetching a session, a year or a set of sessions joins the folders with the
+index, and Spark opens only those that the join leaves at run time.
+
+Records may also be dropped from outside, into ``<entity>/landing_bucket=<n>`` or ``sessions``.
+No index knows these; all of them are read, of one session those of its bucket. A record that
+cannot be read makes a fetch fail.
 """
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,28 +23,34 @@ from pitwall.functions import conditions as c
 from pitwall.schemas import (
     ENTITIES, RECORD_NAMES, STRICT_ENTITIES, raw_names, record_columns, record_schema,
 )
-from pitwall.storage import exists
+from pitwall.storage import exists, folder_names, has_files, make_folder
 
-# Sub-folders per entity of a landing folder that is told no other number: some terabytes.
+# Buckets per entity of a landing folder that is told no other number: some terabytes.
 LANDING_BUCKETS = 16
 BUCKETED = ("drivers", "laps", "positions")
+# Season of a session whose record has not been landed yet, or has no year.
+UNKNOWN_SEASON = "unknown"
+INDEX = "entity string, session_key bigint, landing_bucket int, season string"
 
 # Problem of a record that is not JSON of the declared types.
 UNREADABLE = "record cannot be parsed"
 
 
 def buckets_of(spark: SparkSession, root: str) -> int:
-    """The number of sub-folders per entity of a landing folder."""
-    if not exists(spark, f"{root}/layout"):
-        return LANDING_BUCKETS
-    return spark.read.schema("buckets int").json(f"{root}/layout").first()["buckets"]
+    """The number of buckets per entity of a landing folder."""
+    kept = folder_names(spark, f"{root}/layout", "buckets=")
+    return int(kept[0]) if kept else LANDING_BUCKETS
 
 
 def _kept_buckets(spark: SparkSession, root: str, wanted: int | None) -> int:
-    """What the landing folder says; a new one is told the wanted number, which then stays."""
+    """What the landing folder says; a new one is told the wanted number, which then stays, and gets folders to drop into."""
     if not exists(spark, f"{root}/layout"):
-        layout = spark.createDataFrame([(wanted or LANDING_BUCKETS,)], "buckets int")
-        layout.coalesce(1).write.json(f"{root}/layout")
+        number = wanted or LANDING_BUCKETS
+        for entity in BUCKETED:
+            for bucket in range(number):
+                make_folder(spark, f"{root}/{entity}/landing_bucket={bucket}")
+        make_folder(spark, f"{root}/sessions")
+        make_folder(spark, f"{root}/layout/buckets={number}")
     found = buckets_of(spark, root)
     if wanted not in (None, found):
         raise ValueError(f"{root} has {found} sub-folders per entity, not {wanted}")
@@ -47,20 +61,44 @@ def _bucket(session_key: Column, buckets: int) -> Column:
     return F.pmod(session_key, F.lit(buckets)).cast("int")
 
 
+def index_of(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Where landed records of an entity lie: session_key, landing_bucket (NULL for sessions), season."""
+    path = f"{root}/index"
+    index = spark.read.schema(INDEX).parquet(path) if exists(spark, path) else spark.createDataFrame([], INDEX)
+    return index.filter(F.col("entity") == entity).drop("entity")
+
+
+def _seasons(spark: SparkSession, root: str) -> DataFrame:
+    """The season of every session landed so far; of a session landed under several years, the last."""
+    known = index_of(spark, root, "sessions").filter(F.col("season") != UNKNOWN_SEASON)
+    return known.groupBy("session_key").agg(F.max("season").alias("season"))
+
+
+def _folder_keys(entity: str) -> list[str]:
+    return ["landing_bucket", "season"] if entity in BUCKETED else ["season"]
+
+
 def land(records: DataFrame, root: str, entity: str, omit_nulls: bool = False, buckets: int | None = None) -> None:
     """Append records to a landing folder.
 
-    Records of one sub-folder are brought together, in partitions that Spark sizes by their
-    bytes, so that a few large files are written and not one per task and sub-folder.
+    Records of one folder are brought together, in partitions that Spark sizes by their bytes, so
+    that a few large files are written and not one per task and folder. Sessions should be landed
+    before their records; those of a session that is not known yet lie in a season of their own.
     """
+    spark = records.sparkSession
+    number = _kept_buckets(spark, root, buckets)
     if entity in BUCKETED:
-        number = _kept_buckets(records.sparkSession, root, buckets)
+        records = records.drop("season").join(_seasons(spark, root), "session_key", "left")
         records = records.withColumn("landing_bucket", _bucket(F.col("session_key"), number))
-        records = records.hint("rebalance", "landing_bucket")
-    writer = records.write.mode("append").option("ignoreNullFields", omit_nulls)
-    if entity in BUCKETED:
-        writer = writer.partitionBy("landing_bucket")
-    writer.json(f"{root}/{entity}")
+    else:
+        records = records.withColumn("season", F.col("year").cast("string"))
+    placed = records.withColumn("season", F.coalesce("season", F.lit(UNKNOWN_SEASON)))
+    bucket = F.col("landing_bucket") if entity in BUCKETED else F.lit(None).cast("int").alias("landing_bucket")
+    index = placed.select(F.lit(entity).alias("entity"), "session_key", bucket, "season").distinct()
+    index.write.mode("append").parquet(f"{root}/index")
+    keys = _folder_keys(entity)
+    writer = placed.hint("rebalance", *keys).write.mode("append").option("ignoreNullFields", omit_nulls)
+    writer.partitionBy(*keys).json(f"{root}/keyed/{entity}")
 
 
 def to_records(raw: DataFrame, entity: str) -> DataFrame:
@@ -77,15 +115,60 @@ def to_records(raw: DataFrame, entity: str) -> DataFrame:
     return renamed.select(*fields)
 
 
-def json_lines(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """Landed records as text (column ``value``)."""
-    return spark.read.text(f"{root}/{entity}").select("value")
+def _scans(
+    spark: SparkSession,
+    root: str,
+    entity: str,
+    read: Callable[[str, T.StructType], DataFrame],
+    session_key: int | None = None,
+    year: int | None = None,
+    sessions: DataFrame | None = None,
+) -> DataFrame:
+    """All landed records of an entity, or at least those of a session, a year (of sessions) or some sessions.
 
+    ``read`` opens a folder whose sub-folders give the columns of the given schema.
+    """
+    bucket = T.StructType([T.StructField("landing_bucket", T.IntegerType())] if entity in BUCKETED else [])
+    in_bucket = None
+    if session_key and entity in BUCKETED:
+        in_bucket = F.col("landing_bucket") == _bucket(F.lit(session_key), buckets_of(spark, root))
+    found = []
+    if exists(spark, f"{root}/keyed/{entity}"):
+        season = T.StructType([*bucket.fields, T.StructField("season", T.StringType())])
+        keyed = read(f"{root}/keyed/{entity}", season)
+        if in_bucket is not None:
+            keyed = keyed.filter(in_bucket)
+        if year and entity not in BUCKETED:
+            keyed = keyed.filter(F.col("season") == str(year))
+        elif session_key or sessions is not None:
+            index = index_of(spark, root, entity)
+            if session_key:
+                index = index.filter(F.col("session_key") == session_key)
+            if sessions is not None:
+                index = index.join(sessions.select("session_key"), "session_key", "left_semi")
+            # A row per folder at most, so it may be broadcast.
+            folders = F.broadcast(index.select(*_folder_keys(entity)).distinct())
+            keyed = keyed.join(folders, _folder_keys(entity), "left_semi")
+        found.append(keyed.drop("season", "landing_bucket"))
+    if not found or has_files(spark, f"{root}/{entity}"):
+        dropped = read(f"{root}/{entity}", bucket)
+        found.append((dropped if in_bucket is None else dropped.filter(in_bucket)).drop("landing_bucket"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _text_of(spark: SparkSession) -> Callable[[str, T.StructType], DataFrame]:
+    def read(path: str, folders: T.StructType) -> DataFrame:
+        lines = spark.read.text(path)
+        kinds = {f.name: f.dataType for f in folders}
+        known = {n: (F.col(n) if n in lines.columns else F.lit(None)).cast(kind).alias(n) for n, kind in kinds.items()}
+        return lines.select("value", *known.values())
 
-def with_times(df: DataFrame, entity: str) -> DataFrame:
-    """Time texts as wall-clock timestamps."""
-    times = {n: c.wall_clock(F.col(n)) for n, kind in record_columns(entity) if kind == "timestamp_ntz"}
-    return df.withColumns(times)
+    return read
+
+
+def json_lines(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Landed records as text (column ``value``)."""
+    return _scans(spark, root, entity, _text_of(spark))
 
 
 def sound(records: DataFrame, entity: str) -> DataFrame:
@@ -94,16 +177,17 @@ def sound(records: DataFrame, entity: str) -> DataFrame:
     return records.filter(failure.isNull()).drop("problem")
 
 
-def _fetched(spark: SparkSession, root: str, entity: str, session_key: int | None = None) -> DataFrame:
-    return with_times(sound(_records(spark, root, entity, session_key), entity), entity)
+def _fetched(
+    spark: SparkSession, root: str, entity: str, session_key: int | None = None, year: int | None = None
+) -> DataFrame:
+    return sound(_records(spark, root, entity, session_key, year), entity)
 
 
 def fetch_sessions(
     spark: SparkSession, root: str, year: int | None = None, session_key: int | None = None
 ) -> DataFrame:
     """Sessions; a filter that is zero or None does not apply."""
-    df = _fetched(spark, root, "sessions", session_key)
-    return df.filter(F.col("year") == F.lit(year)) if year else df
+    return _fetched(spark, root, "sessions", session_key, year)
 
 
 def fetch_drivers(spark: SparkSession, root: str, session_key: int) -> DataFrame:
@@ -141,71 +225,85 @@ def latest_sessions(spark: SparkSession, root: str, run_ts: datetime, year: int
     return fetch_sessions(spark, root, year=int(c.utc_text(run_ts)[:4]) if year is None else year)
 
 
-def catalogue(spark: SparkSession, root: str, skip_broken: bool = False) -> DataFrame:
-    """All sessions, times still as text; a broken one fails, or is left out for loads, which report it."""
-    records = _records(spark, root, "sessions")
+def catalogue(spark: SparkSession, root: str, skip_broken: bool = False, year: int | None = None) -> DataFrame:
+    """All sessions, or those of a year, times still as text; a broken one fails, or is left out for loads, which report it."""
+    records = _records(spark, root, "sessions", year=year, as_text=True)
     if skip_broken:
         return records.filter(F.col("problem").isNull()).drop("problem")
     return sound(records, "sessions")
 
 
 def _records(
-    spark: SparkSession, root: str, entity: str, session_key: int | None = None, complete: bool = False
+    spark: SparkSession,
+    root: str,
+    entity: str,
+    session_key: int | None = None,
+    year: int | None = None,
+    complete: bool = False,
+    as_text: bool = False,
+    sessions: DataFrame | None = None,
 ) -> DataFrame:
-    """Landed records with times still as text, and ``problem`` telling why one cannot be read.
+    """Landed records, and ``problem`` telling why one cannot be read. Times are wall-clock timestamps, or still text.
 
     Problems: text that is not JSON of the declared types, a time that cannot be read and, if
     records must be ``complete``, an absent field of an entity that needs all of them. A broken
-    record keeps its session key if the text still shows one.
+    record keeps its session key if the text still shows one. Of a year come also the broken
+    records that show no year, and other sessions may come with the given ``sessions``.
     """
     fields = record_schema(entity)
-    schema = fields.add("broken", T.StringType())
-    path = f"{root}/{entity}"
+    schema = T.StructType([*fields, T.StructField("broken", T.StringType())])
+    absent = F.array().cast("array<string>")
     if complete and entity in STRICT_ENTITIES:
-        lines = spark.read.text(path)
+        lines = _scans(spark, root, entity, _text_of(spark), session_key, year, sessions)
         options = {"columnNameOfCorruptRecord": "broken", "mode": "PERMISSIVE"}
-        known = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
+        known = F.coalesce(F.json_object_keys("value"), absent)
         wanted = F.array(*[F.lit(n) for n, _ in record_columns(entity)])
-        records = lines.withColumn("record", F.from_json("value", schema, options)).withColumn(
-            "absent", F.array_except(wanted, known)
+        records = lines.withColumn("record", F.from_json("value", schema, options)).select(
+            "record.*", F.array_except(wanted, known).alias("absent")
         )
-        columns = [*[F.col(f"record.{n}").alias(n) for n in schema.names], "absent"]
-        if entity in BUCKETED:
-            columns.append("landing_bucket")
-        records = records.select(*columns)
     else:
-        records = spark.read.schema(
-            schema.add("landing_bucket", T.IntegerType()) if entity in BUCKETED else schema
-        ).option("columnNameOfCorruptRecord", "broken").json(path)
-        records = records.withColumn("absent", F.array().cast("array<string>"))
-    if session_key and entity in BUCKETED:
-        bucket = _bucket(F.lit(session_key), buckets_of(spark, root))
-        records = records.filter(F.col("landing_bucket") == bucket)
+        def read(path: str, folders: T.StructType) -> DataFrame:
+            reader = spark.read.schema(T.StructType([*schema, *folders]))
+            return reader.option("columnNameOfCorruptRecord", "broken").json(path)
+
+        records = _scans(spark, root, entity, read, session_key, year, sessions).withColumn("absent", absent)
 
     shown_key = F.regexp_extract("broken", r'"session_key"\s*:\s*(-?\d+)', 1).try_cast("bigint")
     records = records.withColumn("session_key", F.coalesce("session_key", shown_key))
     if session_key:
         records = records.filter(F.col("session_key") == F.lit(session_key))
+    if year:
+        records = records.filter((F.col("year") == F.lit(year)) | (F.col("year").isNull() & F.col("broken").isNotNull()))
 
     times = [n for n, kind in record_columns(entity) if kind == "timestamp_ntz"]
+    # Each time is read once, for the check and for the result.
+    records = records.withColumns({f"{n}_read": c.wall_clock(F.col(n)) for n in times})
     unread = [
-        F.when(F.col(n).isNotNull() & c.wall_clock(F.col(n)).isNull(), F.lit(f"{n} is not a time")) for n in times
+        F.when(F.col(n).isNotNull() & F.col(f"{n}_read").isNull(), F.lit(f"{n} is not a time")) for n in times
     ]
     problem = F.coalesce(
         F.when(F.col("broken").isNotNull(), F.lit(UNREADABLE)),
         F.when(F.size("absent") > 0, F.concat(F.lit("missing field "), F.element_at("absent", 1))),
         *unread,
     )
-    return records.select(*fields.names[: len(record_columns(entity))], problem.alias("problem"))
+    columns = [n if as_text or n not in times else F.col(f"{n}_read").alias(n) for n in fields.names]
+    return records.select(*columns, problem.alias("problem"))
 
 
-def checked_records(spark: SparkSession, root: str, entity: str, session_key: int | None = None) -> DataFrame:
-    """Stamp-less raw columns of all landed records, with ``problem`` telling why one cannot be loaded.
+def checked_records(
+    spark: SparkSession,
+    root: str,
+    entity: str,
+    session_key: int | None = None,
+    sessions: DataFrame | None = None,
+) -> DataFrame:
+    """Stamp-less raw columns of landed records, with ``problem`` telling why one cannot be loaded.
 
-    A record that cannot be read has a problem, and one with a value beyond its limit.
+    All of them, or at least those of the given ``sessions``. A record that cannot be read has a
+    problem, and one with a value beyond its limit.
     """
-    records = _records(spark, root, entity, session_key, complete=True)
-    renamed = with_times(records, entity).withColumnsRenamed(RECORD_NAMES.get(entity, {}))
+    records = _records(spark, root, entity, session_key, complete=True, sessions=sessions)
+    renamed = records.withColumnsRenamed(RECORD_NAMES.get(entity, {}))
     names = [n for n in raw_names(entity) if n != "ingested_at"]
     return renamed.select(*names, F.coalesce("problem", c.limit_problem(entity)).alias("problem"))
 

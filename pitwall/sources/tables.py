@@ -1,8 +1,8 @@
 """Raw tables as stored: a folder per entity, a sub-folder per attempt to load, and a log of commits.
 
-An attempt writes to folders of its own and is visible once its row is in the log. What the
-log names is never written again. Readers join the rows with the log; Spark prunes the
-folders of other attempts from what the log yields at run time.
+An attempt writes to folders of its own and is visible once its row is in the log, until it is
+withdrawn by a row in a second log. What the log names is never written again. Readers join the
+rows with the log; Spark prunes the folders of other attempts from what the log yields at run time.
 """
 
 from functools import partial
@@ -17,12 +17,29 @@ from pitwall.storage import exists
 COMMITS = "load_id string, attempt string, committed_at timestamp"
 
 
+def withdrawals_path(raw_root: str) -> str:
+    return f"{raw_root}/withdrawals"
+
+
 def commits(spark: SparkSession, raw_root: str) -> DataFrame:
-    """The log: a row per committed attempt."""
+    """The log: a row per committed attempt that has not been withdrawn."""
     path = f"{raw_root}/commits"
     if not exists(spark, path):
         return spark.createDataFrame([], COMMITS)
-    return spark.read.schema(COMMITS).parquet(path)
+    log = spark.read.schema(COMMITS).parquet(path)
+    if not exists(spark, withdrawals_path(raw_root)):
+        return log
+    return log.join(spark.read.schema("attempt string").parquet(withdrawals_path(raw_root)), "attempt", "left_anti")
+
+
+def attempts_now(spark: SparkSession, raw_root: str) -> DataFrame:
+    """The attempts that count."""
+    return commits(spark, raw_root).select("attempt").distinct()
+
+
+def read_attempts(spark: SparkSession, raw_root: str, entity: str, attempts: DataFrame) -> DataFrame:
+    """Rows of some attempts."""
+    return with_attempt(spark, raw_root, entity).join(attempts, "attempt", "left_semi").select(*raw_names(entity))
 
 
 def with_attempt(spark: SparkSession, raw_root: str, entity: str) -> DataFrame:
@@ -36,8 +53,7 @@ def with_attempt(spark: SparkSession, raw_root: str, entity: str) -> DataFrame:
 
 def read_raw(spark: SparkSession, raw_root: str, entity: str) -> DataFrame:
     """Rows of all committed attempts of a raw table."""
-    done = commits(spark, raw_root).select("attempt").distinct()
-    return with_attempt(spark, raw_root, entity).join(done, "attempt", "left_semi").select(*raw_names(entity))
+    return read_attempts(spark, raw_root, entity, attempts_now(spark, raw_root))
 
 
 def read_raw_tables(spark: SparkSession, raw_root: str) -> RawTables:

@@ -55,16 +55,29 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
 
 
-def finished_folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
-    """Values v of the folders ``root/<prefix>v`` whose write was committed, sorted."""
+def folder_names(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """Values v of the folders ``root/<prefix>v``, sorted."""
     fs, hadoop_path = _file_system(spark, root)
     if not fs.exists(hadoop_path):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
-    return sorted(
-        name[len(prefix):] for name in names
-        if name.startswith(prefix) and exists(spark, f"{root}/{name}/_SUCCESS")
-    )
+    return sorted(name[len(prefix):] for name in names if name.startswith(prefix))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is any file below a folder."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path) and fs.listFiles(hadoop_path, True).hasNext()
+
+
+def finished_folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """Values v of the folders ``root/<prefix>v`` whose write was committed, sorted."""
+    return [v for v in folder_names(spark, root, prefix) if exists(spark, f"{root}/{prefix}{v}/_SUCCESS")]
 
 
 def write_version(df: DataFrame, table_root: str, version: int) -> str:
@@ -93,8 +106,12 @@ def read_version(spark: SparkSession, table_root: str, version: int) -> DataFram
     return spark.read.parquet(f"{table_root}/v={version:012d}")
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def drop_old_versions(spark: SparkSession, table_root: str, keep: int) -> None:
     """Remove finished versions but the newest so many; readers of those that go must have ended."""
-    fs, _ = _file_system(spark, table_root)
     for version in finished_folders(spark, table_root, "v=")[:-keep]:
-        fs.delete(_file_system(spark, f"{table_root}/v={version}")[1], True)
+        delete_folder(spark, f"{table_root}/v={version}")

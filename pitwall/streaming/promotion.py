@@ -14,11 +14,12 @@ from pyspark.sql.types import StructType
 
 from pitwall.operators.upsert import upsert
 from pitwall.schemas import raw_names, raw_schema
-from pitwall.sources.tables import COMMITS, with_attempt
-from pitwall.storage import current_version, exists, next_version, read_version, write_version
-
-# Longest time a copy may lag behind when it runs continuously.
-TARGET_LAG = "1 hour"
+from pitwall.sinks.buckets import (
+    BUCKETS, bucket_count, bucket_of, complete, new_version, read_buckets, replace_buckets, table_version,
+)
+from pitwall.sources.tables import COMMITS, read_attempts, with_attempt
+from pitwall.storage import exists, next_version, read_version, write_version
+from pitwall.streaming.lag import CHECKS_PER_LAG, TARGET_LAG_SECONDS, note_copied
 
 
 def _new_commits(spark: SparkSession, raw_root: str, commits_per_batch: int | None) -> DataFrame:
@@ -36,10 +37,12 @@ def promote(
     checkpoint_dir: str,
     continuous: bool = False,
     commits_per_batch: int | None = None,
+    lag_seconds: int = TARGET_LAG_SECONDS,
 ) -> StreamingQuery:
     """Copy what is newly committed in a raw table, each attempt exactly once.
 
-    Runs once over all new commits, or on as a stream within the target lag. An attempt keeps
+    Runs once over all new commits, or on as a stream that looks for them several times within
+    the target lag; ``lag_report`` tells how long each attempt waited. An attempt keeps
     its folder name in the target, so a repeated batch and a new checkpoint folder find what is
     there already; ``read_promoted`` reads the target. Both folders must lie on shared storage.
     """
@@ -55,10 +58,14 @@ def promote(
         copied = uuid.uuid4().hex
         rows.drop("attempt").write.parquet(f"{target_dir}/rows/copied={copied}")
         new.select("attempt", F.lit(copied).alias("copied")).coalesce(1).write.mode("append").parquet(f"{target_dir}/log")
+        note_copied(target_dir, batch)
 
     writer = _new_commits(spark, raw_root, commits_per_batch).writeStream.foreachBatch(copy)
     writer = writer.option("checkpointLocation", checkpoint_dir)
-    writer = writer.trigger(processingTime=TARGET_LAG) if continuous else writer.trigger(availableNow=True)
+    if continuous:
+        writer = writer.trigger(processingTime=f"{max(1, lag_seconds // CHECKS_PER_LAG)} seconds")
+    else:
+        writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
@@ -80,31 +87,38 @@ def promote_by_key(
     keys: list[str],
     newest: str,
     commits_per_batch: int | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """P5: merge what is newly committed into a keyed table, one new version per batch.
 
-    A version is numbered after all that are there, and lists the attempts merged so far. A
-    batch merges only attempts that the version before does not list, so a repeated batch and a
-    new checkpoint folder change nothing.
+    The table lies in buckets by key. A batch reads and writes only the buckets its keys fall
+    into; the others are taken over from the version before. A version lists the attempts merged
+    so far. A batch merges only attempts that the version before does not list, so a repeated
+    batch and a new checkpoint folder change nothing.
     """
     schema = raw_schema(entity)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         new = batch.select("attempt").distinct()
-        before = current_version(session, f"{table_root}/merged")
+        before = table_version(session, table_root)
         if before is not None:
             merged = read_version(session, f"{table_root}/merged", before)
             new = new.join(merged, "attempt", "left_anti")
         if new.isEmpty():
             return
-        changes = with_attempt(session, raw_root, entity).join(new, "attempt", "left_semi").select(*schema.names)
-        version = max(next_version(session, f"{table_root}/{part}") for part in ("rows", "merged"))
-        target = read_keyed(session, table_root, schema)
-        write_version(upsert(target, changes, keys, newest), f"{table_root}/rows", version)
+        number = bucket_count(session, table_root, buckets)
+        in_bucket = bucket_of(keys, number)
+        changes = read_attempts(session, raw_root, entity, new)
+        # A number per bucket at most.
+        touched = [r["bucket"] for r in changes.select(in_bucket.alias("bucket")).distinct().collect()]
+        target = read_buckets(session, table_root, schema, touched, before)
+        version = max(new_version(session, table_root), next_version(session, f"{table_root}/merged"))
+        rows = upsert(target, changes, keys, newest).withColumn("bucket", in_bucket)
+        found = replace_buckets(rows, table_root, touched, version)
         every = new if before is None else merged.unionByName(new)
-        # Written last: a version counts once its list of attempts is there.
         write_version(every.coalesce(1), f"{table_root}/merged", version)
+        complete(session, table_root, found, version)
 
     stream = _new_commits(spark, raw_root, commits_per_batch)
     return (
@@ -115,7 +129,4 @@ def promote_by_key(
 
 def read_keyed(spark: SparkSession, table_root: str, schema: StructType) -> DataFrame:
     """The newest version of a keyed table."""
-    version = current_version(spark, f"{table_root}/merged")
-    if version is None:
-        return spark.createDataFrame([], schema)
-    return read_version(spark, f"{table_root}/rows", version)
+    return read_buckets(spark, table_root, schema)
