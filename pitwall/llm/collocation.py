@@ -38,6 +38,8 @@ HELD, PACKED = 1 << 21, 1 << 14
 #: Capacity of a summary as a multiple of mass over least count, and the most entries planned for one.
 SLACK, SUMMARY = 4, 1 << 19
 LEAST_PARTS, MOST_PARTS = 32, 1 << 16
+#: Shares of a language's phrases that are ranked apart, before the first of each are ranked together.
+SHARES = 64
 #: Lengths of phrases counted by one run of the first pass; those before are in the filter by then.
 LEVELS = ((1,), (2,), (3, 4, 5))
 
@@ -154,9 +156,7 @@ def _packed(held: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
 def _survivors(rows: DataFrame, lengths: tuple[int, ...], bits, mass: int, least: int) -> np.ndarray:
     """The filter of the phrases of these lengths that may be frequent; mass bounds their occurrences."""
     spark = rows.sparkSession
-    parts = LEAST_PARTS
-    while parts < MOST_PARTS and SLACK * mass > SUMMARY * least * parts:
-        parts *= 2
+    parts = _parts(mass, least)
     capacity = SLACK * mass // (parts * least) + 1
     # A slice of the filter has eight bits at least.
     slice_bits = FILTER_BITS // parts
@@ -205,8 +205,11 @@ def _survivors(rows: DataFrame, lengths: tuple[int, ...], bits, mass: int, least
     return bits
 
 
-def _exact(rows: DataFrame, bits) -> DataFrame:
-    """(lang, k, phrase, times) of all phrases that the filter lets through, per task; k = 0 counts all words."""
+def _exact(rows: DataFrame, bits, parts: int, least: int) -> DataFrame:
+    """(lang, k, phrase, times) of all phrases that the filter lets through and that are frequent; k = 0 counts all words.
+
+    Tasks send their counts packed, by the part of a phrase's hash, and each part adds them up.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[int, int], list] = {}
@@ -220,33 +223,74 @@ def _exact(rows: DataFrame, bits) -> DataFrame:
                     at = _possible(phrases, k, bits.value)
                     first = phrases.of_length(k)[at]
                     at = at[passes(bits.value, first)]
-                    hashes = phrases.of_length(k)[at], phrases.of_length(k, 1)[at]
-                    order = np.lexsort(hashes[::-1])
-                    a, b = (h[order] for h in hashes)
-                    new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else []
+                    if not len(at):
+                        continue
+                    a, b = phrases.of_length(k)[at], phrases.of_length(k, 1)[at]
+                    order = np.lexsort((b, a))
+                    a, b = a[order], b[order]
+                    new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
                     times = np.diff(np.append(new, len(a)))
-                    for i, n, key in zip(at[order[new]].tolist() if len(a) else [], times.tolist(), zip(a[new].tolist(), b[new].tolist()) if len(a) else []):
+                    keys = zip(a[new].tolist(), b[new].tolist())
+                    for i, n, key in zip(at[order[new]].tolist(), times.tolist(), keys):
                         known = found.get(key)
                         if known:
                             known[3] += n
                         else:
                             found[key] = [names[phrases.language[i]], k, phrases.text(i, k), n]
                 if len(found) >= HELD // 4:
-                    yield from _rows(found.values())
+                    yield from _by_part(found, parts)
                     found = {}
-        yield from _rows([*found.values(), *([name, 0, "", n] for name, n in totals.items())])
+        # The words of a language are counted in its own part.
+        found |= {(_language_hash(name), -1): [name, 0, "", n] for name, n in totals.items()}
+        yield from _by_part(found, parts)
+
+    def add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, some, n = None, [], 0
+        for batch in batches:
+            some.append(pa.table({name: batch.column(name).flatten() for name in COUNTED}))
+            n += len(some[-1])
+            if n >= HELD:
+                sums = _sums(sums, some)
+                some, n = [], 0
+        sums = _sums(sums, some)
+        frequent = (sums["times"].to_numpy() >= least) | (sums["k"].to_numpy() == 0)
+        yield from sums.filter(pa.array(frequent)).select(COUNTED).combine_chunks().to_batches()
+
+    packed = rows.mapInArrow(
+        count, "part int, lang array<string>, k array<int>, phrase array<string>, times array<long>"
+    )
+    return packed.groupBy("part").applyInArrow(add_up, "lang string, k int, phrase string, times long")
 
-    return rows.mapInArrow(count, "lang string, k int, phrase string, times long")
 
+COUNTED = ["lang", "k", "phrase", "times"]
 
-def _rows(found) -> Iterator[pa.RecordBatch]:
-    found = list(found)
-    for at in range(0, len(found), 10_000):
-        lang, k, phrase, times = zip(*found[at : at + 10_000])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(k, pa.int32()), pa.array(phrase, pa.string()), pa.array(times, pa.int64())],
-            ["lang", "k", "phrase", "times"],
-        )
+
+def _sums(sums: pa.Table | None, some: list[pa.Table]) -> pa.Table:
+    table = pa.concat_tables([*([] if sums is None else [sums]), *some])
+    return table.group_by(["lang", "k", "phrase"]).aggregate([("times", "sum")]).rename_columns(
+        {"times_sum": "times"}
+    ).select(COUNTED)
+
+
+def _by_part(found: dict[tuple[int, int], list], parts: int) -> Iterator[pa.RecordBatch]:
+    """Packed rows of counted phrases."""
+    shift = 64 - (parts - 1).bit_length()
+    of_part: dict[int, list] = {}
+    for (first, _), entry in found.items():
+        of_part.setdefault(first >> shift, []).append(entry)
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
+    for part, entries in of_part.items():
+        for at in range(0, len(entries), PACKED):
+            columns = [pa.array([list(column)], pa.list_(kind)) for column, kind in zip(zip(*entries[at : at + PACKED]), kinds)]
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *columns], ["part", *COUNTED])
+
+
+def _parts(mass: int, least: int) -> int:
+    """Hash partitions, a power of two, so that no summary is planned larger than SUMMARY."""
+    parts = LEAST_PARTS
+    while parts < MOST_PARTS and SLACK * mass > SUMMARY * least * parts:
+        parts *= 2
+    return parts
 
 
 def phrase_counts(documents: DataFrame, least: int) -> DataFrame:
@@ -264,8 +308,7 @@ def phrase_counts(documents: DataFrame, least: int) -> DataFrame:
         if shared is not None:
             shared.unpersist()
         shared = context.broadcast(bits)
-    exact = _exact(rows, shared).groupBy("lang", "k", "phrase").agg(F.sum("times").alias("times"))
-    return stored(exact.where((F.col("times") >= least) | (F.col("k") == 0)), "phrases")
+    return stored(_exact(rows, shared, _parts(int(words) * LONGEST, least), least), "phrases")
 
 
 def _part(words: str, start: int | F.Column, length: F.Column) -> F.Column:
@@ -302,8 +345,13 @@ def collocations(documents: DataFrame, least: int = 100, most: int = 2_000) -> D
     best = scored.groupBy("lang", "phrase").agg(
         F.min(F.struct("score", "cut", "l", "r")).alias("best"), F.max("a").alias("a"), F.max("n").alias("n")
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = best.select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score").withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= most).select(
+    ranked = best.select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score")
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # The first of each share of a language, then the first of all, so that no task gets a language whole.
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    for keys in (["lang", share], ["lang"]):
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        ranked = ranked.where(F.col("rank") <= most)
+    return ranked.select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )

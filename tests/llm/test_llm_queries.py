@@ -25,7 +25,7 @@ def given(sf_dir, table, *columns):
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
 def test_same_rows_as_sql(spark, sf_dir, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "benchmark"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "conversations"):
         if os.path.exists(f"{sf_dir}/{table}.parquet"):
             duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     df = QUERIES[name](spark, sf_dir)
@@ -39,8 +39,8 @@ def test_same_rows_as_sql(spark, sf_dir, name):
     assert expected
 
 
-def test_there_are_ten_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_there_are_thirteen_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_token_files_equal_the_library(spark, sf_dir):
