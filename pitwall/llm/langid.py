@@ -5,10 +5,12 @@ unknown word is scored by its longest character n-grams that are known, from fiv
 (with the marks at its ends) down to one. The words' scores add up, and the languages' shares
 of the likelihood give the prediction and its score.
 
-Counts are taken by Spark over a bounded sample of the training rows, chosen by a hash of
-doc_id: every language gives as many rows, or all it has if these are fewer. The model keeps
-the words and n-grams that are the most frequent in any language, in times a document, so its
-size is bounded too, and neither depends on how common a language is.
+Counts are taken by Spark over a bounded sample of the training texts, chosen by a hash of the
+text, so that it does not matter which rows share an id: every language gives about as many
+different texts, or all it has if these are fewer, and a copied text counts as often as it
+stands there. The model keeps the words and n-grams that occur more than once in the sample, and
+all n-grams of one or two letters. So the sample bounds its size too; neither depends on how
+common a language is.
 
 Words are runs of letters, lower-cased. A text that is null or has no letter is ``und`` with
 score 0; so is every text if there is nothing to learn from. A text none of whose letters is
@@ -24,16 +26,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.tables import by_batch
+from pitwall.llm.tables import by_batch, release_memory, small_batches
 from pitwall.llm.words import LetterWords, letter_words
 
-#: Training documents in the sample, on average, and entries of the model for words and for n-grams.
-SAMPLE_DOCUMENTS, MODEL_WORDS, MODEL_GRAMS = 20_000, 200_000, 200_000
-LONGEST_GRAM = 5
+#: Training texts in the sample, about, and how often the sample must show a word or an n-gram.
+SAMPLE_DOCUMENTS, LEAST_TIMES = 20_000, 2
+LONGEST_GRAM, SHORT_GRAM = 5, 2
 SMOOTHING = 0.1
 UNKNOWN = "und"
 #: Parts per million, for a sampling threshold.
-PARTS = 1_000_000
+PARTS = 1_000_000_000
 
 
 @dataclass
@@ -84,8 +86,8 @@ def _gram_span(words: LetterWords, which: np.ndarray, n: int) -> tuple[np.ndarra
 
 
 def _counts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """(n, hash, lang, times) of the words and n-grams of (text, lang)."""
-    languages = batch.column(1).to_numpy(zero_copy_only=False)
+    """(n, hash, lang, times) of the words and n-grams of (text, lang, copies)."""
+    languages, copies = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
     for words in letter_words(batch.column(0)):
         doc = np.repeat(np.arange(words.n_docs), np.diff(words.bounds)) + words.first_row
         of_word = languages[doc]
@@ -96,10 +98,11 @@ def _counts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
                     begins, ends = _gram_span(words, mine, n)
                     counts = np.maximum(0, ends - begins)
                     places = np.repeat(begins - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-                    hashes = words.letter_grams(places, n)
+                    hashes, weights = words.letter_grams(places, n), np.repeat(copies[doc[mine]], counts)
                 else:
-                    hashes = words.hashes[mine]
-                values, times = np.unique(hashes, return_counts=True)
+                    hashes, weights = words.hashes[mine], copies[doc[mine]]
+                values, which = np.unique(hashes, return_inverse=True)
+                times = np.bincount(which, weights, len(values)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(values), n, np.int32)), pa.array(values.view(np.int64)),
@@ -122,28 +125,29 @@ def _quota(sizes: list[int], most: int) -> int:
 
 def trained(documents: DataFrame, learn_from: Column, sample_documents: int = SAMPLE_DOCUMENTS) -> Model:
     """Learns from text and lang of about so many of the rows that learn_from admits, or fewer."""
+    small_batches(documents.sparkSession)
     rows = documents.where(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        "doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
+        F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    # The numbers of different texts are estimates, from bounded sketches.
+    pick = F.xxhash64("text", F.lit("sample"))
+    counted = rows.groupBy("lang").agg(F.approx_count_distinct(pick, 0.02).alias("texts"), F.count(F.lit(1)).alias("rows"))
+    found = counted.collect()
+    sizes, common = {r["lang"]: r["texts"] for r in found}, {r["lang"]: r["rows"] for r in found}
     quota = _quota(list(sizes.values()), sample_documents)
     shares = F.broadcast(documents.sparkSession.createDataFrame(
-        [(lang, min(PARTS, PARTS * quota // n + 1), float(min(n, quota))) for lang, n in sizes.items()],
-        "lang string, share long, taken double",
+        [(lang, PARTS if n <= quota else PARTS * quota // n + 1) for lang, n in sizes.items()], "lang string, share long",
     ))
-    chosen = rows.join(shares, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(PARTS)) < F.col("share"))
-    counts = chosen.select("text", "lang").mapInArrow(
+    chosen = rows.join(shares, "lang").where(F.pmod(pick, F.lit(PARTS)) < F.col("share"))
+    texts = chosen.groupBy("text", "lang").agg(F.count(F.lit(1)).alias("copies"))
+    counts = texts.mapInArrow(
         by_batch(lambda: _counts), "n int, hash long, lang string, times long"
     )
-    entries = (
-        counts.groupBy("n", "hash", "lang").agg(F.sum("times").alias("times")).join(shares, "lang")
-        .groupBy("n", "hash").agg(F.max(F.col("times") / F.col("taken")).alias("most"), F.collect_list(F.struct("lang", "times")).alias("by_lang"))
+    entries = counts.groupBy("n", "hash", "lang").agg(F.sum("times").alias("times")).groupBy("n", "hash").agg(
+        F.sum("times").alias("times"), F.collect_list(F.struct("lang", "times")).alias("by_lang")
     )
-    most = [F.desc("most"), F.asc("hash")]
-    words = entries.where("n = 0").orderBy(*most).limit(MODEL_WORDS)
-    grams = entries.where("n > 0").orderBy(*most).limit(MODEL_GRAMS)
-    table = words.unionByName(grams).select("n", "hash", "by_lang").toArrow()
-    return _model(table, sizes)
+    kept = entries.where((F.col("times") >= LEAST_TIMES) | F.col("n").between(1, SHORT_GRAM))
+    return _model(kept.select("n", "hash", "by_lang").toArrow(), common)
 
 
 def _model(table: pa.Table, sizes: dict[str, int]) -> Model:
@@ -195,12 +199,14 @@ def _predictions(texts: pa.Array, model: Model) -> pa.StructArray:
 def predicted(documents: DataFrame, model: Model) -> DataFrame:
     """The documents with ``predicted`` (lang_pred, score, has_letter). The model goes to the executors once; only texts go
     to Python, and only predictions come back."""
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred: string, score: double, has_letter: boolean>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield _predictions(texts, shared.value)
+        release_memory()
 
     # Spark may otherwise evaluate it once for a filter and once more for the result.
     return documents.withColumn("predicted", predict.asNondeterministic()(F.col("text").cast("string")))

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from tokenizers import Tokenizer
 from pitwall.llm import components, langid, lattice, minhash, packing, pages, repeats, token_files, toxicity, warc, winnow
 from pitwall.llm.encoding import Encoder
 from pitwall.llm.queries import BYTE_TOKENIZER, WORD_TOKENIZER
-from pitwall.llm.words import ASCII_LOWER, NOT_SPACE, split_words
+from pitwall.llm.words import ASCII_LOWER, NOT_SPACE, letter_words, split_words
 
 ODD_TEXTS = [
     "", " ", "a  b", " a", "a ", "\n", "a\n\nb c", "a\tb", "a\t\tb   c", "don't 's", "x<|endoftext|> y", "é ́",
@@ -297,9 +298,79 @@ def test_language(spark, documents):
     assert langid.predicted(df.limit(0), model).isEmpty()
 
 
-def test_small_languages_are_learnt_beside_large_ones(spark, monkeypatch):
-    monkeypatch.setattr(langid, "MODEL_WORDS", 12)
-    monkeypatch.setattr(langid, "MODEL_GRAMS", 40)
+@pytest.mark.parametrize("doc_id", [None, 7, 13])
+def test_the_sample_does_not_depend_on_ids(spark, doc_id):
+    """All rows share an id: the sample is still about as large as asked for, and both languages are learnt."""
+    rng = random.Random(2)
+    rows = [(doc_id, f"the {text_of(rng, 6)}", "en") for _ in range(3000)] + [(doc_id, "der und nicht", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.trained(df, F.lit(True), sample_documents=300)
+    assert model.languages == ["de", "en"]
+    the = next(words.hashes[0] for words in letter_words(pa.array(["the"])))
+    known, at = model.look_up(0, np.array([the]))
+    share = np.exp(model.scores[0][at[0], 1] - np.log(1 / 7))
+    assert known[0] and 0.5 < share < 2.5
+    texts = spark.createDataFrame([(doc_id, "nicht der"), (doc_id, "the kalo")], "doc_id long, text string")
+    assert {r.text: r.predicted.lang_pred for r in langid.predicted(texts, model).collect()} == {"nicht der": "de", "the kalo": "en"}
+
+
+def plain_prediction(text, counts, times_of_lang):
+    """Scores by dictionaries: words first, then the longest n-grams that are known."""
+    sums = dict.fromkeys(times_of_lang, 0.0)
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        for n in range(6):
+            size = 6 - n if n else 0
+            padded = word if size < 2 else f" {word} "
+            grams = [word] if not n else [padded[i : i + size] for i in range(len(padded) - size + 1)]
+            known = [g for g in grams if any(counts[size][lang][g] for lang in sums)]
+            if known:
+                for lang in sums:
+                    found = [(counts[size][lang][g] + langid.SMOOTHING) / times_of_lang[lang][size] for g in known]
+                    sums[lang] += sum(map(np.log, found)) / len(found)
+                break
+    return sums
+
+
+def test_language_scores_are_those_of_dictionaries(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(90):
+        lang = ["en", "de", "fr"][i % 3]
+        rows.append((i, " ".join(rng.choice([f"{lang}o", "the", "Été", text_of(rng, 1)]) for _ in range(rng.randint(1, 20))), lang))
+    rows += rows[:7]
+    model = langid.trained(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    counts = {n: {lang: Counter() for lang in model.languages} for n in range(6)}
+    for _, text, lang in rows:
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            counts[0][lang][word] += 1
+            for n in range(1, 6):
+                padded = word if n < 2 else f" {word} "
+                counts[n][lang].update(padded[i : i + n] for i in range(len(padded) - n + 1))
+    for n in counts:
+        every = Counter()
+        for lang in counts[n]:
+            every.update(counts[n][lang])
+        for lang in counts[n]:
+            kept = {g: c for g, c in counts[n][lang].items() if every[g] >= langid.LEAST_TIMES or n in (1, 2)}
+            counts[n][lang] = Counter(kept)
+    entries = {n: len({g for lang in counts[n] for g in counts[n][lang]}) for n in counts}
+    times = {
+        lang: [sum(counts[n][lang].values()) + langid.SMOOTHING * entries[n] for n in range(6)] for lang in model.languages
+    }
+    texts = [text for _, text, _ in rows] + ["deo", "frx quo", "", "12", "zzz", None, "fro " * 500]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in langid.predicted(df, model).collect():
+        sums = plain_prediction(r.text or "", counts, times)
+        if not re.search(r"[^\W\d_]", r.text or ""):
+            assert (r.predicted.lang_pred, r.predicted.score) == ("und", 0.0)
+        else:
+            best = max(sums.values())
+            share = 1 / sum(np.exp(s - best) for s in sums.values())
+            assert abs(r.predicted.score - share) < 1e-6
+            assert sums[r.predicted.lang_pred] >= best - 1e-9
+
+
+def test_small_languages_are_learnt_beside_large_ones(spark):
     rows = [(i, f"the and of to in is that {'for with'.split()[i % 2]}", "en") for i in range(2000)]
     rows += [(3000 + i, "der und nicht", "de") for i in range(8)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
