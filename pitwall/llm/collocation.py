@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.tables import stored
+from pitwall.llm.tables import release_memory, small_batches, stored
 from pitwall.llm.words import ASCII_LOWER, byte_set, mixed, split_words
 
 LONGEST = 5
@@ -89,7 +89,7 @@ def _language_hash(name: str) -> int:
 
 def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether the filter has the hashes: a bit by the leading bits of a hash."""
-    at = hashes >> np.uint64(64 - (FILTER_BITS - 1).bit_length())
+    at = hashes >> np.uint64(64 - (8 * len(bits) - 1).bit_length())
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
@@ -174,6 +174,7 @@ def _survivors(rows: DataFrame, lengths: tuple[int, ...], bits, mass: int, least
                     held, n = [], 0
         if n:
             yield from _packed(held, parts)
+        release_memory()
 
     def summarise(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary, some, n = MisraGries(capacity, least), ([], []), 0
@@ -243,6 +244,7 @@ def _exact(rows: DataFrame, bits, parts: int, least: int) -> DataFrame:
         # The words of a language are counted in its own part.
         found |= {(_language_hash(name), -1): [name, 0, "", n] for name, n in totals.items()}
         yield from _by_part(found, parts)
+        release_memory()
 
     def add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, some, n = None, [], 0
@@ -299,6 +301,7 @@ def phrase_counts(documents: DataFrame, least: int) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
     )
+    small_batches(documents.sparkSession)
     # A word and what ends it take two bytes.
     words = rows.agg(F.sum((F.octet_length("text") + 1) / 2)).first()[0] or 0
     context, bits, shared = documents.sparkSession.sparkContext, None, None

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.tables import by_batch, stored
+from pitwall.llm.tables import by_batch, release_memory, stored
 from pitwall.llm.words import text_buffer
 
 #: Labelled documents learnt from, blocks of them for a dictionary, and documents for the curve; each per label.
@@ -128,7 +128,7 @@ def trained(documents: DataFrame, labels: DataFrame, learn_from: Column, sample_
     # Three numbers a row and a bounded number of rows: it may be broadcast.
     sample = F.broadcast(_least(known, sample_documents))
     texts = stored(
-        documents.join(sample, F.col("doc_id") == F.col("labelled")).select(
+        documents.select("doc_id", "text").join(sample, F.col("doc_id") == F.col("labelled")).select(
             "good", F.xxhash64("pick", F.col("text").cast("string")).alias("pick"),
             (F.pmod("pick", F.lit(CURVE_PART)) == 0).alias("for_curve"),
             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -167,6 +167,7 @@ def differing(documents: DataFrame, model: Model) -> DataFrame:
     def difference(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array(shared.value.differences(texts))
+        release_memory()
 
     return documents.withColumn("difference", difference.asNondeterministic()(F.col("text").cast("string")))
 

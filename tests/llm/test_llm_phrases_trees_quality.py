@@ -80,7 +80,7 @@ def test_collocations_of_nothing(spark):
 
 def test_collocations_with_small_tables_in_tasks(spark, monkeypatch):
     """Many packed rows, summaries that subtract and grow, and a filter in which most bits are set."""
-    for name, value in {"HELD": 64, "PACKED": 8, "SUMMARY": 4, "SLACK": 1, "FILTER_BITS": 1 << 12}.items():
+    for name, value in {"HELD": 64, "SUMMARY": 4, "SLACK": 1, "FILTER_BITS": 1 << 12}.items():
         monkeypatch.setattr(collocation, name, value)
     monkeypatch.setattr(collocation, "LEAST_PARTS", 4)
     monkeypatch.setattr(collocation, "MOST_PARTS", 64)
