@@ -12,8 +12,9 @@ from array import array
 
 from tokenizers import Tokenizer
 
-#: Parts remembered in each of two generations; the older one is dropped when the newer is full.
-REMEMBERED = 600_000
+#: Parts remembered in each of two generations, some 60 MB each; the older one is dropped when the newer is full,
+#: and at the end of a task.
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 
 # Before a single space that stands between two characters other than white space.
@@ -54,6 +55,10 @@ class Encoder:
             _encoders[path, spaces] = cls(path, spaces)
         return _encoders[path, spaces]
 
+    def rest(self) -> None:
+        """Forget the older generation, at the end of a task."""
+        self.older = {}
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.llm.encoding import Encoder
-from pitwall.llm.tables import stored
+from pitwall.llm.tables import release_memory, small_batches, stored
 
 #: Pieces packed in one task.
 PARTITION_PIECES = 60_000
@@ -57,7 +57,10 @@ def cut_into_pieces(documents: DataFrame, tokenizer: str, end_id: int, capacity:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), _PIECE)], schema=_PIECE
                 )
+        encoder.rest()
+        release_memory()
 
+    small_batches(documents.sparkSession)
     texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )

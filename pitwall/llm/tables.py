@@ -1,5 +1,7 @@
 """Shared plumbing of the operators: given tables, intermediate tables, task folders."""
 
+import ctypes
+import ctypes.util
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -10,8 +12,26 @@ from pyspark.sql import functions as F
 from pitwall.storage import scratch_folder
 
 
+#: Bytes of rows that go to Python at a time.
+BATCH_BYTES, BATCH_SETTING = "8m", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory that a batch of long texts takes in a task and its Python worker."""
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
+def release_memory() -> None:
+    """Give back what this process has freed: Spark keeps Python workers for later tasks, of whatever query."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the given tables."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -25,6 +45,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     Once the table is written nothing needs the shuffles behind it, so their files go.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path, before = scratch_folder(spark, label), spark.conf.get(CLEAN_UP)
     spark.conf.set(CLEAN_UP, "true")
     try:
@@ -50,6 +71,8 @@ def by_batch(
             work = work or make()
             if batch.num_rows:
                 yield from work(batch)
+        del work
+        release_memory()
 
     return run
 

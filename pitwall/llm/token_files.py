@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.llm.encoding import Encoder
-from pitwall.llm.tables import stored
+from pitwall.llm.tables import release_memory, stored
 from pitwall.llm.taskfiles import attempt_path, mapped, opened_for_writing
 from pitwall.storage import scratch_folder
 
@@ -54,6 +54,8 @@ def write_tokens(documents: DataFrame, tokenizer: str, end_id: int, folder: str)
                 ids = encoder.encode(text.as_py())
                 out.write(np.frombuffer(ids, "<u4").astype(f"<u{id_bytes}").tobytes() + end)
                 offsets.append(offsets[-1] + len(ids) // 4 + 1)
+        encoder.rest()
+        release_memory()
         if out is None:
             return
         out.close()

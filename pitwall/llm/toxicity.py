@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.tables import stored
+from pitwall.llm.tables import release_memory, stored
 from pitwall.llm.words import LetterWords, letter_words, mixed
 
 SAMPLE_LABELS = 16_384
@@ -74,7 +74,7 @@ def trained(documents: DataFrame, labels: DataFrame, learn_from: Column, sample_
         .select(F.col("doc_id").alias("labelled"), (F.col("toxic") > 0).cast("int").alias("toxic"))
         .orderBy(F.xxhash64("labelled", F.lit("sample")), "labelled", "toxic").limit(sample_labels)
     )
-    texts = documents.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled"))
+    texts = documents.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("labelled"))
     order = F.xxhash64("labelled", F.lit("order"))
     rows = stored(
         texts.select(
@@ -134,6 +134,7 @@ def scored(documents: DataFrame, learnt: np.ndarray) -> DataFrame:
         dense[shared.value[0]] = shared.value[1]
         for texts in batches:
             yield _scores(texts, dense)
+        release_memory()
 
     found = documents.withColumn("score", score.asNondeterministic()(F.col("text").cast("string")))
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

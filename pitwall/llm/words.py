@@ -12,8 +12,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2_000_000
-LETTER_CHUNK = 500_000
+CHUNK_BYTES = 1_000_000
+LETTER_CHUNK = 250_000
+#: Powers kept between calls, as many as a chunk of usual texts needs; those of a very long text are dropped.
+KEPT_POWERS = 1 << 20
 SPACES = frozenset([0x20, *range(0x09, 0x0E)])
 
 _BYTE_VALUES = np.random.default_rng(20_240_501).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -39,7 +41,8 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         size = max(1 << 16, 1 << (n - 1).bit_length())
         inverse = pow(base, -1, 2**64)
         known = tuple(_running_product(b, size) for b in (base, inverse))
-        _powers[base] = known
+        if size <= KEPT_POWERS:
+            _powers[base] = known
     return known
 
 
