@@ -276,6 +276,9 @@ ORACLE_SQL: dict[str, str] = {
     "promote_positions": f"WITH {_RAW}\nSELECT * FROM raw_positions",
     "upsert_sessions": f"WITH {_RAW}\nSELECT * FROM raw_sessions_dup "
     "QUALIFY row_number() OVER (PARTITION BY session_key ORDER BY ingested_at DESC NULLS FIRST) = 1",
+    "update_dim_drivers": _reloaded("SELECT * FROM dim_drivers"),
+    "update_lap_times": _reloaded("SELECT * FROM fct_lap_times"),
+    "update_race_results": _reloaded("SELECT * FROM fct_race_results"),
     **{f"mirror_{t}": _mirrored(t) for t in ENTITIES},
     "promotion_lag": f"WITH {_RAW}\nSELECT session_type AS load_id, CASE session_type WHEN 'Race' THEN 'waiting' "
     "ELSE 'copied' END AS status, TRUE AS in_time, count(*) AS loaded FROM raw_sessions GROUP BY ALL",

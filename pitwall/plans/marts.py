@@ -26,6 +26,15 @@ def dim_drivers(drivers: DataFrame, run_ts: datetime | str | None = None) -> Dat
     return newest.withColumn("updated_at", c.run_stamp(run_ts))
 
 
+NEWEST_COLUMNS = ["driver_number", "ingested_at", *DRIVER_ATTRIBUTES]
+
+
+def newest_drivers(drivers: DataFrame) -> DataFrame:
+    """T5 before its stamp, with the ingestion times. The newest of these and of other records is the newest of all."""
+    newest = latest_per_key(drivers, ["driver_number"], "ingested_at", [*DRIVER_ATTRIBUTES, "ingested_at"])
+    return newest.select(*NEWEST_COLUMNS)
+
+
 def racing_laps(stg_laps: DataFrame) -> DataFrame:
     """laps known not to leave the pit."""
     return stg_laps.filter(c.is_false(F.col("is_pit_out_lap")))

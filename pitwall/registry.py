@@ -49,14 +49,22 @@ def landing_of(spark: SparkSession, sf_dir: str) -> str:
     return _landings[key]
 
 
-def _latest_race_bundle(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    root = landing_of(spark, sf_dir)
-    race = cat.latest_completed_race(landing.catalogue(spark, root), AS_OF).first()
-    return landing.extract_session(spark, root, race["session_key"], RUN_TS)
+_races: dict[str, int] = {}
+
+
+def _latest_race_of(spark: SparkSession, root: str) -> int:
+    """The latest race of a landing folder, found once per application."""
+    if root not in _races:
+        _races[root] = cat.latest_completed_race(landing.catalogue(spark, root), AS_OF).first()["session_key"]
+    return _races[root]
 
 
 def _bundle_of(entity: str) -> Query:
-    return lambda spark, sf_dir: _latest_race_bundle(spark, sf_dir)[entity]
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = landing_of(spark, sf_dir)
+        return landing.extract_entity(spark, root, entity, _latest_race_of(spark, root), RUN_TS)
+
+    return query
 
 
 def _fetched_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +102,7 @@ def _loaded(entity: str) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root, attempt = scratch_folder(spark, "raw"), raw_sink.new_attempt("all")
-        records = landing.checked_bundle(spark, landing_of(spark, sf_dir), RUN_TS)[entity]
+        records = landing.checked_entity(spark, landing_of(spark, sf_dir), entity, RUN_TS)
         raw_sink.append_rows(raw_sink.raw_shape(records, entity), root, entity, attempt)
         raw_sink.commit(spark, root, "all", attempt)
         return read_raw(spark, root, entity)
@@ -262,6 +270,33 @@ def _refresh_race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, f"{root}/marts", "fct_race_results").drop("updated_at")
 
 
+_updates: dict[tuple[str, str], str] = {}
+
+
+def _updated_marts(spark: SparkSession, sf_dir: str) -> str:
+    """Marts after three updates: odd sessions; the others and all races again; odd sessions withdrawn and loaded anew."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _updates:
+        root, raw = scratch_folder(spark, "updates"), given.raw_tables(spark, sf_dir)
+        odd = F.col("session_key") % 2 == 1
+        parts = {
+            part: {entity: getattr(raw, entity).filter(rule) for entity in ENTITIES} for part, rule in (("odd", odd), ("even", ~odd))
+        }
+        races = raw.sessions.filter(F.col("session_type") == RACE)
+        again = races.withColumn("ingested_at", F.expr("ingested_at + INTERVAL 1 DAY"))
+        parts["even"]["sessions"] = parts["even"]["sessions"].unionByName(again)
+        for part in ("odd", "even", "odd"):
+            raw_sink.withdraw(spark, f"{root}/raw", part)
+            raw_sink.load_bundle(parts[part], f"{root}/raw", part)
+            pipeline.update_marts(spark, f"{root}/raw", f"{root}/marts", RUN_TS)
+        _updates[key] = f"{root}/marts"
+    return _updates[key]
+
+
+def _updated(mart: str) -> Query:
+    return lambda spark, sf_dir: read_mart(spark, _updated_marts(spark, sf_dir), mart).drop("updated_at")
+
+
 def _of_layers(build: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(layers(spark, sf_dir))
 
@@ -326,6 +361,9 @@ QUERIES: dict[str, Query] = {
     "mirror_laps": _mirrored("laps"),
     "mirror_positions": _mirrored("positions"),
     "promotion_lag": _promotion_lag,
+    "update_dim_drivers": _updated("dim_drivers"),
+    "update_lap_times": _updated("fct_lap_times"),
+    "update_race_results": _updated("fct_race_results"),
     # Staging (T1-T4) and marts
     "stg_sessions": _of_layers(lambda y: y.stg_sessions),
     "stg_drivers": _of_layers(lambda y: y.stg_drivers),

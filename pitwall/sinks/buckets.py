@@ -12,7 +12,8 @@ from pitwall.storage import (
     current_version, delete_folder, finished_folders, folder_names, make_folder, next_version, read_version, write_version,
 )
 
-BUCKETS = 64
+# Buckets of a table that is told no other number: some terabytes.
+BUCKETS = 16
 MANIFEST = "bucket int, version bigint"
 
 
@@ -59,14 +60,20 @@ def new_version(spark: SparkSession, root: str) -> int:
     return max(next_version(spark, f"{root}/{part}") for part in ("rows", "manifest"))
 
 
-def replace_buckets(rows: DataFrame, root: str, touched: list[int], version: int) -> dict[int, int]:
+def replace_buckets(
+    rows: DataFrame, root: str, touched: list[int], version: int, sort_by: list[str] | None = None
+) -> dict[int, int]:
     """Write ``rows``, all rows of the touched buckets (column ``bucket``), as a version; return its manifest.
 
-    The version is not complete before ``complete`` is called. A bucket without rows goes.
+    The version is not complete before ``complete`` is called. A bucket without rows goes. Rows may be
+    sorted within each file.
     """
     spark, before = rows.sparkSession, manifest(rows.sparkSession, root, table_version(rows.sparkSession, root))
     path = f"{root}/rows/v={version:012d}"
-    rows.hint("rebalance", "bucket").write.mode("error").partitionBy("bucket").parquet(path)
+    rows = rows.hint("rebalance", "bucket")
+    if sort_by:
+        rows = rows.sortWithinPartitions("bucket", *sort_by)
+    rows.write.mode("error").partitionBy("bucket").parquet(path)
     written = {int(b): version for b in folder_names(spark, path, "bucket=")}
     return {b: v for b, v in before.items() if b not in touched} | written
 

@@ -95,7 +95,8 @@ def land(records: DataFrame, root: str, entity: str, omit_nulls: bool = False, b
     placed = records.withColumn("season", F.coalesce("season", F.lit(UNKNOWN_SEASON)))
     bucket = F.col("landing_bucket") if entity in BUCKETED else F.lit(None).cast("int").alias("landing_bucket")
     index = placed.select(F.lit(entity).alias("entity"), "session_key", bucket, "season").distinct()
-    index.write.mode("append").parquet(f"{root}/index")
+    # A row per session: one file.
+    index.repartition(1).write.mode("append").parquet(f"{root}/index")
     keys = _folder_keys(entity)
     writer = placed.hint("rebalance", *keys).write.mode("append").option("ignoreNullFields", omit_nulls)
     writer.partitionBy(*keys).json(f"{root}/keyed/{entity}")
@@ -119,25 +120,24 @@ def _scans(
     spark: SparkSession,
     root: str,
     entity: str,
-    read: Callable[[str, T.StructType], DataFrame],
+    read: Callable[[str, str, T.StructType], DataFrame],
     session_key: int | None = None,
     year: int | None = None,
     sessions: DataFrame | None = None,
 ) -> DataFrame:
     """All landed records of an entity, or at least those of a session, a year (of sessions) or some sessions.
 
-    ``read`` opens a folder whose sub-folders give the columns of the given schema.
+    ``read`` opens a part of a folder whose sub-folders give the columns of the given schema.
     """
     bucket = T.StructType([T.StructField("landing_bucket", T.IntegerType())] if entity in BUCKETED else [])
-    in_bucket = None
+    in_bucket, one_bucket = None, ""
     if session_key and entity in BUCKETED:
-        in_bucket = F.col("landing_bucket") == _bucket(F.lit(session_key), buckets_of(spark, root))
+        number = session_key % buckets_of(spark, root)
+        in_bucket, one_bucket = F.col("landing_bucket") == F.lit(number), f"/landing_bucket={number}"
     found = []
-    if exists(spark, f"{root}/keyed/{entity}"):
+    if exists(spark, f"{root}/keyed/{entity}{one_bucket}"):
         season = T.StructType([*bucket.fields, T.StructField("season", T.StringType())])
-        keyed = read(f"{root}/keyed/{entity}", season)
-        if in_bucket is not None:
-            keyed = keyed.filter(in_bucket)
+        keyed = read(f"{root}/keyed/{entity}", one_bucket, season)
         if year and entity not in BUCKETED:
             keyed = keyed.filter(F.col("season") == str(year))
         elif session_key or sessions is not None:
@@ -151,14 +151,14 @@ def _scans(
             keyed = keyed.join(folders, _folder_keys(entity), "left_semi")
         found.append(keyed.drop("season", "landing_bucket"))
     if not found or has_files(spark, f"{root}/{entity}"):
-        dropped = read(f"{root}/{entity}", bucket)
+        dropped = read(f"{root}/{entity}", "", bucket)
         found.append((dropped if in_bucket is None else dropped.filter(in_bucket)).drop("landing_bucket"))
     return reduce(DataFrame.unionByName, found)
 
 
-def _text_of(spark: SparkSession) -> Callable[[str, T.StructType], DataFrame]:
-    def read(path: str, folders: T.StructType) -> DataFrame:
-        lines = spark.read.text(path)
+def _text_of(spark: SparkSession) -> Callable[[str, str, T.StructType], DataFrame]:
+    def read(path: str, part: str, folders: T.StructType) -> DataFrame:
+        lines = spark.read.option("basePath", path).text(path + part)
         kinds = {f.name: f.dataType for f in folders}
         known = {n: (F.col(n) if n in lines.columns else F.lit(None)).cast(kind).alias(n) for n, kind in kinds.items()}
         return lines.select("value", *known.values())
@@ -210,14 +210,14 @@ def stamped(df: DataFrame, run_ts: datetime | str) -> DataFrame:
     return df.withColumn("ingested_at", c.wall_clock(F.lit(c.utc_text(run_ts))))
 
 
+def extract_entity(spark: SparkSession, root: str, entity: str, session_key: int, run_ts: datetime | str) -> DataFrame:
+    """The records of one session of one entity, stamped."""
+    return stamped(_fetched(spark, root, entity, session_key), run_ts)
+
+
 def extract_session(spark: SparkSession, root: str, session_key: int, run_ts: datetime | str) -> dict[str, DataFrame]:
     """All records of one session, stamped."""
-    return {
-        "sessions": stamped(fetch_sessions(spark, root, session_key=session_key), run_ts),
-        "drivers": stamped(fetch_drivers(spark, root, session_key), run_ts),
-        "laps": stamped(fetch_laps(spark, root, session_key), run_ts),
-        "positions": stamped(fetch_positions(spark, root, session_key), run_ts),
-    }
+    return {entity: extract_entity(spark, root, entity, session_key, run_ts) for entity in ENTITIES}
 
 
 def latest_sessions(spark: SparkSession, root: str, run_ts: datetime, year: int | None = None) -> DataFrame:
@@ -262,9 +262,9 @@ def _records(
             "record.*", F.array_except(wanted, known).alias("absent")
         )
     else:
-        def read(path: str, folders: T.StructType) -> DataFrame:
-            reader = spark.read.schema(T.StructType([*schema, *folders]))
-            return reader.option("columnNameOfCorruptRecord", "broken").json(path)
+        def read(path: str, part: str, folders: T.StructType) -> DataFrame:
+            reader = spark.read.schema(T.StructType([*schema, *folders])).option("basePath", path)
+            return reader.option("columnNameOfCorruptRecord", "broken").json(path + part)
 
         records = _scans(spark, root, entity, read, session_key, year, sessions).withColumn("absent", absent)
 
@@ -308,9 +308,14 @@ def checked_records(
     return renamed.select(*names, F.coalesce("problem", c.limit_problem(entity)).alias("problem"))
 
 
+def checked_entity(spark: SparkSession, root: str, entity: str, run_ts: datetime | str) -> DataFrame:
+    """All landed records of an entity, stamped, in raw columns; a record that cannot be loaded makes the load fail."""
+    return stamped(sound(checked_records(spark, root, entity), entity), run_ts)
+
+
 def checked_bundle(spark: SparkSession, root: str, run_ts: datetime | str) -> dict[str, DataFrame]:
-    """All landed records, stamped, in raw columns; a record that cannot be loaded makes the load fail."""
-    return {e: stamped(sound(checked_records(spark, root, e), e), run_ts) for e in ENTITIES}
+    """All landed records of all entities, as ``checked_entity`` gives them."""
+    return {entity: checked_entity(spark, root, entity, run_ts) for entity in ENTITIES}
 
 
 def land_all(raw: dict[str, DataFrame], root: str, buckets: int | None = None) -> None:

@@ -13,20 +13,20 @@ from pitwall.storage import exists
 # many times within it, which leaves the rest of the time for the copy itself.
 TARGET_LAG_SECONDS = 3_600
 CHECKS_PER_LAG = 4
-COPIED = "attempt string, copied_at timestamp"
+COPIED = "attempt string, copied string, copied_at timestamp"
 
 
-def copied(spark: SparkSession, target: str) -> DataFrame:
-    """When each attempt was first copied."""
-    path = f"{target}/copied"
-    log = spark.read.schema(COPIED).parquet(path) if exists(spark, path) else spark.createDataFrame([], COPIED)
-    return log.groupBy("attempt").agg(F.min("copied_at").alias("copied_at"))
+def copy_log(spark: SparkSession, target: str) -> DataFrame:
+    """What a target has copied: the attempts, the folder of each copy, and when it was complete."""
+    path = f"{target}/log"
+    return spark.read.schema(COPIED).parquet(path) if exists(spark, path) else spark.createDataFrame([], COPIED)
 
 
-def note_copied(target: str, attempts: DataFrame) -> None:
-    """Log attempts whose copy is complete, those not logged yet."""
-    new = attempts.select("attempt").distinct().join(copied(attempts.sparkSession, target), "attempt", "left_anti")
-    new.withColumn("copied_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{target}/copied")
+def note_copied(target: str, attempts: DataFrame, copied: str | None = None) -> None:
+    """Log attempts whose copy is complete, those not logged yet: one file."""
+    new = attempts.select("attempt").distinct().join(copy_log(attempts.sparkSession, target), "attempt", "left_anti")
+    row = new.select("attempt", F.lit(copied).cast("string").alias("copied"), F.current_timestamp().alias("copied_at"))
+    row.coalesce(1).write.mode("append").parquet(f"{target}/log")
 
 
 def lag_report(
@@ -36,7 +36,8 @@ def lag_report(
     at = F.current_timestamp() if now is None else c.instant(F.lit(c.utc_text(now)))
     waited = F.unix_micros(F.coalesce("copied_at", at)) - F.unix_micros("committed_at")
     return (
-        commits(spark, raw_root).join(copied(spark, target), "attempt", "left")
+        commits(spark, raw_root)
+        .join(copy_log(spark, target).groupBy("attempt").agg(F.min("copied_at").alias("copied_at")), "attempt", "left")
         .select(
             "load_id", "attempt", "committed_at", "copied_at",
             F.when(F.col("copied_at").isNull(), F.lit("waiting")).otherwise(F.lit("copied")).alias("status"),

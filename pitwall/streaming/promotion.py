@@ -17,9 +17,9 @@ from pitwall.schemas import raw_names, raw_schema
 from pitwall.sinks.buckets import (
     BUCKETS, bucket_count, bucket_of, complete, new_version, read_buckets, replace_buckets, table_version,
 )
-from pitwall.sources.tables import COMMITS, read_attempts, with_attempt
+from pitwall.sources.tables import COMMITS, of_attempts, read_attempts
 from pitwall.storage import exists, next_version, read_version, write_version
-from pitwall.streaming.lag import CHECKS_PER_LAG, TARGET_LAG_SECONDS, note_copied
+from pitwall.streaming.lag import CHECKS_PER_LAG, TARGET_LAG_SECONDS, copy_log, note_copied
 
 
 def _new_commits(spark: SparkSession, raw_root: str, commits_per_batch: int | None) -> DataFrame:
@@ -49,16 +49,12 @@ def promote(
 
     def copy(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        new = batch.select("attempt").distinct()
-        rows = with_attempt(session, raw_root, entity).join(new, "attempt", "left_semi")
-        if exists(session, f"{target_dir}/log"):
-            there = session.read.schema("attempt string, copied string").parquet(f"{target_dir}/log").select("attempt")
-            rows, new = rows.join(there, "attempt", "left_anti"), new.join(there, "attempt", "left_anti")
+        new = batch.select("attempt").distinct().join(copy_log(session, target_dir).select("attempt"), "attempt", "left_anti")
+        rows = of_attempts(session, raw_root, entity, new)
         # Rows lie in the folder of this copy; the log, written last in one file, makes them visible.
         copied = uuid.uuid4().hex
         rows.drop("attempt").write.parquet(f"{target_dir}/rows/copied={copied}")
-        new.select("attempt", F.lit(copied).alias("copied")).coalesce(1).write.mode("append").parquet(f"{target_dir}/log")
-        note_copied(target_dir, batch)
+        note_copied(target_dir, new, copied)
 
     writer = _new_commits(spark, raw_root, commits_per_batch).writeStream.foreachBatch(copy)
     writer = writer.option("checkpointLocation", checkpoint_dir)
@@ -73,7 +69,7 @@ def read_promoted(spark: SparkSession, target_dir: str, entity: str) -> DataFram
     """The rows of a promoted table."""
     if not exists(spark, f"{target_dir}/log"):
         return spark.createDataFrame([], raw_schema(entity))
-    copies = spark.read.schema("attempt string, copied string").parquet(f"{target_dir}/log").select("copied").distinct()
+    copies = copy_log(spark, target_dir).select("copied").distinct()
     rows = spark.read.schema(raw_schema(entity).add("copied", "string")).parquet(f"{target_dir}/rows")
     return rows.join(copies, "copied", "left_semi").select(*raw_names(entity))
 
