@@ -338,5 +338,14 @@ ORACLE_SQL: dict[str, str] = {
             ]
         )
     ),
+    "dq_from_state": _reloaded(
+        " UNION ALL ".join(
+            [
+                _not_null("raw_", NOT_NULL_RAW).replace("FROM raw_sessions", "FROM raw_sessions_dup"),
+                _unique("raw_sessions_dup", "sessions"), _not_null("", NOT_NULL_STAGING),
+                _unique("stg_sessions", "stg_sessions"),
+            ]
+        )
+    ),
     "dq_required_fields": f"WITH {_RAW}\n{_required()}",
 }

@@ -12,6 +12,7 @@ from pitwall.plans import quality, reports, staging
 from pitwall.plans.layers import Layers, RawTables
 from pitwall.schemas import ENTITIES, RACE, REQUIRED_FIELDS, raw_schema
 from pitwall.sinks import raw as raw_sink
+from pitwall.sinks.check_state import check_counts, checks_from_state
 from pitwall.sinks.marts import publish, read_mart
 from pitwall.sources import catalogue as cat
 from pitwall.sources import given, landing
@@ -312,6 +313,19 @@ def _of_reloaded_layers(build: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_reloaded_layers(spark, sf_dir))
 
 
+def _checks_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks before and after races are loaded again, and after a load that is withdrawn: the last report."""
+    root, raw = scratch_folder(spark, "checks"), given.raw_tables(spark, sf_dir)
+    whole = {entity: getattr(raw, entity) for entity in ENTITIES}
+    empty = {entity: df.limit(0) for entity, df in whole.items()}
+    races = raw.sessions.filter(F.col("session_type") == RACE)
+    for load_id, part in (("all", whole), ("wrong", {**empty, "sessions": raw.sessions}), ("races", {**empty, "sessions": races})):
+        raw_sink.load_bundle(part, root, load_id)
+        check_counts(spark, root)
+    raw_sink.withdraw(spark, root, "wrong")
+    return checks_from_state(spark, root)
+
+
 def _required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = landing_of(spark, sf_dir)
     return checks.all_reports(
@@ -392,5 +406,6 @@ QUERIES: dict[str, Query] = {
     "dq_not_null_staging": _of_layers(quality.staging_not_null),
     "dq_unique_stg_sessions": _of_reloaded_layers(quality.staging_unique),
     "dq_all_checks": _of_layers(quality.data_checks),
+    "dq_from_state": _checks_from_state,
     "dq_required_fields": _required_fields,
 }

@@ -10,13 +10,16 @@ from pitwall_helpers import rows
 from pyspark.sql import functions as F
 
 from pitwall import pipeline
+from pitwall.plans import quality
+from pitwall.plans.layers import Layers
 from pitwall.operators.difference import changed_rows, row_digest
 from pitwall.schemas import ENTITIES, raw_schema
 from pitwall.sinks import buckets
 from pitwall.sinks import raw as raw_sink
+from pitwall.sinks.check_state import checks_from_state
 from pitwall.sinks.marts import MARTS, read_mart
 from pitwall.sources import landing
-from pitwall.sources.tables import commits, read_raw, session_keys
+from pitwall.sources.tables import commits, read_raw, read_raw_tables, session_keys
 from pitwall.streaming.lag import lag_report
 from pitwall.streaming.mirror import keep_mirrored, mirror, read_mirror
 from pitwall.streaming.promotion import promote, promote_by_key, read_keyed, read_promoted
@@ -200,6 +203,29 @@ def test_lag_is_reported_and_held_by_a_stream(spark, golden, folder):
     assert rows(lag_report(spark, source, target, target_seconds=0), "in_time") == [(False,), (False,)]
 
 
+def test_checks_from_state_equal_a_scan_and_read_no_raw_rows(spark, golden, folder):
+    def same():
+        scan = quality.data_checks(Layers(read_raw_tables(spark, folder)))
+        assert rows(checks_from_state(spark, folder)) == rows(scan)
+
+    same()
+    bundle = {entity: getattr(golden.raw, entity) for entity in ENTITIES}
+    raw_sink.load_bundle(bundle, folder, "all")
+    same()
+    again = {**bundle, "sessions": bundle["sessions"].filter("session_key in (1, 4)"), "laps": bundle["laps"].withColumn("session_key", F.lit(None).cast("bigint"))}
+    raw_sink.load_bundle(again, folder, "again")
+    same()
+    report = {tuple(r)[:3]: r["failures"] for r in checks_from_state(spark, folder).collect()}
+    assert len(report) == 22
+    assert report["sessions", "session_key", "unique"] == 2 and report["stg_sessions", "session_key", "unique"] == 1
+    assert report["laps", "session_key", "not_null"] == 12
+    for path in glob.glob(f"{folder}/laps/*/*.parquet"):
+        os.remove(path)
+    assert {tuple(r)[:3]: r["failures"] for r in checks_from_state(spark, folder).collect()} == report
+    raw_sink.withdraw(spark, folder, "again")
+    assert sum(r["failures"] for r in checks_from_state(spark, folder).filter("check_name = 'unique'").collect()) == 0
+
+
 def loaded(spark, golden, root, name, rule):
     bundle = {entity: getattr(golden.raw, entity).filter(rule) for entity in ENTITIES}
     raw_sink.load_bundle(bundle, f"{root}/raw", name)
