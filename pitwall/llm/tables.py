@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.llm.words import forget_powers
 from pitwall.storage import scratch_folder
 
 
@@ -22,7 +23,8 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def release_memory() -> None:
-    """Give back what this process has freed: Spark keeps Python workers for later tasks, of whatever query."""
+    """Give back memory at the end of a task: Spark keeps Python workers for later tasks, of whatever query."""
+    forget_powers()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", None)
     if trim:

@@ -46,6 +46,11 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return known
 
 
+def forget_powers() -> None:
+    """Free what powers has kept."""
+    _powers.clear()
+
+
 def _running_product(base: int, size: int) -> np.ndarray:
     factors = np.full(size, base, np.uint64)
     factors[0] = 1
