@@ -230,6 +230,23 @@ def test_vectors(spark, monkeypatch):
     assert lattice.near_duplicate_vectors(df.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("size, share", [(16, 1.0), (128, 1.0), (128, 0.05)])
+def test_recall_of_vector_pairs_at_the_threshold(spark, size, share):
+    """600 pairs of unrelated directions at cosines of 0.9305 to 0.95, the length in all components or in few; recall 0.99 at least."""
+    rng = np.random.default_rng(size)
+    scale = np.where(np.arange(size) < max(6, size * share), 1.0, 0.02)
+    rows = []
+    for i in range(600):
+        a, b = rng.standard_normal((2, size)) * scale
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        cosine = rng.uniform(0.9305, 0.95)
+        rows += [(2 * i, a.tolist(), i), (2 * i + 1, (cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b)).tolist(), i)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = lattice.near_duplicate_vectors(df).where("n_links = 1 AND NOT kept").count()
+    assert found >= 594
+
+
 def test_nearest_lattice_point():
     points = np.random.default_rng(8).standard_normal((200, 8)) * 2
     found = lattice.nearest_e8(points)
