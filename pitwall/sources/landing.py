@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitwall.functions import conditions as c
+from pitwall.jobs import side_by_side
 from pitwall.schemas import (
     ENTITIES, RECORD_NAMES, STRICT_ENTITIES, raw_names, record_columns, record_schema,
 )
@@ -319,6 +320,10 @@ def checked_bundle(spark: SparkSession, root: str, run_ts: datetime | str) -> di
 
 
 def land_all(raw: dict[str, DataFrame], root: str, buckets: int | None = None) -> None:
-    """Land raw rows as records; laps and positions leave out fields without a value."""
-    for entity in ENTITIES:
+    """Land raw rows as records, sessions first; laps and positions leave out fields without a value."""
+
+    def land_one(entity: str) -> None:
         land(to_records(raw[entity], entity), root, entity, entity not in STRICT_ENTITIES, buckets)
+
+    land_one("sessions")
+    side_by_side(raw["sessions"].sparkSession, land_one, BUCKETED)
