@@ -12,8 +12,7 @@ from array import array
 
 from tokenizers import Tokenizer
 
-#: Parts remembered in each of two generations, some 60 MB each; the older one is dropped when the newer is full,
-#: and at the end of a task.
+#: Parts remembered in each of two generations, some 60 MB each; the older one is dropped when the newer is full.
 REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 
@@ -39,7 +38,8 @@ class Encoder:
     "dropped" if white space only sets pieces apart and letters are lower-cased.
     """
 
-    def __init__(self, path: str, spaces: str):
+    def __init__(self, path: str, spaces: str, remembered: int):
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         added = self.tokenizer.get_added_tokens_decoder()
@@ -49,14 +49,14 @@ class Encoder:
         self.older: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str, spaces: str) -> "Encoder":
+    def of(cls, path: str, spaces: str, remembered: int = REMEMBERED) -> "Encoder":
         """One encoder per process, so that later tasks find what earlier ones have learnt."""
         if (path, spaces) not in _encoders:
-            _encoders[path, spaces] = cls(path, spaces)
+            _encoders[path, spaces] = cls(path, spaces, remembered)
         return _encoders[path, spaces]
 
     def rest(self) -> None:
-        """Forget the older generation, at the end of a task."""
+        """Forget the older generation, where a task ends and other work follows."""
         self.older = {}
 
     def encode(self, text: str | None) -> bytes:
@@ -91,7 +91,7 @@ class Encoder:
             else:
                 ids = self._by_model(part)
         if len(part) <= LONGEST_REMEMBERED:
-            if len(self.newer) >= REMEMBERED:
+            if len(self.newer) >= self.remembered:
                 self.older = self.newer.copy()
                 self.newer.clear()
             self.newer[part] = ids

@@ -35,13 +35,15 @@ _ENTRY = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
 )
 ROWS_OUT = 4096
+#: Parts of texts that a worker remembers with their ids, also between tasks, in each of two generations.
+REMEMBERED = 600_000
 
 
 def write_tokens(documents: DataFrame, tokenizer: str, end_id: int, folder: str) -> DataFrame:
     """Encodes (doc_id, text) into shards below folder; a row per shard with its base, the ids before it."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(tokenizer, "kept")
+        encoder = Encoder.of(tokenizer, "kept", REMEMBERED)
         id_bytes = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 2**16 else 4
         end = end_id.to_bytes(id_bytes, "little")
         path, out, offsets, docs = "", None, [0], []
@@ -54,7 +56,6 @@ def write_tokens(documents: DataFrame, tokenizer: str, end_id: int, folder: str)
                 ids = encoder.encode(text.as_py())
                 out.write(np.frombuffer(ids, "<u4").astype(f"<u{id_bytes}").tobytes() + end)
                 offsets.append(offsets[-1] + len(ids) // 4 + 1)
-        encoder.rest()
         release_memory()
         if out is None:
             return
