@@ -38,7 +38,7 @@ class Encoder:
     "dropped" if white space only sets pieces apart and letters are lower-cased.
     """
 
-    def __init__(self, path: str, spaces: str, remembered: int):
+    def __init__(self, path: str, spaces: str, remembered: int = REMEMBERED):
         self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
