@@ -62,10 +62,18 @@ def _bucket(session_key: Column, buckets: int) -> Column:
     return F.pmod(session_key, F.lit(buckets)).cast("int")
 
 
+def _index_path(root: str, entity: str) -> str:
+    """A folder per entity: who ends first in a folder removes the work files of all that still write to it."""
+    return f"{root}/places/{entity}"
+
+
 def index_of(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """Where landed records of an entity lie: session_key, landing_bucket (NULL for sessions), season."""
-    path = f"{root}/index"
-    index = spark.read.schema(INDEX).parquet(path) if exists(spark, path) else spark.createDataFrame([], INDEX)
+    """Where landed records of an entity lie: session_key, landing_bucket (NULL for sessions), season.
+
+    Older landing folders have one index of all entities, which is read too.
+    """
+    paths = [path for path in (f"{root}/index", _index_path(root, entity)) if exists(spark, path)]
+    index = spark.read.schema(INDEX).parquet(*paths) if paths else spark.createDataFrame([], INDEX)
     return index.filter(F.col("entity") == entity).drop("entity")
 
 
@@ -85,6 +93,7 @@ def land(records: DataFrame, root: str, entity: str, omit_nulls: bool = False, b
     Records of one folder are brought together, in partitions that Spark sizes by their bytes, so
     that a few large files are written and not one per task and folder. Sessions should be landed
     before their records; those of a session that is not known yet lie in a season of their own.
+    Entities may be landed at the same time, as each has its own folders; one entity by one writer.
     """
     spark = records.sparkSession
     number = _kept_buckets(spark, root, buckets)
@@ -97,7 +106,7 @@ def land(records: DataFrame, root: str, entity: str, omit_nulls: bool = False, b
     bucket = F.col("landing_bucket") if entity in BUCKETED else F.lit(None).cast("int").alias("landing_bucket")
     index = placed.select(F.lit(entity).alias("entity"), "session_key", bucket, "season").distinct()
     # A row per session: one file.
-    index.repartition(1).write.mode("append").parquet(f"{root}/index")
+    index.repartition(1).write.mode("append").parquet(_index_path(root, entity))
     keys = _folder_keys(entity)
     writer = placed.hint("rebalance", *keys).write.mode("append").option("ignoreNullFields", omit_nulls)
     writer.partitionBy(*keys).json(f"{root}/keyed/{entity}")

@@ -7,6 +7,7 @@ from datetime import datetime
 
 import pytest
 from pitwall_helpers import rows
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from pitwall import pipeline
@@ -20,6 +21,7 @@ from pitwall.sinks.check_state import checks_from_state
 from pitwall.sinks.marts import MARTS, read_mart
 from pitwall.sources import landing
 from pitwall.sources.tables import commits, read_raw, read_raw_tables, session_keys
+from pitwall.storage import checkpointed, delete_folder
 from pitwall.streaming.lag import lag_report
 from pitwall.streaming.mirror import keep_mirrored, mirror, read_mirror
 from pitwall.streaming.promotion import promote, promote_by_key, read_keyed, read_promoted
@@ -106,6 +108,23 @@ def test_dropped_and_landed_records_are_read_together(spark, seasons):
     assert landing.json_lines(spark, seasons, "laps").count() == 13
 
 
+def test_entities_landed_side_by_side_write_in_folders_of_their_own(spark, golden, folder, monkeypatch):
+    """The first to end removes the work files of its folder, so no two of them may write in the same."""
+    written = []
+    parquet, json = DataFrameWriter.parquet, DataFrameWriter.json
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: written.append(path) or parquet(self, path))
+    monkeypatch.setattr(DataFrameWriter, "json", lambda self, path: written.append(path) or json(self, path))
+    landing.land_all({entity: getattr(golden.raw, entity) for entity in ENTITIES}, f"{folder}/land")
+    assert len(written) == len(set(written)) == 2 * len(ENTITIES)
+
+
+def test_an_index_of_all_entities_in_one_folder_is_still_read(spark, seasons):
+    places = landing.index_of(spark, seasons, "laps").withColumn("entity", F.lit("laps"))
+    checkpointed(places.select("entity", "session_key", "landing_bucket", "season")).write.parquet(f"{seasons}/index")
+    delete_folder(spark, f"{seasons}/places/laps")
+    assert landing.fetch_laps(spark, seasons, 1).count() == 11
+
+
 def test_a_batch_of_keys_writes_as_many_buckets_at_most(spark, golden, folder):
     schema = raw_schema("sessions")
 
