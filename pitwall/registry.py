@@ -28,6 +28,8 @@ AS_OF = "2000-06-15T12:00:00Z"
 YEAR = 1998
 DRIVER_NUMBER = 9
 FULL_NAME = "DRV_9"
+# JSON lines take some thirteen times the bytes otherwise.
+LANDED_AS = "gzip"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +47,7 @@ def landing_of(spark: SparkSession, sf_dir: str) -> str:
     if key not in _landings:
         root = scratch_folder(spark, "landing")
         raw = given.raw_tables(spark, sf_dir)
-        landing.land_all({entity: getattr(raw, entity) for entity in ENTITIES}, root)
+        landing.land_all({entity: getattr(raw, entity) for entity in ENTITIES}, root, compression=LANDED_AS)
         _landings[key] = root
     return _landings[key]
 
@@ -125,7 +127,7 @@ def _load_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = F.when(F.col("session_key") % 50 == 3, F.lit(1000)).otherwise(F.col("lap_number"))
     tables = {entity: getattr(raw, entity) for entity in ENTITIES}
     tables["laps"] = tables["laps"].withColumn("lap_number", numbers.cast(tables["laps"].schema["lap_number"].dataType))
-    landing.land_all(tables, f"{root}/land")
+    landing.land_all(tables, f"{root}/land", compression=LANDED_AS)
     ledger = pipeline.backfill(spark, f"{root}/land", f"{root}/raw", "all", RUN_TS)
     return ledger.select("session_key", "status", "error", "sessions")
 

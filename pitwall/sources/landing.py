@@ -87,7 +87,9 @@ def _folder_keys(entity: str) -> list[str]:
     return ["landing_bucket", "season"] if entity in BUCKETED else ["season"]
 
 
-def land(records: DataFrame, root: str, entity: str, omit_nulls: bool = False, buckets: int | None = None) -> None:
+def land(
+    records: DataFrame, root: str, entity: str, omit_nulls: bool = False, buckets: int | None = None, compression: str = "none"
+) -> None:
     """Append records to a landing folder.
 
     Records of one folder are brought together, in partitions that Spark sizes by their bytes, so
@@ -97,19 +99,24 @@ def land(records: DataFrame, root: str, entity: str, omit_nulls: bool = False, b
     """
     spark = records.sparkSession
     number = _kept_buckets(spark, root, buckets)
-    if entity in BUCKETED:
-        records = records.drop("season").join(_seasons(spark, root), "session_key", "left")
-        records = records.withColumn("landing_bucket", _bucket(F.col("session_key"), number))
-    else:
-        records = records.withColumn("season", F.col("year").cast("string"))
-    placed = records.withColumn("season", F.coalesce("season", F.lit(UNKNOWN_SEASON)))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        if entity in BUCKETED:
+            rows = rows.drop("season").join(_seasons(spark, root), "session_key", "left")
+            rows = rows.withColumn("landing_bucket", _bucket(F.col("session_key"), number))
+        else:
+            rows = rows.withColumn("season", F.col("year").cast("string"))
+        return rows.withColumn("season", F.coalesce("season", F.lit(UNKNOWN_SEASON)))
+
     bucket = F.col("landing_bucket") if entity in BUCKETED else F.lit(None).cast("int").alias("landing_bucket")
-    index = placed.select(F.lit(entity).alias("entity"), "session_key", bucket, "season").distinct()
+    # Sessions are looked up once each, not with every record.
+    sessions = placed(records.select("session_key", *([] if entity in BUCKETED else ["year"])).distinct())
+    index = sessions.select(F.lit(entity).alias("entity"), "session_key", bucket, "season").distinct()
     # A row per session: one file.
     index.repartition(1).write.mode("append").parquet(_index_path(root, entity))
     keys = _folder_keys(entity)
-    writer = placed.hint("rebalance", *keys).write.mode("append").option("ignoreNullFields", omit_nulls)
-    writer.partitionBy(*keys).json(f"{root}/keyed/{entity}")
+    writer = placed(records).hint("rebalance", *keys).write.mode("append").option("ignoreNullFields", omit_nulls)
+    writer.option("compression", compression).partitionBy(*keys).json(f"{root}/keyed/{entity}")
 
 
 def to_records(raw: DataFrame, entity: str) -> DataFrame:
@@ -268,9 +275,12 @@ def _records(
         options = {"columnNameOfCorruptRecord": "broken", "mode": "PERMISSIVE"}
         known = F.coalesce(F.json_object_keys("value"), absent)
         wanted = F.array(*[F.lit(n) for n, _ in record_columns(entity)])
-        records = lines.withColumn("record", F.from_json("value", schema, options)).select(
-            "record.*", F.array_except(wanted, known).alias("absent")
-        )
+        # A field with a value is there; only other records are read a second time, for their names.
+        has_gap = reduce(Column.__or__, [F.col(n).isNull() for n in fields.names])
+        # Rows of a generator, since a filter would be moved below a projection and parse the text for each of its fields.
+        records = lines.select("value", F.inline(F.array(F.from_json("value", schema, options)))).withColumn(
+            "absent", F.when(has_gap, F.array_except(wanted, known)).otherwise(absent)
+        ).drop("value")
     else:
         def read(path: str, part: str, folders: T.StructType) -> DataFrame:
             reader = spark.read.schema(T.StructType([*schema, *folders])).option("basePath", path)
@@ -328,11 +338,11 @@ def checked_bundle(spark: SparkSession, root: str, run_ts: datetime | str) -> di
     return {entity: checked_entity(spark, root, entity, run_ts) for entity in ENTITIES}
 
 
-def land_all(raw: dict[str, DataFrame], root: str, buckets: int | None = None) -> None:
+def land_all(raw: dict[str, DataFrame], root: str, buckets: int | None = None, compression: str = "none") -> None:
     """Land raw rows as records, sessions first; laps and positions leave out fields without a value."""
 
     def land_one(entity: str) -> None:
-        land(to_records(raw[entity], entity), root, entity, entity not in STRICT_ENTITIES, buckets)
+        land(to_records(raw[entity], entity), root, entity, entity not in STRICT_ENTITIES, buckets, compression)
 
     land_one("sessions")
     side_by_side(raw["sessions"].sparkSession, land_one, BUCKETED)

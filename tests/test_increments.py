@@ -6,7 +6,7 @@ import time
 from datetime import datetime
 
 import pytest
-from pitwall_helpers import rows
+from pitwall_helpers import executed_plan, rows
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
@@ -14,12 +14,13 @@ from pitwall import pipeline
 from pitwall.plans import quality
 from pitwall.plans.layers import Layers
 from pitwall.operators.difference import changed_rows, row_digest
+from pitwall.registry import landing_of
 from pitwall.schemas import ENTITIES, raw_schema
 from pitwall.sinks import buckets
 from pitwall.sinks import raw as raw_sink
 from pitwall.sinks.check_state import checks_from_state
 from pitwall.sinks.marts import MARTS, read_mart
-from pitwall.sources import landing
+from pitwall.sources import given, landing
 from pitwall.sources.tables import commits, read_raw, read_raw_tables, session_keys
 from pitwall.storage import checkpointed, delete_folder
 from pitwall.streaming.lag import lag_report
@@ -118,6 +119,17 @@ def test_entities_landed_side_by_side_write_in_folders_of_their_own(spark, golde
     assert len(written) == len(set(written)) == 2 * len(ENTITIES)
 
 
+def test_the_given_tables_are_landed_compressed(spark, sf_dir):
+    root = landing_of(spark, sf_dir)
+    files = glob.glob(f"{root}/keyed/**/part-*", recursive=True)
+    assert files and all(path.endswith(".json.gz") for path in files)
+    assert landing.json_lines(spark, root, "drivers").count() == given.raw_drivers(spark, sf_dir).count()
+
+
+def test_a_record_is_parsed_once(spark, seasons):
+    assert executed_plan(landing.checked_entity(spark, seasons, "drivers", STAMP)).count("from_json(") == 1
+
+
 def test_an_index_of_all_entities_in_one_folder_is_still_read(spark, seasons):
     places = landing.index_of(spark, seasons, "laps").withColumn("entity", F.lit("laps"))
     checkpointed(places.select("entity", "session_key", "landing_bucket", "season")).write.parquet(f"{seasons}/index")
