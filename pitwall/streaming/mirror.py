@@ -3,9 +3,10 @@
 A mirror is a table in buckets by session. A run compares the digests and copies of all rows of
 the committed attempts with those the mirror holds, and writes only the buckets in which they
 differ; a run without a difference writes no rows. Equal rows are stored once, with their copies.
+Digests are taken for the comparison alone and neither stored nor carried along with the rows.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pitwall.operators.copies import fold_copies, split_chunks, unfold
 from pitwall.operators.difference import changed_rows, row_digest
 from pitwall.schemas import raw_names, raw_schema
-from pitwall.sinks.buckets import BUCKETS, bucket_count, bucket_of, complete, new_version, read_buckets, replace_buckets
+from pitwall.sinks.buckets import (
+    BUCKETS, bucket_count, bucket_of, complete, new_version, read_buckets, replace_buckets, table_version,
+)
 from pitwall.sources.tables import attempts_now, read_attempts, withdrawals_path
 from pitwall.storage import checkpointed, exists, make_folder
 from pitwall.streaming.lag import CHECKS_PER_LAG, TARGET_LAG_SECONDS, note_copied
@@ -23,8 +26,23 @@ BY = ["session_key"]
 
 
 def _mirror_schema(entity: str) -> T.StructType:
-    extra = [T.StructField("copies", T.LongType()), T.StructField("digest", T.StringType())]
-    return T.StructType([*raw_schema(entity), *extra])
+    return T.StructType([*raw_schema(entity), T.StructField("copies", T.LongType())])
+
+
+def _digested(rows: DataFrame, names: list[str], place: Column, copies: Column) -> DataFrame:
+    """What the comparison needs of a row: 128 bits, its bucket and copies."""
+    return rows.select(F.unhex(row_digest(names)).alias("digest"), place.alias("bucket"), copies.alias("copies"))
+
+
+def _changes(source: DataFrame, there: DataFrame | None, names: list[str], place: Column) -> DataFrame:
+    """Rows added and removed per bucket that differs; without a mirror so far, all are added."""
+    if there is None:
+        added = source.groupBy(place.alias("bucket")).agg(F.count(F.lit(1)).alias("added"))
+        return added.withColumn("removed", F.lit(0).cast("long"))
+    before, after = (_digested(df, names, place, n) for df, n in ((there, F.col("copies")), (source, F.lit(1))))
+    return changed_rows(before, after, "bucket").groupBy("bucket").agg(
+        F.sum(F.greatest("more", F.lit(0))).alias("added"), F.sum(F.greatest(-F.col("more"), F.lit(0))).alias("removed")
+    )
 
 
 def mirror(spark: SparkSession, raw_root: str, entity: str, target: str, buckets: int = BUCKETS) -> dict[str, int]:
@@ -33,16 +51,17 @@ def mirror(spark: SparkSession, raw_root: str, entity: str, target: str, buckets
     # One list of attempts for both passes.
     attempts = checkpointed(attempts_now(spark, raw_root))
     names, place = raw_names(entity), bucket_of(BY, number)
-    source = read_attempts(spark, raw_root, entity, attempts).withColumns({"digest": row_digest(names), "bucket": place})
-    there = read_buckets(spark, target, schema).withColumn("bucket", place)
-    changes = changed_rows(there, source.withColumn("copies", F.lit(1)), "bucket").groupBy("bucket").agg(
-        F.sum(F.greatest("more", F.lit(0))).alias("added"), F.sum(F.greatest(-F.col("more"), F.lit(0))).alias("removed")
-    )
+    source = read_attempts(spark, raw_root, entity, attempts)
+    # Folding takes -0.0 for 0.0, and so must the digest.
+    source = source.withColumns({n: F.col(n) + F.lit(0.0) for n, kind in source.dtypes if kind == "double"})
+    held = table_version(spark, target)
+    there = None if held is None else read_buckets(spark, target, schema, version=held)
+    changes = _changes(source, there, names, place)
     # A row per bucket at most.
     found = changes.collect()
     if found:
         touched, version = [r["bucket"] for r in found], new_version(spark, target)
-        rows = fold_copies(source.filter(F.col("bucket").isin(touched)), [*names, "digest", "bucket"])
+        rows = fold_copies(source.withColumn("bucket", place).filter(F.col("bucket").isin(touched)), [*names, "bucket"])
         complete(spark, target, replace_buckets(rows, target, touched, version), version)
     note_copied(target, attempts)
     return {

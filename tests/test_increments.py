@@ -137,6 +137,19 @@ def test_an_index_of_all_entities_in_one_folder_is_still_read(spark, seasons):
     assert landing.fetch_laps(spark, seasons, 1).count() == 11
 
 
+def test_a_mirror_keeps_no_digests_and_takes_both_zeros_for_one(spark, raw_frame, folder):
+    columns = ["session_key", "lap_number", "lap_duration"]
+    laps = raw_frame("laps", columns, [(1, 1, -0.0), (1, 1, 0.0), (2, 1, 90.0), (None, None, None), (None, None, None)])
+    attempt = raw_sink.new_attempt("x")
+    raw_sink.append_rows(laps, f"{folder}/raw", "laps", attempt)
+    raw_sink.commit(spark, f"{folder}/raw", "x", attempt)
+    first = mirror(spark, f"{folder}/raw", "laps", f"{folder}/to")
+    assert (first["added"], first["removed"]) == (5, 0)
+    assert mirror(spark, f"{folder}/raw", "laps", f"{folder}/to") == {"added": 0, "removed": 0, "buckets": 0}
+    assert "digest" not in spark.read.parquet(f"{folder}/to/rows").columns
+    assert rows(read_mirror(spark, f"{folder}/to", "laps"), *columns) == rows(laps.withColumn("lap_duration", F.col("lap_duration") + 0.0), *columns)
+
+
 def test_a_batch_of_keys_writes_as_many_buckets_at_most(spark, golden, folder):
     schema = raw_schema("sessions")
 
