@@ -1,13 +1,13 @@
-"""Main text of web pages: by markup where it names the article, else by what pages of a host repeat.
+"""Main text of web pages: blocks that the markup allows, without what the pages of a host repeat.
 
 A page is cut into blocks. Elements that are never main text (menus, headers, footers, forms,
 scripts and so on, by tag, role, whole class or id) are left out with all they hold; one that is
 not closed ends with the element around it, or where an article or main part begins. If the page marks its
-article (also itemprop="articleBody", or else its main part, also role="main"), the blocks inside are the text, all of them, however often
-other pages have them: the same article may stand on several pages.
+article (also itemprop="articleBody", or else its main part, also role="main"), only the blocks inside are left.
 
-In other pages the blocks of a host's pages are token streams, and substrings that many pages
-repeat are boilerplate. Pages with the same html are no distinct pages, and pages more than half
+The blocks of a host's pages are token streams, and substrings that many pages repeat are
+boilerplate; marked pages are compared with marked ones, all others with each other. Pages with
+the same content are no distinct pages, and pages more than half
 of whose tokens stand in long blocks that distinct pages share are the same body if the longest of
 these is the same: such an article may have other menus or adverts around it. Suffixes of the
 streams, cut to a few tokens, are brought together by host and content; suffixes that fall
@@ -16,6 +16,14 @@ all tasks, so that no task holds a host. A shorter block is one substring. What
 bodies, and in at least half of the host's, is repeated. Runs of repeated tokens are removed if
 they are at least half of their block or long; shorter ones are phrases of the text and stay.
 
+Of a marked page, whose markup vouches for its text, only what at least three bodies repeat goes,
+no short block (a heading, say), and nothing if that were over a quarter of the text: such a page is a
+near copy. So the same article may stand on several pages.
+
+Few suffixes are repeated that much, so most need not travel: those of a host fall into buckets
+by hash, each task counts the pages in a bucket, and only suffixes of buckets with enough pages
+go on. A bucket has at least the pages of each of its suffixes, so none is lost.
+
 References are decoded, white space in a block (line breaks too) becomes one space, blocks
 without text vanish, and the others are joined by an empty line. A null or empty html gives an
 empty text; a url without a host, also a null one, counts to the host "". Rows with one page_id,
@@ -27,19 +35,26 @@ import html
 import re
 from bisect import bisect
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.tables import by_batch, stored
+from pitwall.llm.tables import by_batch, release_memory, stored
+from pitwall.llm.words import NOT_SPACE, mixed, span_sums, split_words
 
 SUBSTRING_TOKENS = 8
 #: Repeated runs of so many tokens are boilerplate also where they are less than half of a block.
 LONG_RUN = 32
-_HOST = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", re.I)
+#: What marked pages repeat must stand in so many of a host's bodies at least.
+MARKED_BODIES = 3
+#: Buckets of a host's suffixes, and hosts whose buckets a task holds.
+BUCKETS, HELD_HOSTS = 4096, 512
+_SUFFIX_BASE = 0xD1342543DE82EF95
+_HOST = r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
 )
@@ -264,58 +279,134 @@ def blocks_of(page: str) -> tuple[list[str], bool]:
     return [text for text, _, _ in found], False
 
 
-def _parsed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """page_id, url, text if the markup decides it, else host, digest and blocks."""
-    texts, hosts, digests, undecided = [], [], [], []
-    for url, page in zip(batch.column(1).to_pylist(), batch.column(2)):
-        page = page.as_py() or ""
-        blocks, decided = blocks_of(page)
-        host = _HOST.match(url or "")
-        texts.append("\n\n".join(blocks) if decided or not blocks else None)
-        hosts.append(host[1].lower() if host else "")
-        digests.append(hashlib.blake2b(page.encode(), digest_size=16).digest())
-        undecided.append(None if decided or not blocks else blocks)
-    yield pa.RecordBatch.from_arrays(
-        [
-            batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(hosts, pa.string()),
-            pa.array(digests, pa.binary()), pa.array(undecided, pa.list_(pa.string())),
-        ],
-        ["page_id", "url", "text", "host", "digest", "blocks"],
-    )
-
-
-def _digest(tokens: list[str]) -> bytes:
-    return hashlib.blake2b(" ".join(tokens).encode(), digest_size=16).digest()
+def _read(pages: Iterable[str | None]) -> Iterator[tuple[bool, bytes, list[str]]]:
+    """Of each page: whether it marks its article, a digest of what decides its text, and its blocks."""
+    for page in pages:
+        blocks, marked = blocks_of(page or "")
+        content = "\n\n".join(blocks) if marked else page or ""
+        yield marked, hashlib.blake2b(content.encode(), digest_size=16).digest(), blocks
+
+
+def _suffixes(pages: list[tuple[bool, list[str]]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(page, block, first token, tokens, hash of the first tokens) of the suffixes of all blocks, in chunks.
+
+    Short blocks of marked pages, such as headings, have none.
+    """
+    texts = [block for _, blocks in pages for block in blocks]
+    page_of = np.repeat(np.arange(len(pages)), [len(blocks) for _, blocks in pages])
+    block_of = np.concatenate([np.arange(len(blocks)) for _, blocks in pages]) if texts else page_of
+    marked = np.array([m for m, _ in pages], bool)[page_of]
+    for words in split_words(pa.array(texts, pa.string()), NOT_SPACE):
+        here = np.arange(words.n_docs) + words.first_row
+        first, tokens = words.bounds[:-1], np.diff(words.bounds)
+        length = np.minimum(tokens, SUBSTRING_TOKENS)
+        n = np.where((tokens == 0) | (marked[here] & (tokens < SUBSTRING_TOKENS)), 0, tokens - length + 1)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start, size = np.repeat(first, n) + at, np.repeat(length, n)
+        grams = mixed(span_sums(words.hashes, start, start + size, _SUFFIX_BASE) + size.astype(np.uint64))
+        yield np.repeat(page_of[here], n), np.repeat(block_of[here], n), at, size, grams
+
+
+def _rows(columns: list, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+_PROFILE = pa.schema([
+    ("host", pa.string()), ("marked", pa.bool_()), ("digest", pa.binary()), ("whole", pa.int64()), ("block", pa.binary()),
+    ("n", pa.int64()), ("total", pa.int64()), ("bucket", pa.int32()), ("pages", pa.int64()),
+])
+
+
+def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each different page (host, html): a row without a block and one for each long block, with its tokens and
+    those of all its copies in the page; and of each host how many pages have suffixes in which buckets."""
+    seen: set[tuple[str, bytes]] = set()
+    counts: dict[tuple[str, bool], np.ndarray] = {}
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for (host, marked), of_bucket in counts.items():
+            at = np.flatnonzero(of_bucket)
+            none = [None] * len(at)
+            yield _rows([[host] * len(at), [marked] * len(at), none, none, none, none, none, at, of_bucket[at]], _PROFILE)
+        counts.clear()
+
+    for batch in batches:
+        rows, pages, keys = [], [], []
+        for host, (marked, digest, blocks) in zip(batch.column(0).to_pylist(), _read(x.as_py() for x in batch.column(1))):
+            if not blocks or (host, digest) in seen:
+                continue
+            seen.add((host, digest))
+            pages.append((marked, blocks))
+            keys.append((host, marked))
+            lengths = [block.count(" ") + 1 for block in blocks]
+            whole = sum(lengths)
+            rows.append((host, marked, digest, whole, None, None, None, None, None))
+            times = Counter((b, n) for b, n in zip(blocks, lengths) if n >= SUBSTRING_TOKENS)
+            rows += [(host, marked, digest, whole, _digest(b), n, n * k, None, None) for (b, n), k in times.items()]
+        if rows:
+            yield _rows(list(zip(*rows)), _PROFILE)
+        with_bucket = [np.zeros(0, np.int64)]
+        for page, _, _, _, grams in _suffixes(pages):
+            with_bucket.append(np.unique(page * BUCKETS + (grams % np.uint64(BUCKETS)).astype(np.int64)))
+        page, bucket = np.divmod(np.unique(np.concatenate(with_bucket)), BUCKETS)
+        numbers = {key: i for i, key in enumerate(dict.fromkeys(keys))}
+        number = np.array([numbers[key] for key in keys], np.int64)[page] if keys else page
+        for key, i in numbers.items():
+            here = np.bincount(bucket[number == i], minlength=BUCKETS)
+            counts[key] = counts[key] + here if key in counts else here
+        if len(counts) > HELD_HOSTS:
+            yield from counted()
+    yield from counted()
+    release_memory()
+
+
+_CANDIDATES = pa.schema([
+    ("host", pa.string()), ("marked", pa.bool_()), ("digest", pa.binary()), ("gram", pa.int64()), ("block", pa.int32()),
+    ("at", pa.int32()), ("n", pa.int32()),
+])
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The suffixes of each different page (host, html, buckets if it is marked, else) that lie in these buckets."""
+    seen: set[tuple[str, bytes]] = set()
+    for batch in batches:
+        hosts, pages, digests, wanted = [], [], [], []
+        columns = zip(batch.column(0).to_pylist(), _read(x.as_py() for x in batch.column(1)), batch.column(2), batch.column(3))
+        for host, (marked, digest, blocks), in_marked, in_open in columns:
+            buckets = (in_marked if marked else in_open).values
+            if not blocks or not len(buckets) or (host, digest) in seen:
+                continue
+            seen.add((host, digest))
+            hosts.append(host)
+            pages.append((marked, blocks))
+            digests.append(digest)
+            wanted.append(buckets.to_numpy())
+        is_wanted = np.zeros((len(pages), BUCKETS), bool)
+        for i, buckets in enumerate(wanted):
+            is_wanted[i, buckets] = True
+        for page, block, at, size, grams in _suffixes(pages):
+            keep = is_wanted[page, (grams % np.uint64(BUCKETS)).astype(np.int64)]
+            of = page[keep]
+            yield _rows(
+                [[hosts[i] for i in of], [pages[i][0] for i in of], [digests[i] for i in of], grams[keep].view(np.int64),
+                 block[keep].astype(np.int32), at[keep].astype(np.int32), size[keep].astype(np.int32)], _CANDIDATES,
+            )
+    release_memory()
+
+
+_PARSED = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("marked", pa.bool_()), ("digest", pa.binary()),
+    ("blocks", pa.list_(pa.string())),
+])
 
 
-def _long_blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """(host, block as a digest, page digest, row, tokens of the block, tokens of the page) of each long block."""
-    rows = []
-    for host, digest, row, blocks in zip(*(c.to_pylist() for c in batch.columns)):
-        tokens = [block.split() for block in blocks]
-        whole = sum(map(len, tokens))
-        rows += [(host, _digest(t), digest, row, len(t), whole) for t in tokens if len(t) >= SUBSTRING_TOKENS]
-    kinds = [pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    columns = list(zip(*rows)) or [()] * len(kinds)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "block", "digest", "row", "n", "whole"]
-    )
+def _parsed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    read = list(_read(x.as_py() for x in batch.column(3)))
+    yield _rows([batch.column(0), batch.column(1), batch.column(2), *(list(c) for c in zip(*read))], _PARSED)
 
 
-def _suffixes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """(host, start of the suffix as a digest, body, row, block, first token, tokens) of each suffix."""
-    rows = []
-    for host, body, row, blocks in zip(*(c.to_pylist() for c in batch.columns)):
-        for b, block in enumerate(blocks):
-            tokens = block.split()
-            length = min(SUBSTRING_TOKENS, len(tokens))
-            for at in range(len(tokens) - length + 1):
-                rows.append((host, _digest(tokens[at : at + length]), body, row, b, at, length))
-    kinds = [pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-    columns = list(zip(*rows)) or [()] * len(kinds)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "start", "body", "row", "block", "at", "n"]
-    )
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode(), digest_size=16).digest()
 
 
 def _without_runs(tokens: list[str], spans: list[tuple[int, int]]) -> str:
@@ -334,67 +425,88 @@ def _without_runs(tokens: list[str], spans: list[tuple[int, int]]) -> str:
     return " ".join(kept + tokens[at:])
 
 
+def _tokens(texts: list[str]) -> int:
+    return sum(len(text.split()) for text in texts)
+
+
 def _unique_runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     texts = []
-    for blocks, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+    for marked, blocks, spans in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
         repeated = defaultdict(list)
         for span in spans or []:
             repeated[span["block"]].append((span["at"], span["at"] + span["n"]))
         kept = [_without_runs(block.split(), repeated[b]) if b in repeated else block for b, block in enumerate(blocks)]
+        if marked and repeated and 4 * _tokens(kept) < 3 * _tokens(blocks):
+            kept = blocks
         texts.append("\n\n".join(text for text in kept if text))
     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
-def _with_bodies(open_pages: DataFrame) -> DataFrame:
-    """The pages with the body each has: its longest shared block if such blocks are most of the page, else the page."""
-    blocks = stored(
-        open_pages.select("host", "digest", "row", "blocks").mapInArrow(
-            by_batch(lambda: _long_blocks), "host string, block binary, digest binary, row long, n long, whole long"
-        ),
-        "long_blocks",
-    )
+_KIND = ["host", "marked"]
+_PAGE = [*_KIND, "digest"]
+
+
+def _page_bodies(profile: DataFrame) -> DataFrame:
+    """The body of each different page: its longest shared block if such blocks are most of the page, else the page."""
+    blocks = profile.where("block IS NOT NULL").select(*_PAGE, "whole", "block", "n", "total").distinct()
     shared = (
-        blocks.groupBy("host", "block").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
-        .where("low < high").select("host", "block")
+        blocks.groupBy(*_KIND, "block").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+        .where("low < high").select(*_KIND, "block")
     )
     bodies = (
-        blocks.join(shared, ["host", "block"])
-        .groupBy("row").agg(F.sum("n").alias("n"), F.max("whole").alias("whole"), F.max(F.struct("n", "block")).alias("most"))
-        .where("2 * n > whole").select("row", F.col("most.block").alias("body"))
+        blocks.join(shared, [*_KIND, "block"])
+        .groupBy(*_PAGE).agg(F.sum("total").alias("n"), F.max("whole").alias("whole"), F.max(F.struct("n", "block")).alias("most"))
+        .where("2 * n > whole").select(*_PAGE, F.col("most.block").alias("body"))
     )
-    return open_pages.join(bodies, "row", "left").withColumn("body", F.coalesce("body", "digest"))
+    pages = profile.where("digest IS NOT NULL").select(*_PAGE).distinct()
+    return pages.join(bodies, _PAGE, "left").withColumn("body", F.coalesce("body", "digest"))
+
+
+def _often(count: str) -> F.Column:
+    """In at least half of a host's bodies, and in several; of marked pages, whose text their markup vouches for, in three."""
+    return (2 * F.col(count) >= F.col("bodies")) & (F.col(count) >= F.when(F.col("marked"), MARKED_BODIES).otherwise(2))
+
+
+def _repeated_spans(pages: DataFrame) -> DataFrame:
+    """Where the different pages (host, html) have tokens that the host repeats: host, marked, digest, spans."""
+    profile = stored(pages.mapInArrow(_profiles, _ddl(_PROFILE)), "profiles")
+    page_bodies = stored(_page_bodies(profile), "bodies")
+    bodies = page_bodies.groupBy(*_KIND).agg(F.count_distinct("body").alias("bodies"))
+    # As many buckets for a host of any size: what half of its bodies have fills a bucket, what few have spreads.
+    hot = (
+        profile.where("bucket IS NOT NULL").groupBy(*_KIND, "bucket").agg(F.sum("pages").alias("pages"))
+        .join(bodies, _KIND).where(_often("pages"))
+        .groupBy("host").agg(
+            F.collect_list(F.when(F.col("marked"), F.col("bucket"))).alias("in_marked"),
+            F.collect_list(F.when(~F.col("marked"), F.col("bucket"))).alias("in_open"),
+        )
+    )
+    found = stored(pages.join(stored(hot, "buckets"), "host").mapInArrow(_candidates, _ddl(_CANDIDATES)), "suffixes")
+    repeated = (
+        found.join(page_bodies, _PAGE).select(*_KIND, "gram", "body").distinct()
+        .groupBy(*_KIND, "gram").agg(F.count("*").alias("with"))
+        .join(bodies, _KIND).where(_often("with")).select(*_KIND, "gram")
+    )
+    spans = found.join(repeated, [*_KIND, "gram"]).groupBy(*_PAGE).agg(F.collect_set(F.struct("block", "at", "n")).alias("spans"))
+    return stored(spans, "spans")
+
+
+def _ddl(schema: pa.Schema) -> str:
+    kinds = {"bool": "boolean", "int32": "int", "int64": "long", "list<item: string>": "array<string>"}
+    return ", ".join(f"{field.name} {kinds.get(str(field.type), str(field.type))}" for field in schema)
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """Of each page: page_id, url, text, n_chars."""
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+        F.coalesce(F.lower(F.regexp_extract("url", _HOST, 1)), F.lit("")).alias("host"),
         F.col("html").cast("string").alias("html"),
     )
-    parsed = rows.mapInArrow(
-        by_batch(lambda: _parsed),
-        "page_id long, url string, text string, host string, digest binary, blocks array<string>",
-    )
-    open_pages = stored(
-        parsed.where("blocks IS NOT NULL").drop("text").withColumn("row", F.monotonically_increasing_id()), "pages"
-    )
-    open_pages = stored(_with_bodies(open_pages), "bodies")
-    suffixes = open_pages.select("host", "body", "row", "blocks").mapInArrow(
-        by_batch(lambda: _suffixes),
-        "host string, start binary, body binary, row long, block int, at int, n int",
-    )
-    bodies = open_pages.select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("bodies"))
-    repeated = (
-        suffixes.select("host", "start", "n", "body").distinct().groupBy("host", "start", "n").agg(F.count("*").alias("with"))
-        .where("with > 1").join(bodies, "host").where("2 * with >= bodies").select("host", "start", "n")
-    )
-    spans = (
-        suffixes.drop("body").join(repeated, ["host", "start", "n"])
-        .groupBy("row").agg(F.collect_list(F.struct("block", "at", "n")).alias("spans"))
-    )
-    decided = parsed.where("blocks IS NULL").select("page_id", "url", "text")
-    others = (
-        open_pages.join(spans, "row", "left").select("page_id", "url", "blocks", "spans")
+    spans = _repeated_spans(rows.select("host", "html"))
+    parsed = rows.mapInArrow(by_batch(lambda: _parsed), _ddl(_PARSED))
+    return (
+        parsed.join(spans, _PAGE, "left").select("page_id", "url", "marked", "blocks", "spans")
         .mapInArrow(by_batch(lambda: _unique_runs), "page_id long, url string, text string")
+        .withColumn("n_chars", F.char_length("text").cast("long"))
     )
-    return decided.unionByName(others).withColumn("n_chars", F.char_length("text").cast("long"))

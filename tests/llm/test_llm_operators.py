@@ -5,7 +5,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -491,6 +491,77 @@ def test_pages_without_marks_lose_only_what_most_bodies_of_a_host_repeat(spark):
     assert found == {i: "\n\n".join(blocks) for i, blocks in expected.items()}
 
 
+def naive_texts(rows):
+    """Texts by a plain search for repeats over all pages of a host, (page_id, url, html)."""
+    size, texts, groups = pages.SUBSTRING_TOKENS, {}, defaultdict(dict)
+    for page_id, url, html in rows:
+        blocks, marked = pages.blocks_of(html)
+        content = tuple(blocks) if marked else html
+        groups[url, marked].setdefault(content, (blocks, []))[1].append(page_id)
+    for (_, marked), contents in groups.items():
+        of_block, of_part, tokens = defaultdict(set), defaultdict(set), {}
+        for content, (blocks, _) in contents.items():
+            tokens[content] = [block.split() for block in blocks]
+            for block in tokens[content]:
+                if len(block) >= size:
+                    of_block[tuple(block)].add(content)
+        body = {}
+        for content, blocks in tokens.items():
+            shared = [b for b in blocks if len(of_block[tuple(b)]) > 1]
+            most = 2 * sum(map(len, shared)) > sum(map(len, blocks))
+            longest = max(shared, key=lambda b: (len(b), pages._digest(" ".join(b)))) if most else None
+            body[content] = tuple(longest) if most else (content, "whole")
+
+        def parts(block):
+            if marked and len(block) < size:
+                return []
+            n = min(size, len(block))
+            return [(at, tuple(block[at : at + n])) for at in range(len(block) - n + 1)]
+
+        for content, blocks in tokens.items():
+            for block in blocks:
+                for _, part in parts(block):
+                    of_part[part].add(body[content])
+        enough = max(pages.MARKED_BODIES if marked else 2, len(set(body.values())) / 2)
+        for content, (blocks, ids) in contents.items():
+            kept = [
+                pages._without_runs(b, [(at, at + len(p)) for at, p in parts(b) if len(of_part[p]) >= enough]) for b in tokens[content]
+            ]
+            if marked and 4 * len(" ".join(kept).split()) < 3 * sum(map(len, tokens[content])):
+                kept = blocks
+            texts |= dict.fromkeys(ids, "\n\n".join(filter(None, kept)))
+    return texts
+
+
+def test_pages_of_all_kinds_are_searched_for_what_their_host_repeats(spark):
+    rng = random.Random(22)
+    notice, menu, article = text_of(rng, 14), text_of(rng, 12), "<p>{}</p><article><h2>In short</h2><p>{}</p><p>{}</p></article>"
+    own = [[text_of(rng, 60) for _ in range(2)] for _ in range(12)]
+    rows = [(i, "//a.example", article.format(menu, own[i][0], f"{own[i][1]}</p><p>{notice}")) for i in range(6)]
+    rows += [(i, "//a.example", article.format(f"{i}", *own[i])) for i in range(6, 10)]
+    rows += [(20 + i, "//a.example", article.format(f"advert {i}", *own[6])) for i in range(12)]  # copies: one body
+    edited = [own[11][0].split() for _ in range(4)]  # near copies of one article on a host
+    for i, words in enumerate(edited):
+        words[30 + i] = "edited"
+        rows.append((40 + i, "//b.example", article.format("x", " ".join(words), own[11][1].replace(" ", f" e{i} ", 1))))
+    rows += [(50 + i, "//c.example", article.format(f"{i}", own[i][0], own[9][1])) for i in range(2)]  # a quote in two of two
+    for i in range(60):  # pages at random, of few parts, with and without a mark
+        blocks = [rng.choice([rng.choice(own)[0], notice, menu, "In short", text_of(rng, rng.randint(1, 70))]) for _ in range(6)]
+        html = "".join(f"<p>{b}</p>" for b in blocks)
+        rows.append((100 + i, f"//r{i % 7}.example", f"<main>{html}</main>" if rng.random() < 0.5 else f"<body>{html}</body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    found = {r.page_id: r.text for r in pages.main_texts(df).collect()}
+    assert all(found[i] == "\n\n".join(["In short", *own[i]]) for i in range(10))
+    assert all(found[i] == "\n\n".join(pages.blocks_of(html)[0]) for i, _, html in rows if 20 <= i < 100)
+    assert found == naive_texts(rows)
+
+
+def test_no_article_of_the_given_pages_is_cut(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    expected = {r.page_id: "\n\n".join(pages.blocks_of(r.html or "")[0]) for r in given.collect()}
+    assert {r.page_id: r.text for r in pages.main_texts(given).collect()} == expected
+
+
 def test_archives(spark):
     big = text_of(random.Random(12), 200_000)
     rows = [(1, "u", "x"), (2, "u", "x"), (3, None, None), (4, "u", ""), (5, "u\r\nv", "é\r\n\r\n"), (None, "u", "x"), (7, "u", big)]
