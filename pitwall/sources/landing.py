@@ -11,7 +11,7 @@ No index knows these; all of them are read, of one session those of its bucket.
 cannot be read makes a fetch fail.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime
 from functools import reduce
 
@@ -88,9 +88,15 @@ def _folder_keys(entity: str) -> list[str]:
 
 
 def land(
-    records: DataFrame, root: str, entity: str, omit_nulls: bool = False, buckets: int | None = None, compression: str = "none"
+    records: DataFrame,
+    root: str,
+    entity: str,
+    omit_nulls: bool = False,
+    buckets: int | None = None,
+    compression: str = "none",
+    of_raw: bool = False,
 ) -> None:
-    """Append records to a landing folder.
+    """Append records to a landing folder; raw rows (``of_raw``) become records once they lie together, as times are shorter than their text.
 
     Records of one folder are brought together, in partitions that Spark sizes by their bytes, so
     that a few large files are written and not one per task and folder. Sessions should be landed
@@ -115,12 +121,14 @@ def land(
     # A row per session: one file.
     index.repartition(1).write.mode("append").parquet(_index_path(root, entity))
     keys = _folder_keys(entity)
-    writer = placed(records).hint("rebalance", *keys).write.mode("append").option("ignoreNullFields", omit_nulls)
+    together = placed(records).hint("rebalance", *keys)
+    together = to_records(together, entity, keys) if of_raw else together
+    writer = together.write.mode("append").option("ignoreNullFields", omit_nulls)
     writer.option("compression", compression).partitionBy(*keys).json(f"{root}/keyed/{entity}")
 
 
-def to_records(raw: DataFrame, entity: str) -> DataFrame:
-    """Raw rows as the records they were loaded from: record names, times as ISO text, no stamp."""
+def to_records(raw: DataFrame, entity: str, also: Iterable[str] = ()) -> DataFrame:
+    """Raw rows as the records they were loaded from: record names, times as ISO text, no stamp; and other columns as they are."""
     back = {raw_name: record for record, raw_name in RECORD_NAMES.get(entity, {}).items()}
     renamed = raw.withColumnsRenamed(back)
     fields = []
@@ -130,7 +138,7 @@ def to_records(raw: DataFrame, entity: str) -> DataFrame:
             fields.append(text.alias(name))
         else:
             fields.append(F.col(name))
-    return renamed.select(*fields)
+    return renamed.select(*fields, *also)
 
 
 def _scans(
@@ -342,7 +350,8 @@ def land_all(raw: dict[str, DataFrame], root: str, buckets: int | None = None, c
     """Land raw rows as records, sessions first; laps and positions leave out fields without a value."""
 
     def land_one(entity: str) -> None:
-        land(to_records(raw[entity], entity), root, entity, entity not in STRICT_ENTITIES, buckets, compression)
+        rows = raw[entity].drop("ingested_at")
+        land(rows, root, entity, entity not in STRICT_ENTITIES, buckets, compression, of_raw=True)
 
     land_one("sessions")
     side_by_side(raw["sessions"].sparkSession, land_one, BUCKETED)
