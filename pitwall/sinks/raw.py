@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.jobs import side_by_side
+from pitwall.operators.lookup import looked_up
 from pitwall.schemas import ENTITIES, RAW_COLUMNS, RECORD_NAMES, STRICT_ENTITIES
 from pitwall.sources.landing import UNREADABLE, checked_records, stamped
 from pitwall.sources.tables import commits, withdrawals_path
@@ -107,6 +108,8 @@ def load_sessions(
     """
     chosen = checkpointed(chosen.filter(F.col("session_key").isNotNull()))
     keys = chosen.select("session_key").distinct().withColumn("is_chosen", F.lit(True))
+    n_chosen = chosen.count()
+    keys = looked_up(keys, n_chosen)
     attempt = new_attempt(load_id)
 
     def marked(entity: str) -> DataFrame:
@@ -144,7 +147,7 @@ def load_sessions(
         attempt = new_attempt(load_id)
         side_by_side(spark, write_again, ENTITIES)
 
-    ledger = _ledger(spark, raw_root, chosen, failed, attempt)
+    ledger = _ledger(spark, raw_root, chosen, n_chosen, failed, attempt)
     if lost:
         unplaced = (None, None, None, "failed", *[0] * len(ENTITIES), "unreadable records of no known session")
         ledger = ledger.unionByName(spark.createDataFrame([unplaced], ledger.schema))
@@ -166,7 +169,7 @@ def _failed_sessions(wanted) -> DataFrame:
 
 
 def _ledger(
-    spark: SparkSession, raw_root: str, chosen: DataFrame, failed: DataFrame | None, attempt: str
+    spark: SparkSession, raw_root: str, chosen: DataFrame, n_chosen: int, failed: DataFrame | None, attempt: str
 ) -> DataFrame:
     """Status, error and loaded rows per chosen session, counted from what was written."""
     sessions = chosen.groupBy("session_key").agg(
@@ -179,7 +182,7 @@ def _ledger(
     for entity in ENTITIES:
         loaded = spark.read.parquet(f"{raw_root}/{entity}/attempt={attempt}")
         counts = loaded.groupBy("session_key").agg(F.count(F.lit(1)).alias(entity))
-        sessions = sessions.join(counts, "session_key", "left").withColumn(
+        sessions = sessions.join(looked_up(counts, n_chosen), "session_key", "left").withColumn(
             entity, F.coalesce(entity, F.lit(0).cast("bigint"))
         )
     status = F.when(F.col("error").isNull(), F.lit("loaded")).otherwise(F.lit("failed"))

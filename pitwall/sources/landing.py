@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from pitwall.functions import conditions as c
 from pitwall.jobs import side_by_side
+from pitwall.operators.lookup import looked_up
 from pitwall.schemas import (
     ENTITIES, RECORD_NAMES, STRICT_ENTITIES, raw_names, record_columns, record_schema,
 )
@@ -80,7 +81,8 @@ def index_of(spark: SparkSession, root: str, entity: str) -> DataFrame:
 def _seasons(spark: SparkSession, root: str) -> DataFrame:
     """The season of every session landed so far; of a session landed under several years, the last."""
     known = index_of(spark, root, "sessions").filter(F.col("season") != UNKNOWN_SEASON)
-    return known.groupBy("session_key").agg(F.max("season").alias("season"))
+    seasons = known.groupBy("session_key").agg(F.max("season").alias("season"))
+    return looked_up(seasons, known.count())
 
 
 def _folder_keys(entity: str) -> list[str]:
@@ -105,10 +107,11 @@ def land(
     """
     spark = records.sparkSession
     number = _kept_buckets(spark, root, buckets)
+    seasons = _seasons(spark, root) if entity in BUCKETED else None
 
     def placed(rows: DataFrame) -> DataFrame:
         if entity in BUCKETED:
-            rows = rows.drop("season").join(_seasons(spark, root), "session_key", "left")
+            rows = rows.drop("season").join(seasons, "session_key", "left")
             rows = rows.withColumn("landing_bucket", _bucket(F.col("session_key"), number))
         else:
             rows = rows.withColumn("season", F.col("year").cast("string"))
