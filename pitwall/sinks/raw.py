@@ -136,7 +136,7 @@ def load_sessions(
 
     def write_again(entity: str) -> None:
         good = wanted(entity).filter(F.col("problem").isNull()).join(
-            failed.select("session_key"), "session_key", "left_anti"
+            looked_up(failed.select("session_key"), n_chosen), "session_key", "left_anti"
         )
         append_rows(raw_shape(stamped(good, run_ts), entity), raw_root, entity, attempt)
 
@@ -178,7 +178,7 @@ def _ledger(
     if failed is None:
         sessions = sessions.withColumn("error", F.lit(None).cast("string"))
     else:
-        sessions = sessions.join(failed, "session_key", "left")
+        sessions = sessions.join(looked_up(failed, n_chosen), "session_key", "left")
     for entity in ENTITIES:
         loaded = spark.read.parquet(f"{raw_root}/{entity}/attempt={attempt}")
         counts = loaded.groupBy("session_key").agg(F.count(F.lit(1)).alias(entity))
