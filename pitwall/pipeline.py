@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.jobs import side_by_side
+from pitwall.operators.lookup import looked_up
 from pitwall.plans import marts, staging
 from pitwall.session import sized_for, tuned
 from pitwall.sinks.marts import MARTS, SESSION_FACTS, publish, replace_sessions
@@ -21,19 +22,21 @@ def build_marts(spark: SparkSession, raw_root: str, marts_root: str, run_ts: dat
     """Rebuild all marts from the raw tables.
 
     Staged drivers feed both facts and are kept between them; executors that get
-    lost only cost a recomputation.
+    lost only cost a recomputation. They are kept before the facts are planned, since
+    their number decides how they are looked up.
     """
     sized_for(tuned(spark), folder_bytes(spark, raw_root))
     raw = read_raw_tables(spark, raw_root)
     drivers = staging.stg_drivers(raw.drivers).persist(StorageLevel.MEMORY_AND_DISK)
-    sessions, laps = staging.stg_sessions(raw.sessions), staging.stg_laps(raw.laps)
-    positions = staging.stg_positions(raw.positions)
-    builds = {
-        "dim_drivers": lambda: marts.dim_drivers(drivers, run_ts),
-        "fct_lap_times": lambda: marts.fct_lap_times(laps, sessions, drivers, run_ts),
-        "fct_race_results": lambda: marts.fct_race_results(sessions, positions, drivers, run_ts=run_ts),
-    }
+    laps, positions = staging.stg_laps(raw.laps), staging.stg_positions(raw.positions)
     try:
+        sessions = looked_up(staging.stg_sessions(raw.sessions), raw.sessions.count(), "merge")
+        known = looked_up(drivers, drivers.count(), "merge")
+        builds = {
+            "dim_drivers": lambda: marts.dim_drivers(drivers, run_ts),
+            "fct_lap_times": lambda: marts.fct_lap_times(laps, sessions, known, run_ts),
+            "fct_race_results": lambda: marts.fct_race_results(sessions, positions, known, run_ts=run_ts),
+        }
         side_by_side(spark, lambda name: publish(builds[name](), marts_root, name), MARTS)
     finally:
         drivers.unpersist()
@@ -126,7 +129,7 @@ def backfill(
     chosen = chosen_sessions(catalogue(spark, landing_root, skip_broken=True, year=year), year, session_type)
     if not reload:
         loaded = read_raw(spark, raw_root, "sessions").select("session_key")
-        chosen = chosen.join(loaded, "session_key", "left_anti")
+        chosen = chosen.join(looked_up(loaded, loaded.count()), "session_key", "left_anti")
     return load_sessions(spark, landing_root, raw_root, chosen, load_id, run_ts)
 
 
